@@ -18,9 +18,9 @@ KNOTS = (0.0, 0.01, 0.1, 0.2, 0.25, 0.3, 0.4, 0.5, 0.6, 0.7, 0.75, 0.8, 0.9, 0.9
 _CHUNK = 100
 
 
-def _long_cells(df: DataFrame, columns: list[str], n_cells: int) -> DataFrame:
-    """``(var, cell, value)`` for every value present; cells are cut per column."""
-    wide = df.select(*[clean(df, c).cast("double").alias(c) for c in columns])
+def long_cells(df: DataFrame, columns: list[str], n_cells: int, *keep: str) -> DataFrame:
+    """``(keep, var, cell, value)`` for every value present; cells are cut per column."""
+    wide = df.select(*keep, *[clean(df, c).cast("double").alias(c) for c in columns])
     cuts = [sorted(set(found)) or [0.0] for found in quantile_cuts(wide, columns, n_cells)]
     cells = [f"__cell_{i}" for i in range(len(columns))]
     placed = Bucketizer(
@@ -31,11 +31,12 @@ def _long_cells(df: DataFrame, columns: list[str], n_cells: int) -> DataFrame:
         F.struct(F.lit(c).alias("var"), F.col(cell).cast("int").alias("cell"), F.col(f"`{c}`").alias("value"))
         for c, cell in zip(columns, cells)
     ]
-    return placed.select(F.explode(F.array(*entries)).alias("e")).select("e.*").filter(F.col("value").isNotNull())
+    long = placed.select(*keep, F.explode(F.array(*entries)).alias("e")).select(*keep, "e.*")
+    return long.filter(F.col("value").isNotNull())
 
 
 def _chunk_quantiles(df: DataFrame, columns: list[str], probabilities: Sequence[float], n_cells: int) -> DataFrame:
-    long = _long_cells(df, columns, n_cells)
+    long = long_cells(df, columns, n_cells)
     whole = Window.partitionBy("var")
     before = whole.orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     totals = long.groupBy("var", "cell").agg(F.count(F.lit(1)).alias("n")).select(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from prepline.catalog import Catalog
 
 MODEL = "ord_f"
-TARGET = "ord_f_target_ind"
+LABEL = "ord_f_target_ind"
 
 ORDER_OBS = """
 SELECT o.o_orderkey AS obs_id,
@@ -117,9 +117,9 @@ def order_reference(spark: SparkSession, folder: str) -> DataFrame:
 def order_catalog() -> Catalog:
     """What ``assign_roles`` finds for the order table."""
     rows = {a: (a, r, v) for a, r, v in ORDER_ALIASES}
-    rows[TARGET] = (TARGET, "TARGET", "BINARY")
+    rows[LABEL] = (LABEL, "TARGET", "BINARY")
     rows["ord_f_score_ind"] = ("ord_f_score_ind", "REJECTED", "BINARY")
-    order = ["obs_id", "period_dt", TARGET, "ord_f_score_ind", *[a for a, _, _ in ORDER_ALIASES[2:]]]
+    order = ["obs_id", "period_dt", LABEL, "ord_f_score_ind", *[a for a, _, _ in ORDER_ALIASES[2:]]]
     return Catalog.of(rows[n] for n in order)
 
 
