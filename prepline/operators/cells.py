@@ -26,7 +26,7 @@ CELL = "__cell"
 ORDER = "__order"
 TIE = "__tie"
 
-_MIN_CELLS, _MAX_CELLS = 64, 4096
+_MIN_CELLS, _MAX_CELLS = 512, 4096
 _HEAVY = 4  # a value met at this many neighbouring cut points is divided by key
 _TIE_PARTS = 256
 _TIE_CLAMP = 1.0 - 2.0**-20

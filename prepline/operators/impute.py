@@ -57,25 +57,30 @@ class ImputeModel:
             for f in drawn for i in (1, 2)
         ]
         kept = df.columns if keep == "all" else [self.key] if keep == "derived" else list(keep)
-        staged = df.select("*", *draws)
+        staged = df.select("*", *draws).select("*", *[self._segment(f).alias(f"__s_{f.var}") for f in drawn])
         return staged.select(*[F.col(f"`{c}`") for c in kept],
                              *[self._filled(staged, f).alias(PREFIX + f.var) for f in self.fills])
 
     def _filled(self, df: DataFrame, fill: Fill) -> Column:
         column = clean(df, fill.var)
         if fill.knots:
-            return F.coalesce(column, self._segment_draw(fill))
+            return F.coalesce(column, self._within(fill))
         if fill.value is None:
             return column
         return F.coalesce(column, F.lit(fill.value).cast(df.schema[fill.var].dataType))
 
-    def _segment_draw(self, fill: Fill) -> Column:
-        u1, u2 = F.col(f"`__u1_{fill.var}`"), F.col(f"`__u2_{fill.var}`")
+    def _segment(self, fill: Fill) -> Column:
+        """Number of the quantile segment the first draw falls in, from 1."""
+        u = F.col(f"`__u1_{fill.var}`")
         limits = KNOTS if self.draw == "probability" else fill.knots
-        segment = sum(((u1 > F.lit(float(v))).cast("int") for v in limits[1:-1]), F.lit(1))
+        return sum(((u > F.lit(float(v))).cast("int") for v in limits[1:-1]), F.lit(1))
+
+    def _within(self, fill: Fill) -> Column:
+        """The second draw, spread over the segment."""
+        u, segment = F.col(f"`__u2_{fill.var}`"), F.col(f"`__s_{fill.var}`")
         knots = F.lit([float(k) for k in fill.knots])
         low, high = F.element_at(knots, segment), F.element_at(knots, segment + 1)
-        return low + (high - low) * u2
+        return low + (high - low) * u
 
     def params(self, spark: SparkSession) -> DataFrame:
         rows = [(f.var, f.level, None if f.value is None else str(f.value), list(f.knots) if f.knots else None)

@@ -111,30 +111,36 @@ def gain_curve(df: DataFrame, label: str, score: str, key: str | list[str],
 
 
 def _positives(df: DataFrame, label: str, score: str, key: str | list[str], by: Sequence[str]) -> DataFrame:
-    """Every positive with its number ``k``, its rank, and the ranks of the next two.
+    """Every positive with its number ``k``, its rank, and the ranks of the next two in its cell.
 
-    Followers inside the cell come from the cell's own window. Only the last two
-    positives of a cell look into later cells, and for those the first and last
-    two of each cell are enough: a handful of rows per cell.
+    ``i`` counts the positives of the cell, ``last`` marks the two at its end,
+    whose followers lie in later cells.
     """
     window = in_cell(df, key, by)
-    found = (
+    i = F.col("cum_pos") - F.col(POS_BEFORE)
+    return (
         rank_with_totals(df, score, key, by, label)
         .filter(F.col(label) == 1)
         .withColumns({"r1": F.lead("rank", 1).over(window), "r2": F.lead("rank", 2).over(window)})
-        .select(*by, CELL, F.col("cum_pos").alias("k"), F.col("rank").alias("r"), "r1", "r2",
+        .select(*by, F.col("cum_pos").alias("k"), F.col("rank").alias("r"), "r1", "r2",
                 F.col(N_ALL).alias("n"), F.col(POS_ALL).alias("p"),
-                (F.col("cum_pos") - F.col(POS_BEFORE)).alias("i"), F.col(POS).alias("in_cell"))
+                i.alias("i"), (i > F.col(POS) - 2).alias("last"))
     )
-    last = F.col("i") > F.col("in_cell") - 2
+
+
+def _across_cells(positives: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Give the last positives of each cell their followers.
+
+    The first and last two of every cell are enough for that: a handful of rows
+    per cell, whatever the size of the group.
+    """
     along = Window.partitionBy(*by).orderBy("k")
     seams = (
-        found.filter(last | (F.col("i") <= 2))
+        positives.filter(F.col("last") | (F.col("i") <= 2))
         .withColumns({"r1": F.lead("r", 1).over(along), "r2": F.lead("r", 2).over(along)})
-        .filter(last)
+        .filter("last")
     )
-    keep = [*by, "k", "r", "r1", "r2", "n", "p"]
-    return found.filter(~last).select(*keep).unionByName(seams.select(*keep))
+    return positives.filter(~F.col("last")).unionByName(seams)
 
 
 def gain_midpoints(df: DataFrame, label: str, score: str, key: str | list[str],
@@ -145,36 +151,46 @@ def gain_midpoints(df: DataFrame, label: str, score: str, key: str | list[str],
     point = F.struct(F.col("k").alias("k"), middle.alias("x"), (F.col("k") / F.col("p")).alias("gain"))
     start = F.struct(F.lit(0).cast("bigint").alias("k"), F.lit(0.0).alias("x"), F.lit(0.0).alias("gain"))
     points = F.when(F.col("k") == 1, F.array(start, point)).otherwise(F.array(point))
-    return _positives(df, label, score, key, by).select(*by, F.explode(points).alias("p")).select(*by, "p.*")
+    positives = _across_cells(_positives(df, label, score, key, by), by)
+    return positives.select(*by, F.explode(points).alias("p")).select(*by, "p.*")
 
 
-def gain_grid(df: DataFrame, label: str, score: str, key: str | list[str],
-              by: Sequence[str] = (), steps: int = 100) -> DataFrame:
-    """The gain curve through the plateau middles, read off at ``steps + 1`` even points.
+def _lines(steps: int) -> Column:
+    """Lines of the curve that begin at a positive and cover a grid point, as an array.
 
-    Each line segment lists the grid points it covers, so no join is needed.
-    Abscissas stay integers (in units of 1 / 2n) until the last division.
+    Abscissas stay integers, in units of 1 / 2n.
     """
     n, p, k = F.col("n"), F.col("p"), F.col("k")
-    mid = F.col("r") + F.col("r1") - 1
-    next_mid = F.col("r1") + F.col("r2") - 1
-    first = F.struct(F.lit(0).cast("bigint").alias("k"), F.lit(0).cast("bigint").alias("a"),
-                     F.when(p == 1, 2 * n).otherwise(mid).alias("b"))
-    inner = F.struct(k.alias("k"), mid.alias("a"), F.when(k + 1 == p, 2 * n).otherwise(next_mid).alias("b"))
-    lines = F.array_compact(F.array(F.when(k == 1, first), F.when(k < p, inner)))
-    segments = _positives(df, label, score, key, by).select(*by, "n", "p", F.explode(lines).alias("s"))
+    mid, next_mid = F.col("r") + F.col("r1") - 1, F.col("r1") + F.col("r2") - 1
 
-    def first_grid(a: Column) -> Column:
-        return F.ceil(a * F.lit(steps) / (2 * n)).cast("int")
+    def line(at: Column, a: Column, b: Column) -> Column:
+        start = F.ceil(a * F.lit(steps) / (2 * n)).cast("int")
+        stop = F.when(b == 2 * n, F.lit(steps)).otherwise(F.ceil(b * F.lit(steps) / (2 * n)).cast("int") - 1)
+        return F.struct(at.cast("bigint").alias("k"), a.cast("bigint").alias("a"), b.cast("bigint").alias("b"),
+                        start.alias("start"), stop.alias("stop"))
 
+    first = line(F.lit(0), F.lit(0), F.when(p == 1, 2 * n).otherwise(mid))
+    inner = line(k, mid, F.when(k + 1 == p, 2 * n).otherwise(next_mid))
+    both = F.array_compact(F.array(F.when(k == 1, first), F.when(k < p, inner)))
+    return F.filter(both, lambda s: s["start"] <= s["stop"])
+
+
+def gain_grid(df: DataFrame, label: str, score: str, key: str | list[str],
+              by: Sequence[str] = (), steps: int = 100) -> DataFrame:
+    """The gain curve through the plateau middles, read off at ``steps + 1`` even points.
+
+    Each line lists the grid points it covers, so no join is needed; and only
+    lines that cover one, or might once their followers are known, are kept.
+    """
+    positives = _positives(df, label, score, key, by)
+    few = cut_lineage(positives.filter(F.col("last") | (F.col("i") <= 2) | (F.size(_lines(steps)) > 0)))
+    lines = _across_cells(few, by).select(*by, "n", "p", F.explode(_lines(steps)).alias("s"))
     a, b = F.col("s.a"), F.col("s.b")
-    stop = F.when(b == 2 * n, F.lit(steps)).otherwise(first_grid(b) - 1)
-    start = first_grid(a)
-    covered = F.when(start <= stop, F.sequence(start, stop)).otherwise(F.array().cast("array<int>"))
-    y = (F.col("s.k") + (2 * n * F.col("g") / F.lit(float(steps)) - a) / (b - a)) / p
+    share = (2 * F.col("n") * F.col("g") / F.lit(float(steps)) - a) / (b - a)
     return (
-        segments.withColumn("g", F.explode(covered))
-        .select(*by, F.col("g").alias("step"), (F.col("g") / F.lit(float(steps))).alias("x"), y.alias("y"))
+        lines.withColumn("g", F.explode(F.sequence("s.start", "s.stop")))
+        .select(*by, F.col("g").alias("step"), (F.col("g") / F.lit(float(steps))).alias("x"),
+                ((F.col("s.k") + share) / F.col("p")).alias("y"))
     )
 
 

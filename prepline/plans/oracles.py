@@ -204,26 +204,24 @@ def every_second(source: str, period: str = "period_dt") -> str:
 
 
 def midpoints(source: str, label: str, by: str = "") -> str:
-    """``(by, k, x, gain)`` from (0, 0) to (1, 1)."""
+    """``(by, k, a, n, p)``: the plateau middles in units of 1 / 2n, from 0 to 2n."""
     head = f"{by}, " if by else ""
-    part = f"PARTITION BY {by}" if by else ""
-    curve = f"SELECT {head}rk, cum, n, p FROM ({ranked(source, label, by)})"
-    pos = f"SELECT {head}CAST(cum AS BIGINT) AS k, min(rk) AS first, max(rk) AS last, max(n) AS n, max(p) AS p FROM ({curve}) WHERE cum > 0 GROUP BY {head}cum"
-    inner = (f"SELECT {head}k, CASE WHEN k = p THEN {dbl(1)} ELSE (first + last) / CAST(2 * n AS DOUBLE) END AS x,"
-             f" k / CAST(p AS DOUBLE) AS gain FROM ({pos})")
-    first = f"SELECT DISTINCT {head}CAST(0 AS BIGINT) AS k, {dbl(0)} AS x, {dbl(0)} AS gain FROM ({curve}) WHERE p > 0"
+    curve = f"SELECT {head}rk, CAST(cum AS BIGINT) AS cum, n, CAST(p AS BIGINT) AS p FROM ({ranked(source, label, by)})"
+    plateaus = (f"SELECT {head}cum AS k, min(rk) AS first, max(rk) AS last, max(n) AS n, max(p) AS p FROM ({curve})"
+                f" WHERE cum > 0 GROUP BY {head}cum")
+    inner = f"SELECT {head}k, CASE WHEN k = p THEN 2 * n ELSE first + last END AS a, n, p FROM ({plateaus})"
+    first = f"SELECT DISTINCT {head}CAST(0 AS BIGINT) AS k, CAST(0 AS BIGINT) AS a, n, p FROM ({curve}) WHERE p > 0"
     return f"{first} UNION ALL {inner}"
 
 
 def curve_grid(source: str, label: str, by: str = "") -> str:
     head = f"{by}, " if by else ""
     part = f"PARTITION BY {by}" if by else ""
-    seg = (f"SELECT *, lead(x) OVER ({part} ORDER BY k) AS x1, lead(gain) OVER ({part} ORDER BY k) AS g1"
-           f" FROM ({midpoints(source, label, by)})")
-    inside = "g / CAST(100 AS DOUBLE) >= x AND (g / CAST(100 AS DOUBLE) < x1 OR (g = 100 AND x1 = 1))"
-    return (f"SELECT {head}CAST(g AS INT) AS step, {r6('g / CAST(100 AS DOUBLE)')} AS x,"
-            f" {r6('gain + (g1 - gain) * (g / CAST(100 AS DOUBLE) - x) / (x1 - x)')} AS y"
-            f" FROM ({seg}), range(0, 101) t(g) WHERE x1 IS NOT NULL AND {inside}")
+    lines = f"SELECT *, lead(a) OVER ({part} ORDER BY k) AS b FROM ({midpoints(source, label, by)})"
+    inside = "2 * n * g >= 100 * a AND (2 * n * g < 100 * b OR (g = 100 AND b = 2 * n))"
+    share = "((2 * n * g) / CAST(100 AS DOUBLE) - a) / (b - a)"
+    return (f"SELECT {head}CAST(g AS INT) AS step, g / CAST(100 AS DOUBLE) AS x, (k + {share}) / p AS y"
+            f" FROM ({lines}), range(0, 101) t(g) WHERE b IS NOT NULL AND {inside}")
 
 
 LIFT = r6("hits / nullif(n_pos * depth, 0)")
@@ -430,7 +428,7 @@ ORACLES: dict[str, str] = {
     "gain_curve": f"WITH r AS ({ranked(SCORED, LABEL, 'period_dt')}) SELECT period_dt, rk AS rank, {r6('rk / CAST(n AS DOUBLE)')} AS x,"
                   f" {r6('cum / nullif(CAST(p AS DOUBLE), 0)')} AS gain FROM r UNION ALL"
                   f" SELECT DISTINCT period_dt, CAST(0 AS BIGINT), {dbl(0)}, {dbl(0)} FROM r",
-    "gain_midpoints": f"SELECT k, {r6('x')} AS x, {r6('gain')} AS gain FROM ({midpoints(SCORED, LABEL)})",
+    "gain_midpoints": f"SELECT k, {r6('a / CAST(2 * n AS DOUBLE)')} AS x, {r6('k / CAST(p AS DOUBLE)')} AS gain FROM ({midpoints(SCORED, LABEL)})",
     "gain_curve_grid": curve_grid(EVENTS, "ev_target_ind"),
     "period_stride": f"SELECT period_dt, CAST(rn AS INT) AS position FROM (SELECT period_dt, row_number() OVER (ORDER BY period_dt) AS rn"
                      f" FROM (SELECT DISTINCT period_dt FROM ({EVENTS}))) WHERE (rn - 1) % 2 = 0",

@@ -75,8 +75,13 @@ def _catalog(*names: str) -> Catalog:
     return catalog.reject(n for n in catalog.inputs() if n not in names)
 
 
+def _stored_obs(spark: SparkSession, folder: str) -> DataFrame:
+    """The joined table written once, for fits that read it several times, a few columns each."""
+    return _store(spark).save("obs", order_obs(spark, folder))
+
+
 def _halves(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    return train_test_split(order_obs(spark, folder), KEY)
+    return train_test_split(_stored_obs(spark, folder), KEY)
 
 
 def _screened() -> Catalog:
@@ -175,7 +180,7 @@ def missing_percent_filter(spark, folder):
 
 @query
 def class_level_filter_q(spark, folder):
-    kept = class_level_filter(order_obs(spark, folder), order_catalog(), 200)
+    kept = class_level_filter(_stored_obs(spark, folder), order_catalog(), 200)
     return kept.to_df(spark).select("name", "role", "level")
 
 
@@ -206,7 +211,7 @@ def column_modes(spark, folder):
 
 @query
 def quantile_knots(spark, folder):
-    return rounded(quantiles(order_obs(spark, folder), INTERVALS), "value")
+    return rounded(quantiles(_stored_obs(spark, folder), INTERVALS), "value")
 
 
 @query
@@ -244,25 +249,25 @@ def impute_params(spark, folder):
 
 @query
 def impute_interval_distn(spark, folder):
-    obs = order_obs(spark, folder)
+    obs = _stored_obs(spark, folder)
     return _imputed(fit_impute(obs, _catalog("acctbal", "sum_qty", "max_price"), KEY), obs)
 
 
 @query
 def impute_interval_literal(spark, folder):
-    obs = order_obs(spark, folder)
+    obs = _stored_obs(spark, folder)
     return _imputed(fit_impute(obs, _catalog("acctbal", "sum_qty", "max_price"), KEY, draw="literal"), obs)
 
 
 @query
 def impute_constant(spark, folder):
-    obs = order_obs(spark, folder)
+    obs = _stored_obs(spark, folder)
     return fit_impute(obs, _catalog("segment", "prio_rank", "n_lines"), KEY).transform(obs, keep="derived")
 
 
 @query
 def impute_binary_mode(spark, folder):
-    obs = order_obs(spark, folder)
+    obs = _stored_obs(spark, folder)
     return fit_impute(obs, _catalog("rich_flag"), KEY).transform(obs, keep="derived")
 
 
@@ -325,12 +330,12 @@ def class_histogram_q(spark, folder):
 
 @query
 def best_entropy_cut(spark, folder):
-    return rounded(first_cuts(order_obs(spark, folder), BINNED, LABEL), "cut", "gain")
+    return rounded(first_cuts(_stored_obs(spark, folder), BINNED, LABEL), "cut", "gain")
 
 
 @query
 def mdl_cuts_q(spark, folder):
-    cuts = mdl_cuts(order_obs(spark, folder), BINNED, LABEL)
+    cuts = mdl_cuts(_stored_obs(spark, folder), BINNED, LABEL)
     rows = [(var, i, cut) for var, found in cuts.items() for i, cut in enumerate(found)]
     return rounded(spark.createDataFrame(rows, "var string, pos int, cut double"), "cut")
 
@@ -365,7 +370,7 @@ def cluster_best_vars(spark, folder):
 
 @query
 def cluster_component_score(spark, folder):
-    obs = order_obs(spark, folder).fillna(0.0, ["sum_qty", "max_price"])
+    obs = _stored_obs(spark, folder).fillna(0.0, ["sum_qty", "max_price"])
     model = cluster_columns(obs, ["sum_qty", "max_price"], hyper=0.5)
     return rounded(model.scores(obs, [KEY]), "PC1_1")
 
@@ -401,8 +406,14 @@ CORRELATED = ["total_price", "planted", "p1", "ord_f_score_ind", "obs_id"]
 def _importance_table(spark, folder) -> DataFrame:
     """Strength of each column's linear relation to the target, as importance."""
     obs = order_obs(spark, folder)
-    strength = one_row_per_column(obs, CORRELATED, importance=lambda c: F.abs(F.corr(F.col(c).cast("double"), LABEL)))
-    return strength.select("var", F.round(F.coalesce(F.nanvl("importance", F.lit(0.0)), F.lit(0.0)), 6).alias("importance"))
+    y = F.col(LABEL).cast("double")
+
+    def strength(c: str) -> Column:
+        x = F.col(c).cast("double")
+        spread = F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
+        return F.round(F.coalesce(F.abs(F.covar_pop(x, y) / spread), F.lit(0.0)), 6)
+
+    return one_row_per_column(obs, CORRELATED, importance=strength)
 
 
 @query
@@ -428,7 +439,7 @@ def final_prep(spark, folder):
 
 @query
 def binary_to_ind(spark, folder):
-    obs = order_obs(spark, folder)
+    obs = _stored_obs(spark, folder)
     return fit_prep(obs, _catalog("rich_flag")).transform(obs, [KEY])
 
 
@@ -496,7 +507,7 @@ def gain_midpoints_q(spark, folder):
 
 @query
 def gain_curve_grid(spark, folder):
-    return rounded(gain_grid(event_obs(spark, folder), "ev_target_ind", SCORE, KEY), "x", "y")
+    return gain_grid(event_obs(spark, folder), "ev_target_ind", SCORE, KEY)
 
 
 @query
@@ -512,7 +523,7 @@ def group_by_month(spark, folder):
 
 @query
 def lift_stability_q(spark, folder):
-    return rounded(lift_stability(scored_orders(spark, folder), LABEL, SCORE, PERIOD, KEY), "x", "y")
+    return lift_stability(scored_orders(spark, folder), LABEL, SCORE, PERIOD, KEY)
 
 
 @query
