@@ -7,7 +7,7 @@ from tests.compare import connect, differences
 from tests.conftest import FULL, SMALL
 
 # Their columns are levels that the smallest tables do not all hold.
-NEEDS_FULL = {"final_prep", "group_rare_test", "mdl_cuts"}
+NEEDS_FULL = {"final_prep", "group_rare_test", "group_rare_train", "mdl_cuts", "prep_apply", "prep_train"}
 
 
 @pytest.fixture(scope="module")
