@@ -26,16 +26,16 @@ CELL = "__cell"
 ORDER = "__order"
 TIE = "__tie"
 
-_MIN_CELLS, _MAX_CELLS = 512, 4096
+_MAX_CELLS = 4096
 _HEAVY = 4  # a value met at this many neighbouring cut points is divided by key
 _TIE_PARTS = 256
 _TIE_CLAMP = 1.0 - 2.0**-20
 
 
-def default_cells(spark: SparkSession) -> int:
+def default_cells(spark: SparkSession, least: int = 512) -> int:
     """Cells grow with the width the session shuffles at."""
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(_MIN_CELLS, min(_MAX_CELLS, 4 * width))
+    return max(least, min(_MAX_CELLS, 4 * width))
 
 
 def descending(score: str) -> Column:

@@ -129,7 +129,7 @@ def mdl_cuts(df: DataFrame, columns: Sequence[str], target: str, n_cells: int |
     if not columns:
         return {}
     cuts: dict[str, list[float]] = {}
-    with held(_running(df, columns, target, n_cells or default_cells(df.sparkSession))) as running:
+    with held(_running(df, columns, target, n_cells or default_cells(df.sparkSession, 64))) as running:
         totals = running.groupBy("var").agg(
             F.max("value").alias("high"), F.max("c0").alias("n0"), F.max("c1").alias("n1"))
         open_ = [
@@ -153,7 +153,7 @@ def mdl_cuts(df: DataFrame, columns: Sequence[str], target: str, n_cells: int |
 
 def first_cuts(df: DataFrame, columns: Sequence[str], target: str, n_cells: int | None = None) -> DataFrame:
     """``(var, cut, gain)``: the best single cut of each column, accepted or not."""
-    running = _running(df, columns, target, n_cells or default_cells(df.sparkSession))
+    running = _running(df, columns, target, n_cells or default_cells(df.sparkSession, 64))
     totals = running.groupBy("var").agg(F.max("c0").alias("t0"), F.max("c1").alias("t1"))
     a0, a1 = F.col("c0"), F.col("c1")
     b0, b1 = F.col("t0") - a0, F.col("t1") - a1

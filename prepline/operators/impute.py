@@ -71,9 +71,9 @@ class ImputeModel:
 
     def _segment(self, fill: Fill) -> Column:
         """Number of the quantile segment the first draw falls in, from 1."""
-        u = F.col(f"`__u1_{fill.var}`")
         limits = KNOTS if self.draw == "probability" else fill.knots
-        return sum(((u > F.lit(float(v))).cast("int") for v in limits[1:-1]), F.lit(1))
+        above = [f"int(`__u1_{fill.var}` > {float(v)!r}D)" for v in limits[1:-1]]
+        return F.expr(" + ".join(["1", *above]))
 
     def _within(self, fill: Fill) -> Column:
         """The second draw, spread over the segment."""

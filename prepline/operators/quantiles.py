@@ -91,7 +91,7 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Sequence[flo
     statistic, and only the values of the cells that hold one are looked at,
     as distinct values with their counts. A column without values has no rows.
     """
-    n = n_cells or default_cells(df.sparkSession)
+    n = n_cells or default_cells(df.sparkSession, 64)
     columns = list(columns)
     parts = [_chunk_quantiles(df, columns[i:i + _CHUNK], probabilities, n) for i in range(0, len(columns), _CHUNK)]
     out = parts[0]

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Recording a Python stack for every column expression costs more than planning them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
