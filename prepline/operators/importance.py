@@ -15,15 +15,33 @@ from pyspark.sql import types as T
 from prepline.catalog import Catalog
 from prepline.operators.encode import fetch_levels
 from prepline.operators.profile import level_profile
+from prepline.session import cut_lineage
 
 MAX_DEPTH = 30  # the deepest tree Spark grows
 
 
 def label_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(var, level, code)``: sorted levels numbered from 0 within each column."""
-    levels = level_profile(df, columns).filter(F.col("level").isNotNull())
-    order = Window.partitionBy("var").orderBy("level")
-    return levels.select("var", "level", (F.row_number().over(order) - 1).cast("int").alias("code"))
+    levels = level_profile(df, columns).filter(F.col("level").isNotNull()).select("var", "level")
+    return number_sorted(levels, "var", "level", "code")
+
+
+def number_sorted(df: DataFrame, group: str, order: str, number: str) -> DataFrame:
+    """Number the rows of each group from 0 in order; ``(group, order)`` is unique.
+
+    The rows are cut into ranges over both columns, so a group of any size is
+    spread out. Their places are stored once; how many rows come before each
+    range then takes one row per range and group.
+    """
+    place = F.monotonically_increasing_id()
+    placed = cut_lineage(
+        df.repartitionByRange(group, order).sortWithinPartitions(group, order)
+        .withColumn("__place", place).withColumn("__range", F.shiftright("__place", 33)))
+    before = Window.partitionBy(group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = placed.groupBy(group, "__range").agg(F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__n")).select(
+        group, "__range", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    code = (F.col("__place") - F.col("__first") + F.col("__before")).cast("int")
+    return placed.join(F.broadcast(ranges), [group, "__range"]).select(*df.columns, code.alias(number))
 
 
 def coded(name: str, levels: Sequence[str]) -> Column:

@@ -224,7 +224,7 @@ def curve_grid(source: str, label: str, by: str = "") -> str:
             f" FROM ({lines}), range(0, 101) t(g) WHERE b IS NOT NULL AND {inside}")
 
 
-LIFT = r6("hits / nullif(n_pos * depth, 0)")
+LIFT = "hits / nullif(n_pos * depth, 0)"
 
 # --- thresholds ---------------------------------------------------------------------
 
@@ -367,7 +367,7 @@ ORACLES: dict[str, str] = {
                    f" <= floor((SELECT count(*) FROM s) * {dbl(0.4)}) AS in_sample FROM s",
     "kfold_assign": f"{SC} SELECT obs_id, CAST(floor({uniform('fold')} * 4) AS INT) AS fold FROM s",
     "keyed_uniform": f"WITH e AS ({EVENTS}) SELECT obs_id, {uniform('draw')} AS u FROM e",
-    "missing_profile": f"{OBS} SELECT var, n_rows, n_missing, {r6('n_missing / CAST(n_rows AS DOUBLE)')} AS missing_share FROM ("
+    "missing_profile": f"{OBS} SELECT var, n_rows, n_missing, n_missing / CAST(n_rows AS DOUBLE) AS missing_share FROM ("
                        + " UNION ALL ".join(_missing(c) for c in _NAMES) + ")",
     "missing_percent_filter": f"{OBS}, m AS (" + " UNION ALL ".join(_missing(c) for c in _NAMES) + ") "
                               + _catalog_after(f"(SELECT n_missing / CAST(n_rows AS DOUBLE) FROM m WHERE m.var = v.name) > {dbl(0.99)}"),
@@ -388,7 +388,7 @@ ORACLES: dict[str, str] = {
     "impute_interval_literal": f"{OBS} {imputed('obs', 'obs', ['acctbal', 'sum_qty', 'max_price'], literal=True)}",
     "impute_constant": f"{OBS} {imputed('obs', 'obs', [], ORDINALS, ['segment'])}",
     "impute_binary_mode": f"{OBS} {imputed('obs', 'obs', [], binaries=BINARIES)}",
-    "rare_levels": f"{OBS} SELECT var, level, n, {r6('share')} AS share FROM ({rare('obs', NOMINALS)})",
+    "rare_levels": f"{OBS} SELECT var, level, n, share FROM ({rare('obs', NOMINALS)})",
     "group_rare_train": f"{HALVES}, rare AS ({rare('train', TWO_NOMINAL)}) SELECT obs_id, {pooled('nation')} AS BIN_nation FROM train",
     "group_rare_test": f"{HALVES}, rare AS ({rare('train', ['nation', 'cust_code'])}) SELECT obs_id, {pooled('nation')} AS BIN_nation,"
                        f" {pooled('cust_code')} AS BIN_cust_code FROM test",
@@ -423,12 +423,12 @@ ORACLES: dict[str, str] = {
     "scale_target": f"{HALVES} SELECT obs_id, {r6(ranged(LABEL))} AS ranged, {r6(zscored(LABEL))} AS zscored FROM test",
     "global_rank": f"SELECT obs_id, rk AS rank, CAST(cum AS BIGINT) AS cum_pos FROM ({ranked(SCORED, LABEL)})",
     "lift_at_depth": f"SELECT depth, hits, {LIFT} AS lift FROM ({hits(SCORED, LABEL, LIFT_DEPTHS)})",
-    "cum_lift_at_depth": f"SELECT period_dt, depth, hits, {r6('hits / nullif(CAST(n_pos AS DOUBLE), 0)')} AS cum_lift"
+    "cum_lift_at_depth": f"SELECT period_dt, depth, hits, hits / nullif(CAST(n_pos AS DOUBLE), 0) AS cum_lift"
                          f" FROM ({hits(SCORED, LABEL, [0.2], 'period_dt')})",
-    "gain_curve": f"WITH r AS ({ranked(SCORED, LABEL, 'period_dt')}) SELECT period_dt, rk AS rank, {r6('rk / CAST(n AS DOUBLE)')} AS x,"
-                  f" {r6('cum / nullif(CAST(p AS DOUBLE), 0)')} AS gain FROM r UNION ALL"
+    "gain_curve": f"WITH r AS ({ranked(SCORED, LABEL, 'period_dt')}) SELECT period_dt, rk AS rank, rk / CAST(n AS DOUBLE) AS x,"
+                  f" CAST(cum AS DOUBLE) / nullif(CAST(p AS DOUBLE), 0) AS gain FROM r UNION ALL"
                   f" SELECT DISTINCT period_dt, CAST(0 AS BIGINT), {dbl(0)}, {dbl(0)} FROM r",
-    "gain_midpoints": f"SELECT k, {r6('a / CAST(2 * n AS DOUBLE)')} AS x, {r6('k / CAST(p AS DOUBLE)')} AS gain FROM ({midpoints(SCORED, LABEL)})",
+    "gain_midpoints": f"SELECT k, a / CAST(2 * n AS DOUBLE) AS x, k / CAST(p AS DOUBLE) AS gain FROM ({midpoints(SCORED, LABEL)})",
     "gain_curve_grid": curve_grid(EVENTS, "ev_target_ind"),
     "period_stride": f"SELECT period_dt, CAST(rn AS INT) AS position FROM (SELECT period_dt, row_number() OVER (ORDER BY period_dt) AS rn"
                      f" FROM (SELECT DISTINCT period_dt FROM ({EVENTS}))) WHERE (rn - 1) % 2 = 0",

@@ -1,7 +1,7 @@
 """Every operator as a query over the tables of a folder.
 
-Each entry takes ``(spark, folder)`` and returns a frame. Fractions are rounded
-so that engines that add in another order agree.
+Each entry takes ``(spark, folder)`` and returns a frame. Results that depend on
+the order of additions are rounded so that engines agree; ratios of counts are not.
 """
 
 from __future__ import annotations
@@ -169,7 +169,7 @@ def keyed_uniform_q(spark, folder):
 
 @query
 def missing_profile_q(spark, folder):
-    return rounded(missing_profile(order_obs(spark, folder)), "missing_share")
+    return missing_profile(order_obs(spark, folder))
 
 
 @query
@@ -276,7 +276,7 @@ def impute_binary_mode(spark, folder):
 
 @query
 def rare_levels_q(spark, folder):
-    return rounded(rare_levels(order_obs(spark, folder), NOMINALS), "share")
+    return rare_levels(order_obs(spark, folder), NOMINALS)
 
 
 @query
@@ -486,23 +486,22 @@ def global_rank(spark, folder):
 @query
 def lift_at_depth(spark, folder):
     hits = hits_at_depth(scored_orders(spark, folder), LABEL, SCORE, KEY, LIFT_DEPTHS)
-    return hits.select("depth", "hits", r6(lift_value()).alias("lift"))
+    return hits.select("depth", "hits", lift_value().alias("lift"))
 
 
 @query
 def cum_lift_at_depth(spark, folder):
-    return rounded(cum_lift(scored_orders(spark, folder), LABEL, SCORE, KEY, 0.2, by=[PERIOD]), "cum_lift").select(
-        PERIOD, "depth", "hits", "cum_lift")
+    return cum_lift(scored_orders(spark, folder), LABEL, SCORE, KEY, 0.2, by=[PERIOD]).drop("n_pos")
 
 
 @query
 def gain_curve_q(spark, folder):
-    return rounded(gain_curve(scored_orders(spark, folder), LABEL, SCORE, KEY, by=[PERIOD]), "x", "gain")
+    return gain_curve(scored_orders(spark, folder), LABEL, SCORE, KEY, by=[PERIOD])
 
 
 @query
 def gain_midpoints_q(spark, folder):
-    return rounded(gain_midpoints(scored_orders(spark, folder), LABEL, SCORE, KEY), "x", "gain")
+    return gain_midpoints(scored_orders(spark, folder), LABEL, SCORE, KEY)
 
 
 @query
@@ -528,13 +527,12 @@ def lift_stability_q(spark, folder):
 
 @query
 def decile_stability_q(spark, folder):
-    return rounded(decile_stability(scored_orders(spark, folder), LABEL, SCORE, PERIOD, KEY), "lift")
+    return decile_stability(scored_orders(spark, folder), LABEL, SCORE, PERIOD, KEY)
 
 
 @query
 def decile_stability_events(spark, folder):
-    out = decile_stability(event_obs(spark, folder), "ev_target_ind", SCORE, PERIOD, KEY, by_month=True)
-    return rounded(out, "lift")
+    return decile_stability(event_obs(spark, folder), "ev_target_ind", SCORE, PERIOD, KEY, by_month=True)
 
 
 @query
@@ -601,7 +599,7 @@ def _blends(spark, folder) -> tuple[DataFrame, list[str]]:
 
 def _blend_scores(spark, folder) -> DataFrame:
     wide, names = _blends(spark, folder)
-    return rounded(search.score_by_setting(wide, names, LABEL, KEY, "lift", 0.1), "score")
+    return search.score_by_setting(wide, names, LABEL, KEY, "lift", 0.1)
 
 
 @query

@@ -12,7 +12,7 @@ from prepline.catalog import Catalog
 from prepline.operators.cells import CELL, descending, plan_cells
 from prepline.operators.cluster import cluster_columns, split_columns
 from prepline.operators.discretize import BinModel, fit_bins, mdl_cuts
-from prepline.operators.importance import forest_selection, tree_selection
+from prepline.operators.importance import forest_selection, number_sorted, tree_selection
 from prepline.operators.lift import DECILES, gain_grid, hits_at_depth
 from prepline.operators.quantiles import KNOTS, quantiles
 from prepline.operators.rank import rank_rows
@@ -172,6 +172,13 @@ def test_single_cluster_and_singletons(spark):
         split_columns(np.eye(2), "Other", 1.0, 10)
 
 
+def test_numbering_spreads_large_groups(spark):
+    df = spark.range(5000).select(
+        F.when(F.col("id") < 4000, "big").otherwise("small").alias("g"), F.format_string("%05d", "id").alias("v"))
+    found = number_sorted(df.repartition(5), "g", "v", "n").collect()
+    assert all(r["n"] == int(r["v"]) - (0 if r["g"] == "big" else 4000) for r in found) and len(found) == 5000
+
+
 def test_planted_column_is_most_important(spark):
     df = spark.range(600).select(
         (F.col("id") % 2).cast("int").alias("y"), (F.col("id") % 2 + F.col("id") % 3 * 0.1).alias("signal"),
