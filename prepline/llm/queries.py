@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prepline.llm import fingerprints, mixing, sharding
+import public_tokenizers
+
+import corpus_pipeline
+from prepline.llm import (
+    bpe, fingerprints, host_rules, lang_id, lm, mixing, near_dedup, sharding, toxicity, weak_quality,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -19,10 +24,61 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def remainder(of: int) -> Column:
+    """The part of a document in a split by its key."""
+    return F.crc32(F.col("doc_id").cast("string")) % of
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+@query
+def op1_toxicity(spark, folder):
+    docs = documents(spark, folder)
+    labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
+    net = toxicity.fit_toxicity(docs.filter(remainder(5) != 0).select("doc_id", "text").join(labels, "doc_id"))
+    scored = toxicity.score_toxicity(docs, net)
+    return scored.select("doc_id", F.coalesce(remainder(5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query
+def op2_bpe(spark, folder):
+    encoder = bpe.load_encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.round_trip_digests(documents(spark, folder), encoder)
+
+
+@query
+def op3_lm(spark, folder):
+    training = F.coalesce(remainder(7) != 2, F.lit(True))
+    scored = lm.score_texts(documents(spark, folder), training)
+    return scored.select("doc_id", (~training).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op4_quality(spark, folder):
+    docs = documents(spark, folder)
+    return weak_quality.classify(docs, weak_quality.fit_quality(docs))
+
+
+@query
+def op5_host_rules(spark, folder):
+    return host_rules.judged(documents(spark, folder))
+
+
+@query
+def op6_near_dedup(spark, folder):
+    return near_dedup.near_duplicates(documents(spark, folder))
+
+
+@query
+def op7_language(spark, folder):
+    docs = documents(spark, folder)
+    held_out = F.coalesce(remainder(4) == 2, F.lit(False))
+    found = lang_id.identify(docs, lang_id.fit_languages(docs.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op8_sharding(spark, folder):
     rows = sharding.shard_rows(documents(spark, folder))
@@ -83,3 +139,8 @@ FROM x JOIN z ON x.source IS NOT DISTINCT FROM z.source AND x.trial = z.trial"""
 @query
 def op10_fingerprints(spark, folder):
     return fingerprints.edited_fingerprints(documents(spark, folder))
+
+
+@query
+def pipeline(spark, folder):
+    return corpus_pipeline.run(spark, folder)
