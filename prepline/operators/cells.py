@@ -14,6 +14,7 @@ so placing a row is the same on every run and in every task.
 from __future__ import annotations
 
 import math
+import sys
 from collections import Counter
 from dataclasses import dataclass
 
@@ -26,27 +27,26 @@ CELL = "__cell"
 ORDER = "__order"
 TIE = "__tie"
 
-_MAX_CELLS = 4096
+_CELL_ROWS = 1 << 21  # more rows than this in an average cell call for more cells
 _HEAVY = 4  # a value met at this many neighbouring cut points is divided by key
-_TIE_PARTS = 256
+_LAST = sys.float_info.max  # stands for a missing score, so that its rows are a value like any other
 _TIE_CLAMP = 1.0 - 2.0**-20
 
 
 def default_cells(spark: SparkSession, least: int = 512) -> int:
     """Cells grow with the width the session shuffles at."""
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, min(_MAX_CELLS, 4 * width))
+    return max(least, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def descending(score: str) -> Column:
     """Ascending stand-in for a score sorted from high to low; missing comes last."""
     s = -F.col(score).cast("double")
-    return F.when(s.isNull() | F.isnan(s), F.lit(float("inf"))).otherwise(s)
+    return F.when(s.isNull() | F.isnan(s), F.lit(_LAST)).otherwise(s)
 
 
 def ascending(value: str) -> Column:
     v = F.col(value).cast("double")
-    return F.when(v.isNull() | F.isnan(v), F.lit(float("inf"))).otherwise(v)
+    return F.when(v.isNull() | F.isnan(v), F.lit(_LAST)).otherwise(v)
 
 
 def tie_columns(df: DataFrame, key: str | list[str]) -> list[Column]:
@@ -96,11 +96,20 @@ class CellPlan:
         return bucketize(placed, TIE, list(self.tie_edges), CELL).drop(TIE)
 
 
+def _count_and_cuts(narrow: DataFrame, n: int) -> tuple[int, list[float]]:
+    """Rows and cut points from one pass."""
+    probabilities = [i / n for i in range(1, n)]
+    row = narrow.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(ORDER, probabilities, 2 * n).alias("cuts")).first()
+    return row["n"], [v for v in row["cuts"] or [] if math.isfinite(v)]
+
+
 def plan_cells(df: DataFrame, order: Column, tie: Column, n_cells: int | None = None) -> CellPlan:
     """Choose cut points so that every cell holds a small share of all rows."""
-    n = n_cells or default_cells(df.sparkSession)
     narrow = df.select(order.alias(ORDER), tie.alias(TIE))
-    (cuts,) = quantile_cuts(narrow, [ORDER], n)
+    n = n_cells or default_cells(df.sparkSession)
+    rows, cuts = _count_and_cuts(narrow, n)
+    if n_cells is None and rows > n * _CELL_ROWS:
+        _, cuts = _count_and_cuts(narrow, math.ceil(rows / _CELL_ROWS))
     met = Counter(cuts)
     # [v, next float after v) holds v alone, so tied rows never share a cell with others.
     edges = sorted({e for v in met for e in (v, math.nextafter(v, math.inf))} - {math.inf})
@@ -108,14 +117,15 @@ def plan_cells(df: DataFrame, order: Column, tie: Column, n_cells: int | None =
     if not heavy:
         return CellPlan(tuple(edges))
 
-    probabilities = [i / _TIE_PARTS for i in range(1, _TIE_PARTS)]
+    most = max(met[v] for v in heavy)  # as many parts as the value has cells' worth of rows
+    probabilities = [i / most for i in range(1, most)]
     ties = (
         narrow.filter(F.col(ORDER).isin(heavy))
         .groupBy(ORDER)
         .agg(
             F.min(TIE).alias("low"),
             F.max(TIE).alias("high"),
-            F.percentile_approx(TIE, probabilities, 4 * _TIE_PARTS).alias("cuts"),
+            F.percentile_approx(TIE, probabilities, 4 * most).alias("cuts"),
         )
         .collect()  # at most n_cells / _HEAVY rows
     )
@@ -124,8 +134,8 @@ def plan_cells(df: DataFrame, order: Column, tie: Column, n_cells: int | None =
     position = {e: i + 1 for i, e in enumerate(edges)}
     tie_edges = {float(i) for i in range(1, len(edges) + 1)}
     for r in ties:
-        parts = min(_TIE_PARTS, met[r[ORDER]])
-        step = _TIE_PARTS / parts
+        parts = met[r[ORDER]]
+        step = most / parts
         for j in range(1, parts):
             share = (float(r["cuts"][int(j * step) - 1]) - low) / span
             tie_edges.add(position[r[ORDER]] + max(0.0, min(share, _TIE_CLAMP)))

@@ -145,6 +145,12 @@ class ClusterModel:
     def to_json(self) -> str:
         return json.dumps({"rows": [vars(r) for r in self.rows], "components": [vars(p) for p in self.components]})
 
+    @classmethod
+    def from_json(cls, text: str) -> ClusterModel:
+        state = json.loads(text)
+        parts = [{k: tuple(v) if isinstance(v, list) else v for k, v in p.items()} for p in state["components"]]
+        return cls(tuple(ClusterRow(**r) for r in state["rows"]), tuple(Component(**p) for p in parts))
+
 
 def cluster_columns(df: DataFrame, columns: Sequence[str], method: str = "VariationProportion",
                     hyper: float = 0.8) -> ClusterModel:

@@ -6,16 +6,18 @@ import json
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prepline.catalog import BINARY, INTERVAL, NOMINAL, ORDINAL, Catalog
 from prepline.functions import clean
-from prepline.operators.levels import INLINE, level_set
+from prepline.operators.levels import INLINE, level_set, look_up
 from prepline.operators.profile import distinct_levels, one_row_per_column
-from prepline.session import held
+from prepline.operators.rank import number_sorted
+from prepline.session import cut_lineage, held
 
 SCALES = ("Range", "Z Score", None)
 
@@ -30,10 +32,43 @@ def yes_no(df: DataFrame, name: str) -> Column:
 
 def dummies(name: str, levels: Sequence[str]) -> list[Column]:
     """A 0/1 column for every level after the first; unseen and missing are all 0."""
-    c = F.col(f"`{name}`")
+    c = F.col(f"`{name}`").cast("string")
     return [F.coalesce((c == v).cast("int"), F.lit(0)).alias(f"{name}_{v}") for v in levels[1:]]
 
 
+@dataclass(frozen=True)
+class LevelCodes:
+    """Sorted levels without missing: literals for short lists, a table of ``(var, level, code)`` for long ones."""
+
+    inline: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    sizes: dict[str, int] = field(default_factory=dict)  # of the long lists
+    table: DataFrame | None = None
+
+    def entries(self, column: str) -> DataFrame:
+        return self.table.filter(F.col("var") == column).select("level", F.col("code").alias("__code"))
+
+    def add(self, df: DataFrame, column: str, out: str) -> DataFrame:
+        """The position of the value among the sorted levels; null for unseen and missing."""
+        if column in self.inline:
+            position = F.array_position(F.lit(list(self.inline[column])), F.col(f"`{column}`").cast("string"))
+            return df.withColumn(out, F.when(position > 0, position - 1))
+        return look_up(df, column, self.entries(column), "__code").withColumnRenamed("__code", out)
+
+
+def level_codes(df: DataFrame, columns: Sequence[str], inline: int = INLINE) -> LevelCodes:
+    """Codes of the levels of any number of columns, of any length."""
+    if not columns:
+        return LevelCodes()
+    with held(distinct_levels(df, columns).filter(F.col("level").isNotNull())) as levels:
+        found = level_set(levels, inline)
+        if not found.stored:
+            return LevelCodes({c: found.inline.get(c, ()) for c in columns})
+        table = number_sorted(levels.filter(F.col("var").isin(list(found.stored))).select("var", "level"), "var", "level", "code")
+        table = cut_lineage(table)
+    sizes = {r["var"]: r["count"] for r in table.groupBy("var").count().collect()}
+    return LevelCodes({c: found.inline.get(c, ()) for c in columns if c not in sizes}, sizes, table)
+
+
 @dataclass(frozen=True)
 class Scale:
     """``value -> low + (value - shift) / span * width``; a constant column gets ``low``."""
@@ -80,31 +115,48 @@ class PrepModel:
     inputs: tuple[str, ...]
     target: str
     binary: tuple[str, ...] = ()
-    levels: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    levels: LevelCodes = field(default_factory=LevelCodes)
     scales: dict[str, Scale] = field(default_factory=dict)
     target_scale: Scale | None = None
 
     def feature_names(self) -> list[str]:
-        out = [c for c in self.inputs if c not in self.levels]
-        return out + [f"{c}_{v}" for c, vs in self.levels.items() for v in vs[1:]]
+        """Names in the order of the feature vector; a long list of levels is one vector, named for its column."""
+        out = [c for c in self.inputs if c not in self.levels.inline and c not in self.levels.sizes]
+        return out + [f"{c}_{v}" for c, vs in self.levels.inline.items() for v in vs[1:]] + [f"{c}_levels" for c in self.levels.sizes]
 
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-        """``keep``, the target, and the prepared inputs: the same columns for any table."""
+        """``keep``, the target, and the prepared inputs: the same columns for any table.
+
+        A nominal column with a long list of levels becomes one sparse vector ``<name>_levels``
+        with the same entries that its 0/1 columns would have.
+        """
         columns = []
+        for c in self.levels.sizes:
+            df = self._one_hot(df, c)
         for c in self.inputs:
-            if c in self.levels:
+            if c in self.levels.inline or c in self.levels.sizes:
                 continue
             value = yes_no(df, c) if c in self.binary else F.col(f"`{c}`")
             if c in self.scales:
                 value = self.scales[c].apply(clean(df, c).cast("double"))
             columns.append(value.alias(c))
-        for c, levels in self.levels.items():
+        for c, levels in self.levels.inline.items():
             columns += dummies(c, levels)
+        columns += [F.col(f"`{c}_levels`") for c in self.levels.sizes]
         target = F.col(f"`{self.target}`")
         if self.target_scale is not None:
             target = self.target_scale.apply(target.cast("double"))
         return df.select(*keep, target.alias(self.target), *columns)
 
+    def _one_hot(self, df: DataFrame, column: str) -> DataFrame:
+        """The first level, unseen and missing take the place that the encoder leaves out."""
+        n = self.levels.sizes[column]
+        coded = self.levels.add(df, column, "__c").withColumn(
+            "__c", F.when(F.col("__c") > 0, F.col("__c") - 1).otherwise(n - 1).cast("double"))
+        size = df.sparkSession.createDataFrame([(float(n - 1),)], "__c double")
+        encoder = OneHotEncoder(inputCols=["__c"], outputCols=[f"{column}_levels"], dropLast=True).fit(size)
+        return encoder.transform(coded).drop("__c")
+
     def features(self, df: DataFrame, keep: Sequence[str] = (), label: str = "label",
                  out: str = "features") -> DataFrame:
         """``keep``, the label and one vector, for ``pyspark.ml``."""
@@ -113,35 +165,32 @@ class PrepModel:
         safe = [f"f{i}" for i in range(len(names))]  # the assembler reads dots as nesting
         renamed = flat.select(
             *keep, F.col(f"`{self.target}`").cast("double").alias(label),
-            *[F.col(f"`{n}`").cast("double").alias(s) for n, s in zip(names, safe)],
+            *[(F.col(f"`{n}`") if isinstance(flat.schema[n].dataType, VectorUDT) else F.col(f"`{n}`").cast("double")).alias(s)
+              for n, s in zip(names, safe)],
         )
         return VectorAssembler(inputCols=safe, outputCol=out).transform(renamed).select(*keep, label, out)
 
+    def tables(self) -> dict[str, DataFrame]:
+        return {} if self.levels.table is None else {"codes": self.levels.table}
+
     def to_json(self) -> str:
-        return json.dumps(asdict(self))
+        return json.dumps({
+            "inputs": self.inputs, "target": self.target, "binary": self.binary, "levels": self.levels.inline,
+            "sizes": self.levels.sizes, "scales": {c: asdict(v) for c, v in self.scales.items()},
+            "target_scale": asdict(self.target_scale) if self.target_scale else None})
 
     @classmethod
-    def from_json(cls, text: str) -> PrepModel:
+    def from_json(cls, text: str, tables: dict[str, DataFrame] | None = None) -> PrepModel:
         s = json.loads(text)
         target_scale = Scale(**s["target_scale"]) if s["target_scale"] else None
-        return cls(tuple(s["inputs"]), s["target"], tuple(s["binary"]),
-                   {c: tuple(v) for c, v in s["levels"].items()},
+        codes = LevelCodes({c: tuple(v) for c, v in s["levels"].items()}, s["sizes"], (tables or {}).get("codes"))
+        return cls(tuple(s["inputs"]), s["target"], tuple(s["binary"]), codes,
                    {c: Scale(**v) for c, v in s["scales"].items()}, target_scale)
 
 
-def fetch_levels(df: DataFrame, columns: Sequence[str], limit: int = INLINE) -> dict[str, tuple[str, ...]]:
-    """Sorted levels without missing; refuses a column with too many to become columns or codes."""
-    if not columns:
-        return {}
-    with held(distinct_levels(df, columns)) as levels:
-        found = level_set(levels, limit)
-    if found.stored:
-        raise ValueError(f"more than {limit} levels, screen these columns first: {list(found.stored)}")
-    return {c: tuple(v for v in found.inline.get(c, ()) if v is not None) for c in columns}
-
-
 def fit_prep(train: DataFrame, catalog: Catalog, binary_to_ind: bool = True, nominal_to_dummies: bool = True,
-             input_scale: str | None = "Range", target_scale: str | None = None) -> PrepModel:
+             input_scale: str | None = "Range", target_scale: str | None = None, inline: int = INLINE) -> PrepModel:
+    """``inline`` is the number of levels from which on a nominal column becomes one vector."""
     numbers = catalog.inputs((INTERVAL, ORDINAL))
     target = catalog.target()
     scaled_target = fit_scales(train, [target], target_scale).get(target)
@@ -149,7 +198,7 @@ def fit_prep(train: DataFrame, catalog: Catalog, binary_to_ind: bool = True, nom
         inputs=tuple(catalog.inputs()),
         target=target,
         binary=tuple(catalog.inputs(BINARY)) if binary_to_ind else (),
-        levels=fetch_levels(train, catalog.inputs(NOMINAL)) if nominal_to_dummies else {},
+        levels=level_codes(train, catalog.inputs(NOMINAL), inline) if nominal_to_dummies else LevelCodes(),
         scales=fit_scales(train, numbers, input_scale),
         target_scale=scaled_target,
     )

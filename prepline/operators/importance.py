@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import math
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from prepline.catalog import Catalog
-from prepline.operators.encode import fetch_levels
+from prepline.operators.encode import level_codes
 from prepline.operators.profile import level_profile
-from prepline.session import cut_lineage
+from prepline.operators.rank import number_sorted
 
 MAX_DEPTH = 30  # the deepest tree Spark grows
 
@@ -26,48 +26,37 @@ def label_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return number_sorted(levels, "var", "level", "code")
 
 
-def number_sorted(df: DataFrame, group: str, order: str, number: str) -> DataFrame:
-    """Number the rows of each group from 0 in order; ``(group, order)`` is unique.
-
-    The rows are cut into ranges over both columns, so a group of any size is
-    spread out. Their places are stored once; how many rows come before each
-    range then takes one row per range and group.
-    """
-    place = F.monotonically_increasing_id()
-    placed = cut_lineage(
-        df.repartitionByRange(group, order).sortWithinPartitions(group, order)
-        .withColumn("__place", place).withColumn("__range", F.shiftright("__place", 33)))
-    before = Window.partitionBy(group).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = placed.groupBy(group, "__range").agg(F.min("__place").alias("__first"), F.count(F.lit(1)).alias("__n")).select(
-        group, "__range", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    code = (F.col("__place") - F.col("__first") + F.col("__before")).cast("int")
-    return placed.join(F.broadcast(ranges), [group, "__range"]).select(*df.columns, code.alias(number))
-
-
-def coded(name: str, levels: Sequence[str]) -> Column:
-    """Position of a level in its sorted list, as a plain number that trees split by order."""
-    position = F.array_position(F.lit(list(levels)), F.col(f"`{name}`"))
-    return F.when(position > 0, position - 1)
-
-
 def string_columns(df: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c in columns if isinstance(df.schema[c].dataType, T.StringType)]
 
 
 def encode_labels(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """``keep`` and every column as a number; text becomes its level code."""
-    levels = fetch_levels(df, string_columns(df, columns))
-    return df.select(*keep, *[
-        (coded(c, levels[c]) if c in levels else F.col(f"`{c}`")).cast("double").alias(c) for c in columns
-    ])
+    """``keep`` and every column as a number; text becomes its level code, which trees split by order."""
+    text = string_columns(df, columns)
+    codes = level_codes(df, text)
+    out = df
+    for i, c in enumerate(text):
+        out = codes.add(out, c, f"__code_{i}")
+    number = {c: f"__code_{i}" for i, c in enumerate(text)}
+    return out.select(*keep, *[F.col(f"`{number.get(c, c)}`").cast("double").alias(c) for c in columns])
 
 
 @dataclass(frozen=True)
 class ImportanceModel:
+    """``model`` is the fitted learner; a model read back from its state has none, as selection needs none."""
+
     model: object
     importance: tuple[tuple[str, float], ...]
     rejected: tuple[str, ...] = ()
 
+    def to_json(self) -> str:
+        return json.dumps({"importance": self.importance, "rejected": self.rejected})
+
+    @classmethod
+    def from_json(cls, text: str) -> ImportanceModel:
+        state = json.loads(text)
+        return cls(None, tuple((v, i) for v, i in state["importance"]), tuple(state["rejected"]))
+
     def catalog(self, catalog: Catalog) -> Catalog:
         return catalog.reject(self.rejected)
 
@@ -96,18 +85,20 @@ def reject_by_percentage(table: DataFrame, share: float) -> DataFrame:
     return cut.withColumn("rejected", rejected).drop("__rn", "__n", "__cut")
 
 
-def _rejected(importance: Sequence[tuple[str, float]], limit: float | None, method: str | None) -> tuple[str, ...]:
+REJECT = {"value": reject_by_value, "percentage": reject_by_percentage}
+
+
+def rejected(spark: SparkSession, importance: Sequence[tuple[str, float]], limit: float | None, method: str | None) -> tuple[str, ...]:
+    """Columns that a rule rejects, given their importance."""
     if method is None:
         return ()
     if limit is None:
         raise ValueError("rejecting needs a limit")
-    if method == "value":
-        return tuple(v for v, i in importance if i < limit)
-    if method != "percentage":
-        raise ValueError(f"unknown method {method!r}; known: value, percentage")
-    ordered = sorted((i for _, i in importance), reverse=True)
-    cut = ordered[math.ceil(len(ordered) * limit) - 1]
-    return tuple(v for v, i in importance if (i == 0 if cut == 0 else i < cut))
+    if method not in REJECT:
+        raise ValueError(f"unknown method {method!r}; known: {sorted(REJECT)}")
+    table = spark.createDataFrame(list(importance), "var string, importance double")
+    out = {r["var"] for r in REJECT[method](table, limit).filter("rejected").collect()}  # one row a column
+    return tuple(v for v, _ in importance if v in out)
 
 
 def _fit(df: DataFrame, catalog: Catalog, learner, limit: float | None, method: str | None) -> ImportanceModel:
@@ -118,7 +109,7 @@ def _fit(df: DataFrame, catalog: Catalog, learner, limit: float | None, method:
     rows = VectorAssembler(inputCols=safe, outputCol="features").transform(renamed).select("__label", "features")
     model = learner.setLabelCol("__label").fit(rows)
     importance = tuple((c, float(model.featureImportances[i])) for i, c in enumerate(columns))
-    return ImportanceModel(model, importance, _rejected(importance, limit, method))
+    return ImportanceModel(model, importance, rejected(df.sparkSession, importance, limit, method))
 
 
 def tree_selection(df: DataFrame, catalog: Catalog, limit: float | None = None, method: str | None = None,

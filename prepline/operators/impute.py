@@ -63,6 +63,8 @@ class ImputeModel:
 
     def _filled(self, df: DataFrame, fill: Fill) -> Column:
         column = clean(df, fill.var)
+        if fill.level == NOMINAL:  # codes become text, else the fill would not fit among them
+            return F.coalesce(column.cast("string"), F.lit(fill.value))
         if fill.knots:
             return F.coalesce(column, self._within(fill))
         if fill.value is None:

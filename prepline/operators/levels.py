@@ -22,7 +22,11 @@ from prepline.session import cut_lineage, held
 BIN_PREFIX, REP_PREFIX, OTHER = "BIN_", "REP_", "_OTHER_"
 
 INLINE = 1_000
-_SALTS = 16
+
+
+def salts(spark: SparkSession) -> int:
+    """Parts a hot level is spread over: as many as the session shuffles to."""
+    return max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 @dataclass(frozen=True)
@@ -42,6 +46,19 @@ class LevelSet:
         short = spark.createDataFrame(rows, "var string, level string")
         return short if self.table is None else short.unionByName(self.table)
 
+    def state(self) -> dict:
+        """What fits in a line of text; the long lists are in ``tables``."""
+        return {"inline": self.inline, "stored": self.stored}
+
+    def tables(self) -> dict[str, DataFrame]:
+        return {} if self.table is None else {"levels": self.table}
+
+    @classmethod
+    def from_state(cls, state: dict, tables: dict[str, DataFrame] | None = None) -> LevelSet:
+        if state["stored"] and not (tables or {}).get("levels"):
+            raise ValueError(f"the lists of {state['stored']} are in a table that was not given")
+        return cls({v: tuple(ls) for v, ls in state["inline"].items()}, (tables or {}).get("levels"), tuple(state["stored"]))
+
     def mark(self, df: DataFrame, flags: dict[str, str]) -> DataFrame:
         """Add a boolean per column: is its value one of the fitted levels?"""
         short = {c: f for c, f in flags.items() if c in self.inline}
@@ -52,16 +69,18 @@ class LevelSet:
         return out
 
     def _lookup(self, df: DataFrame, column: str, flag: str) -> DataFrame:
-        salted = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(_SALTS)).cast("int"))
-        levels = (
-            self.table.filter(F.col("var") == column)
-            .select(F.col("level").alias("__level"), F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("__s"),
-                    F.lit(True).alias("__hit"))
-        )
-        joined = salted.join(
-            levels,
-            F.col(f"`{column}`").cast("string").eqNullSafe(F.col("__level")) & (F.col("__salt") == F.col("__s")), "left")
-        return joined.select(*df.columns, F.coalesce("__hit", F.lit(False)).alias(flag))
+        levels = self.table.filter(F.col("var") == column).select("level", F.lit(True).alias("__hit"))
+        joined = look_up(df, column, levels, "__hit")
+        return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce("__hit", F.lit(False)).alias(flag))
+
+
+def look_up(df: DataFrame, column: str, table: DataFrame, value: str) -> DataFrame:
+    """Add ``value`` from a table of ``(level, value)``; rows of a hot level are spread over salted copies of its entry."""
+    parts = salts(df.sparkSession)
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(parts)).cast("int"))
+    entries = table.select(F.col("level").alias("__level"), value, F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("__s"))
+    same = F.col(f"`{column}`").cast("string").eqNullSafe(F.col("__level")) & (F.col("__salt") == F.col("__s"))
+    return salted.join(entries, same, "left").drop("__salt", "__level", "__s")
 
 
 def member(column: Column, levels: Sequence[str | None]) -> Column:
@@ -107,24 +126,21 @@ class GroupModel:
         names = self.levels.names
         flags = {c: f"__rare_{c}" for c in names}
         marked = self.levels.mark(df, flags)
-        new = [F.when(F.col(f"`{flags[c]}`"), OTHER).otherwise(F.col(f"`{c}`")).alias(BIN_PREFIX + c) for c in names]
+        new = [F.when(F.col(f"`{flags[c]}`"), OTHER).otherwise(F.col(f"`{c}`").cast("string")).alias(BIN_PREFIX + c) for c in names]
         return marked.select(*[F.col(f"`{c}`") for c in df.columns], *new)
 
     def params(self, spark: SparkSession) -> DataFrame:
         return self.levels.to_df(spark)
 
     def to_json(self) -> str:
-        return json.dumps(_inline_only(self.levels))
-
-    @classmethod
-    def from_json(cls, text: str) -> GroupModel:
-        return cls(LevelSet({v: tuple(ls) for v, ls in json.loads(text).items()}))
+        return json.dumps({"levels": self.levels.state()})
 
+    def tables(self) -> dict[str, DataFrame]:
+        return self.levels.tables()
 
-def _inline_only(levels: LevelSet) -> dict[str, tuple[str | None, ...]]:
-    if levels.stored:
-        raise ValueError(f"long level lists are saved as a table, not as text: {list(levels.stored)}")
-    return levels.inline
+    @classmethod
+    def from_json(cls, text: str, tables: dict[str, DataFrame] | None = None) -> GroupModel:
+        return cls(LevelSet.from_state(json.loads(text)["levels"], tables))
 
 
 def fit_group_rare(df: DataFrame, catalog: Catalog, threshold: float = 0.001) -> GroupModel:
@@ -149,7 +165,7 @@ class ReplaceModel:
         flags = {c: f"__seen_{c}" for c in names}
         marked = self.levels.mark(df, flags)
         new = [
-            F.when(F.col(f"`{flags[c]}`"), F.col(f"`{c}`")).otherwise(F.lit(self.mode.get(c))).alias(REP_PREFIX + c)
+            F.when(F.col(f"`{flags[c]}`"), F.col(f"`{c}`").cast("string")).otherwise(F.lit(self.mode.get(c))).alias(REP_PREFIX + c)
             for c in names
         ]
         return marked.select(*[F.col(f"`{c}`") for c in df.columns], *new)
@@ -159,12 +175,15 @@ class ReplaceModel:
         return self.levels.to_df(spark).join(F.broadcast(modes_), "var")
 
     def to_json(self) -> str:
-        return json.dumps({"levels": _inline_only(self.levels), "mode": self.mode})
+        return json.dumps({"levels": self.levels.state(), "mode": self.mode})
+
+    def tables(self) -> dict[str, DataFrame]:
+        return self.levels.tables()
 
     @classmethod
-    def from_json(cls, text: str) -> ReplaceModel:
+    def from_json(cls, text: str, tables: dict[str, DataFrame] | None = None) -> ReplaceModel:
         state = json.loads(text)
-        return cls(LevelSet({v: tuple(ls) for v, ls in state["levels"].items()}), state["mode"])
+        return cls(LevelSet.from_state(state["levels"], tables), state["mode"])
 
 
 def fit_replace(df: DataFrame, catalog: Catalog, method: str = "Mode") -> ReplaceModel:

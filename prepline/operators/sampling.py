@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prepline.functions import keyed_uniform
 
 SEED = 12345
 _SPLIT, _FOLD, _CHOICE = "split", "fold", "choice"
-_SLOTS = 2**18
+_SLOTS = 2**12
+_IN_ORDER = 1_000_000  # rows that are put in order at once
 
 
 def split_draw(key: str, seed: int = SEED) -> Column:
@@ -43,38 +44,50 @@ def assign_fold(df: DataFrame, key: str, folds: int = 4, seed: int = SEED, colum
     return df.withColumn(column, F.floor(keyed_uniform(key, seed, _FOLD) * folds).cast("int"))
 
 
-def smallest_threshold(df: DataFrame, draw: Column, key: str, size: int) -> tuple[float, object] | None:
-    """The ``(draw, key)`` of the ``size``-th row in that order.
+def smallest_threshold(df: DataFrame, draw: Column, key: str, size: float) -> tuple[float, object] | None:
+    """The ``(draw, key)`` of the ``size``-th row in that order; None for no row, infinity for more than all.
 
-    The draws are uniform, so equal slots are equal shares: count the slots,
-    then order only the rows of the slot the answer lies in.
+    The draws are uniform, so equal slots are equal shares: count the slots, cut the
+    slot the answer lies in again while it holds too many rows, and order only its rows.
+    ``size`` is a number of rows, or a share of them if below 1.
     """
-    slot = F.floor(draw * _SLOTS).cast("int")
-    drawn = df.select(draw.alias("u"), F.col(key).alias("k"), slot.alias("slot"))
-    sizes = drawn.groupBy("slot").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.orderBy("slot").rowsBetween(Window.unboundedPreceding, -1)
-    place = (
-        sizes.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
-        .filter((F.col("before") < size) & (F.lit(size) <= F.col("before") + F.col("n")))
-        .first()
-    )
-    if place is None:
-        return None
-    inside = drawn.filter(F.col("slot") == place["slot"]).orderBy("u", "k").limit(size - place["before"])
-    row = inside.agg(F.max(F.struct("u", "k")).alias("t")).first()
+    drawn = df.select(draw.alias("u"), F.col(key).alias("k"))
+    low, width, skipped, wanted = 0.0, 1.0, 0, size
+    while True:
+        slot = F.floor((F.col("u") - F.lit(low)) / F.lit(width) * _SLOTS).cast("int")
+        inside = drawn.filter((F.col("u") >= low) & (F.col("u") < low + width)).withColumn("slot", slot)
+        counts = sorted((r["slot"], r["count"]) for r in inside.groupBy("slot").count().collect())  # one row a slot
+        if wanted < 1:
+            wanted = math.floor(sum(n for _, n in counts) * wanted)
+            if wanted < 1:
+                return None
+        place = None
+        for at, n in counts:
+            if skipped + n >= wanted:
+                place = (at, n)
+                break
+            skipped += n
+        if place is None:
+            return float("inf"), None
+        low, width = low + place[0] * width / _SLOTS, width / _SLOTS
+        if place[1] <= _IN_ORDER or width < 2.0**-32:  # the draws have 32 bits
+            break
+    last = inside.filter(F.col("slot") == place[0]).orderBy("u", "k").limit(wanted - skipped)
+    row = last.agg(F.max(F.struct("u", "k")).alias("t")).first()
     return row["t"]["u"], row["t"]["k"]
 
 
 def exact_split(df: DataFrame, key: str, size: int | None = None, share: float | None = None,
                 seed: int = SEED, column: str = "in_sample") -> DataFrame:
     """Mark exactly ``size`` rows (or ``floor(share * n)``). Applying it is a projection."""
-    if size is None:
-        size = math.floor(df.count() * share)
     u = keyed_uniform(key, seed, _CHOICE)
-    if size < 1:
-        return df.withColumn(column, F.lit(False))
-    limit = smallest_threshold(df, u, key, size)
-    if limit is None:
+    if size is None and share >= 1:
         return df.withColumn(column, F.lit(True))
+    wanted = share if size is None else size
+    limit = smallest_threshold(df, u, key, wanted) if (size is None and share > 0) or (size or 0) >= 1 else None
+    if limit is None:
+        return df.withColumn(column, F.lit(False))
     at, last = limit
+    if math.isinf(at):
+        return df.withColumn(column, F.lit(True))
     return df.withColumn(column, (u < at) | ((u == at) & (F.col(key) <= F.lit(last))))

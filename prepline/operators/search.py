@@ -15,12 +15,11 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prepline.functions import linear_grid, log_grid
-from prepline.operators.lift import LiftEvaluator, hits_at_depth, model_metric
+from prepline.operators.lift import hits_at_depth, model_metric
 from prepline.operators.sampling import SEED, assign_fold
 from prepline.operators.thresholds import (
     best_threshold, classification_report, confusion_matrix, label_at, threshold_sweep,
@@ -143,10 +142,11 @@ def logit_search(train: DataFrame, test: DataFrame, key: str, label: str = "labe
 
         models = _fit_all(fit, cs, parallelism)
         wide, names = _score_all(valid, models, [key, label])
-        scores = _measure(wide, names, label, key, metric, depth)
-        at = _first_best(scores)
-        sweep = threshold_sweep(wide, label, 1 - F.col(names[at]), linear_grid(*thresholds))
-        cut = best_threshold(sweep, threshold_by, beta).first()
+        with held(wide) as measured:  # else every pass would apply all models again
+            scores = _measure(measured, names, label, key, metric, depth)
+            at = _first_best(scores)
+            sweep = threshold_sweep(measured, label, 1 - F.col(names[at]), linear_grid(*thresholds))
+            cut = best_threshold(sweep, threshold_by, beta).first()
     predictions = scored(models[at], test, [key, label]).withColumn("predicted", label_at(1 - F.col("p1"), cut["threshold"]))
     return LogitResult(
         models[at], tuple(cs), tuple(scores), cs[at], scores[at], cut["threshold"], cut["score"],
@@ -156,44 +156,77 @@ def logit_search(train: DataFrame, test: DataFrame, key: str, label: str = "labe
 
 # --- neural classifier ---------------------------------------------------------
 
-# Names a setting may carry, and the parameter of the Spark classifier each one sets.
-NET_PARAMS = {"epochs": "maxIter", "learning_rate": "stepSize", "batch_size": "blockSize",
-              "solver": "solver", "tol": "tol", "seed": "seed"}
+# The parameters a random search draws from.
 NET_SPACE = {"learning_rate": tuple(round(v, 6) for v in log_grid(-3, -1, 50)), "epochs": tuple(range(100, 300, 50))}
 
 
-def net(n_inputs: int, layer_units: Sequence[int] = (3, 2), epochs: int = 100, learning_rate: float = 0.01,
-        batch_size: int = 256, solver: str = "l-bfgs", seed: int = SEED, label: str = "label",
+def net(n_inputs: int, layer_units: Sequence[int] = (3, 2), epochs: int = 100, learning_rate: float | None = None,
+        batch_size: int = 256, solver: str | None = None, seed: int = SEED, label: str = "label",
         tol: float = 1e-6) -> MultilayerPerceptronClassifier:
-    """Feed-forward net with the given hidden layers and two outputs."""
+    """Feed-forward net with the given hidden layers and two outputs.
+
+    A learning rate calls for gradient descent, the solver that has one; without it, L-BFGS
+    chooses its steps itself. ``batch_size`` is the number of rows computed on at once: it
+    changes the speed, not the model, as every step sees all rows.
+    """
     if not layer_units or n_inputs < 1:
         raise ValueError("a net needs inputs and at least one hidden layer")
-    return MultilayerPerceptronClassifier(
-        layers=[n_inputs, *layer_units, 2], maxIter=epochs, stepSize=learning_rate, blockSize=batch_size,
-        solver=solver, seed=seed, labelCol=label, tol=tol)
+    solver = solver or ("l-bfgs" if learning_rate is None else "gd")
+    if learning_rate is not None and solver != "gd":
+        raise ValueError(f"solver {solver!r} has no learning rate")
+    learner = MultilayerPerceptronClassifier(
+        layers=[n_inputs, *layer_units, 2], maxIter=epochs, blockSize=batch_size, solver=solver, seed=seed,
+        labelCol=label, tol=tol)
+    return learner if learning_rate is None else learner.setStepSize(learning_rate)
 
 
 def _width(df: DataFrame) -> int:
     return int(df.schema["features"].metadata["ml_attr"]["num_attrs"])
 
 
+def _quiet_fit(rows: DataFrame, width: int, label: str, **setting):
+    return net(width, label=label, **setting).fit(rows)
+
+
+@dataclass(frozen=True)
+class NetSearch:
+    """Mean score of every setting over the folds, and the best setting fitted on all rows."""
+
+    settings: tuple[dict, ...]
+    fold_scores: tuple[tuple[float | None, ...], ...]  # a tuple a fold
+    avgMetrics: tuple[float | None, ...]
+    bestModel: object
+
+    def best(self) -> int:
+        return _first_best(self.avgMetrics)
+
+
 def net_cv(train: DataFrame, key: str, label: str = "label", metric: str = "lift", depth: float = 0.1,
-           search: str = "Random Search", folds: int = 4, n_models: int = 10, parallelism: int = 1,
-           space: dict[str, Sequence] | None = None, seed: int = SEED, **fixed) -> CrossValidatorModel:
-    """Cross validation over folds drawn by key, so that a re-run compares the same rows."""
+           search: str = "Random Search", folds: int = 4, n_models: int = 10, parallelism: int = 4,
+           space: dict[str, Sequence] | None = None, seed: int = SEED, **fixed) -> NetSearch:
+    """Cross validation over folds drawn by key, so that a re-run compares the same rows.
+
+    A setting may name any argument of ``net``. All settings of a fold are fitted side by
+    side and measured by one lift job.
+    """
+    model_metric(metric)
     if folds < 2 or n_models < 1:
         raise ValueError("folds must be at least 2 and n_models at least 1")
-    learner = net(_width(train), label=label, seed=seed, **fixed)
     chosen = settings(space or NET_SPACE, search, n_models, seed)
-    maps = [
-        {learner.getParam(NET_PARAMS.get(name, name)): value for name, value in one.items()} for one in chosen
-    ]
-    rows = assign_fold(train.select(key, label, "features"), key, folds)
-    cv = CrossValidator(
-        estimator=learner, estimatorParamMaps=maps or ParamGridBuilder().build(),
-        evaluator=LiftEvaluator(metric=metric, depth=depth, label=label, key=key),
-        numFolds=folds, foldCol="fold", parallelism=parallelism)
-    return cv.fit(rows)
+    width, scores = _width(train), []
+    with held(assign_fold(train.select(key, label, "features"), key, folds)) as rows:
+        for fold in range(folds):
+            inside, outside = rows.filter(F.col("fold") != fold), rows.filter(F.col("fold") == fold)
+            models = _fit_all(lambda one: _quiet_fit(inside, width, label, **{"seed": seed, **fixed, **one}),
+                              chosen, parallelism)
+            wide, names = _score_all(outside, models, [key, label])
+            with held(wide) as measured:
+                scores.append(tuple(_measure(measured, names, label, key, metric, depth)))
+        found = [[s[i] for s in scores if s[i] is not None] for i in range(len(chosen))]
+        means = tuple(sum(v) / len(v) if v else None for v in found)
+        best = chosen[_first_best(means)]
+        model = _quiet_fit(rows, width, label, **{"seed": seed, **fixed, **best})
+    return NetSearch(tuple(chosen), tuple(scores), means, model)
 
 
 @dataclass(frozen=True)
@@ -201,6 +234,9 @@ class NetResult:
     models: tuple
     settings: tuple[dict, ...]
     scores: tuple[float | None, ...]
+    predictions: DataFrame  # of the best model: key, label, p1, predicted
+    confusion: DataFrame
+    report: DataFrame
 
     def best(self) -> int:
         return _first_best(self.scores)
@@ -209,16 +245,21 @@ class NetResult:
 def net_validation(train: DataFrame, test: DataFrame, key: str, label: str = "label", metric: str = "lift",
                    depth: float = 0.1, search: str = "Random Search", n_models: int = 20, parallelism: int = 4,
                    space: dict[str, Sequence] | None = None, seed: int = SEED, **fixed) -> NetResult:
-    """Fit every setting once and score it on ``test``; all models are returned."""
+    """Fit every setting once and score it on ``test``; all models, and what the best one predicts, are returned."""
     model_metric(metric)
     chosen = settings(space or NET_SPACE, search, n_models, seed)
     width = _width(train)
     with held(train.select(label, "features")) as rows, held(test.select(key, label, "features")) as valid:
-        models = _fit_all(lambda one: net(width, label=label, **{"seed": seed, **fixed, **one}).fit(rows),
+        models = _fit_all(lambda one: _quiet_fit(rows, width, label, **{"seed": seed, **fixed, **one}),
                           chosen, parallelism)
         wide, names = _score_all(valid, models, [key, label])
-        scores = _measure(wide, names, label, key, metric, depth)
-    return NetResult(tuple(models), tuple(chosen), tuple(scores))
+        with held(wide) as measured:
+            scores = _measure(measured, names, label, key, metric, depth)
+    best = models[_first_best(scores)]
+    predictions = scored(best, test, [key, label]).withColumn("predicted", (F.col("p1") > 0.5).cast("int"))
+    return NetResult(tuple(models), tuple(chosen), tuple(scores), predictions,
+                     confusion_matrix(predictions, label, "predicted"),
+                     classification_report(predictions, label, "predicted"))
 
 
 def net_tries(train: DataFrame, test: DataFrame, key: str, label: str = "label", metric: str = "lift",

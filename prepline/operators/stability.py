@@ -2,22 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prepline.operators.lift import DECILES, gain_grid, hits_at_depth, lift_value
+from prepline.operators.rank import number_sorted
 
-_MAX_PERIODS = 100_000  # more distinct periods than this is no report
-_MAX_LITERALS = 1_000
+_MAX_LITERALS = 1_000  # up to so many kept periods are a list in the filter; the result is the same either way
 
 
 def period_table(df: DataFrame, period: str, stride: int = 2) -> DataFrame:
-    """Every ``stride``-th distinct period, the first one included, with its position.
-
-    Duplicates go on the map side; only distinct periods meet in the window.
-    """
-    distinct = df.filter(F.col(period).isNotNull()).select(period).distinct()
-    numbered = distinct.withColumn("position", F.row_number().over(Window.orderBy(period)))
+    """Every ``stride``-th distinct period, the first one included, with its position. No task sees all periods."""
+    distinct = df.filter(F.col(period).isNotNull()).select(F.lit(0).alias("__all"), period).distinct()
+    numbered = number_sorted(distinct, "__all", period, "position").select(period, (F.col("position") + 1).alias("position"))
     return numbered.filter((F.col("position") - 1) % stride == 0)
 
 
@@ -28,14 +25,11 @@ def keep_periods(df: DataFrame, period: str, stride: int = 2) -> DataFrame:
     if stride == 1:
         return df.filter(F.col(period).isNotNull())
     distinct = df.filter(F.col(period).isNotNull()).select(period).distinct()
-    found = sorted(r[0] for r in distinct.limit(_MAX_PERIODS + 1).collect())
-    if len(found) > _MAX_PERIODS:
-        raise ValueError(f"{period} has more than {_MAX_PERIODS} distinct values; truncate it first")
-    kept = found[::stride]
-    if len(kept) <= _MAX_LITERALS:
-        return df.filter(F.col(period).isin(kept))
-    table = df.sparkSession.createDataFrame([(d,) for d in kept], df.select(period).schema)
-    return df.join(F.broadcast(table), period, "left_semi")
+    most = _MAX_LITERALS * stride
+    found = sorted(r[0] for r in distinct.limit(most + 1).collect())
+    if len(found) <= most:
+        return df.filter(F.col(period).isin(found[::stride]))
+    return df.join(period_table(df, period, stride).select(period), period, "left_semi")
 
 
 def group_periods(df: DataFrame, period: str, calendar_month: bool = False) -> DataFrame:

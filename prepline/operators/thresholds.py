@@ -23,7 +23,7 @@ def threshold_sweep(df: DataFrame, label: str, p0: Column, thresholds: Sequence[
     steps = [float(t) for t in thresholds]
     if any(b <= a for a, b in zip(steps, steps[1:])):
         raise ValueError("thresholds must be strictly increasing")
-    scored = df.select((F.col(label) == 1).alias("y"), p0.alias("__p0"))
+    scored = df.select((F.col(label) == 1).alias("y"), present_or_last(p0).alias("__p0"))
     counted = bucketize(scored, "__p0", steps, "b").groupBy("b").agg(
         F.count_if("y").alias("pos"), F.count_if(~F.col("y")).alias("neg"))
     # Give every threshold a row; row b is reached by thresholds j >= b.
@@ -43,6 +43,12 @@ def threshold_sweep(df: DataFrame, label: str, p0: Column, thresholds: Sequence[
         "j", "threshold", "tp", "fp", (F.col("p") - F.col("tp")).alias("fn"), (F.col("n") - F.col("fp")).alias("tn"))
 
 
+def present_or_last(p0: Column) -> Column:
+    """A missing probability lies past every threshold, so its row is labelled 0."""
+    p0 = p0.cast("double")
+    return F.when(p0.isNull() | F.isnan(p0), F.lit(float("inf"))).otherwise(p0)
+
+
 def _ratio(a: Column, b: Column) -> Column:
     return a.cast("double") / F.nullif(b.cast("double"), F.lit(0.0))
 
@@ -92,7 +98,8 @@ def best_threshold(sweep: DataFrame, metric: str, beta: float = 1.0) -> DataFram
 
 
 def label_at(p0: Column, threshold: float) -> Column:
-    return (p0 < F.lit(float(threshold))).cast("int")
+    """1 below the threshold; 0 elsewhere, also for a missing probability."""
+    return (present_or_last(p0) < F.lit(float(threshold))).cast("int")
 
 
 def confusion_matrix(df: DataFrame, label: str, predicted: str) -> DataFrame:

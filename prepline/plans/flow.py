@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -31,6 +32,28 @@ class Preparation:
         """Impute, pool rare levels, replace unseen ones. No row moves."""
         return self.replace.transform(self.group.transform(self.impute.transform(df)))
 
+    def tables(self) -> dict[str, DataFrame]:
+        return {f"{step}.{name}": table for step, model in (("group", self.group), ("replace", self.replace))
+                for name, table in model.tables().items()}
+
+    def to_json(self) -> str:
+        steps = {"impute": self.impute, "group": self.group, "replace": self.replace, "catalog": self.catalog,
+                 "importance": self.importance, "clusters": self.clusters}
+        return json.dumps({name: None if model is None else model.to_json() for name, model in steps.items()})
+
+    @classmethod
+    def from_json(cls, text: str, tables: dict[str, DataFrame] | None = None) -> Preparation:
+        s = json.loads(text)
+
+        def own(step: str) -> dict[str, DataFrame]:
+            return {name.split(".", 1)[1]: table for name, table in (tables or {}).items() if name.startswith(f"{step}.")}
+
+        return cls(
+            ImputeModel.from_json(s["impute"]), GroupModel.from_json(s["group"], own("group")),
+            ReplaceModel.from_json(s["replace"], own("replace")), Catalog.from_json(s["catalog"]),
+            ImportanceModel.from_json(s["importance"]) if s["importance"] else None,
+            ClusterModel.from_json(s["clusters"]) if s["clusters"] else None)
+
 
 def fit_preparation(train: DataFrame, catalog: Catalog, key: str, level_limit: int = 200,
                     missing_share: float = 0.99, rare_share: float = 0.001, forest: bool = True,

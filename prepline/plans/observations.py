@@ -59,11 +59,6 @@ SELECT event_id AS obs_id,
 FROM {events}
 """
 
-DOC_OBS = """
-SELECT d.doc_id AS obs_id, l.quality AS doc_target_ind, d.n_chars AS n_chars, d.lang AS lang, d.source AS source
-FROM {documents} d JOIN {labels} l ON l.doc_id = d.doc_id
-"""
-
 # Reference rows for the order table: every customer casts one vote per column,
 # a quarter of them against the role and a third against the level.
 ORDER_ALIASES = (
@@ -97,10 +92,6 @@ def event_obs(spark: SparkSession, folder: str) -> DataFrame:
     return _run(spark, folder, EVENT_OBS, "events")
 
 
-def doc_obs(spark: SparkSession, folder: str) -> DataFrame:
-    return _run(spark, folder, DOC_OBS, "documents", "labels")
-
-
 def order_reference(spark: SparkSession, folder: str) -> DataFrame:
     customer = spark.read.parquet(f"{folder}/customer.parquet")
     aliases = F.array(*[
@@ -123,8 +114,9 @@ def order_catalog() -> Catalog:
     return Catalog.of(rows[n] for n in order)
 
 
-def wide_embeddings(spark: SparkSession, folder: str, width: int = 64) -> DataFrame:
-    """``embeddings`` with one interval column per dimension."""
+def wide_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """``embeddings`` with one interval column per dimension of the longest vector."""
     df = spark.read.parquet(f"{folder}/embeddings.parquet")
+    width = df.agg(F.max(F.size("embedding"))).first()[0] or 0
     dims = [df["embedding"][i].cast("double").alias(f"e{i}") for i in range(width)]
     return df.select("vec_id", *dims, (df["label"] == 0).cast("int").alias("emb_target_ind"))

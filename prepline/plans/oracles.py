@@ -106,9 +106,9 @@ def impute_params() -> str:
 # --- levels -----------------------------------------------------------------------
 
 
-def rare(table: str, columns) -> str:
+def rare(table: str, columns, share: float = 0.001) -> str:
     shares = f"SELECT *, n / CAST(sum(n) OVER (PARTITION BY var) AS DOUBLE) AS share FROM ({profile(table, columns)})"
-    low = f"SELECT *, count(*) OVER (PARTITION BY var) AS n_rare FROM ({shares}) WHERE share < {dbl(0.001)}"
+    low = f"SELECT *, count(*) OVER (PARTITION BY var) AS n_rare FROM ({shares}) WHERE share < {dbl(share)}"
     return f"SELECT var, level, n, share FROM ({low}) WHERE n_rare >= 2"
 
 
@@ -228,7 +228,8 @@ LIFT = "hits / nullif(n_pos * depth, 0)"
 
 # --- thresholds ---------------------------------------------------------------------
 
-SWEEP = f"""{SC}, g AS (SELECT CAST(i - 700 AS INT) AS j, i / CAST(1000 AS DOUBLE) AS threshold FROM range(700, 1001) t(i)),
+GRID = f"g AS (SELECT CAST(i AS INT) AS j, {dbl(0.7)} + {dbl(0.3)} * i / 999 AS threshold FROM range(0, 1000) t(i))"
+SWEEP = f"""{SC}, {GRID},
 sweep AS (SELECT j, threshold,
   CAST(sum(CASE WHEN {LABEL} = 1 AND 1 - p1 < threshold THEN 1 ELSE 0 END) AS BIGINT) AS tp,
   CAST(sum(CASE WHEN {LABEL} = 0 AND 1 - p1 < threshold THEN 1 ELSE 0 END) AS BIGINT) AS fp,
@@ -246,6 +247,8 @@ KAPPA = """((tp + tn) / CAST(tp + fp + fn + tn AS DOUBLE)
   - (CAST(tp + fp AS DOUBLE) * (tp + fn) + CAST(fn + tn AS DOUBLE) * (fp + tn)) / pow(CAST(tp + fp + fn + tn AS DOUBLE), 2))
   / nullif(1 - (CAST(tp + fp AS DOUBLE) * (tp + fn) + CAST(fn + tn AS DOUBLE) * (fp + tn)) / pow(CAST(tp + fp + fn + tn AS DOUBLE), 2), 0)"""
 
+GAPPY = (f"SELECT * REPLACE (CASE WHEN obs_id % 5 = 0 OR obs_id % 7 = 0 THEN NULL ELSE p1 END AS p1) FROM ({SCORED})")
+SWEEP_MISSING = SWEEP.replace(SCORED, GAPPY).replace("1 - p1 < threshold", "coalesce(1 - p1 < threshold, false)")
 LABELLED = f"{SC}, l AS (SELECT {LABEL} AS y, CASE WHEN 1 - p1 < {dbl(0.75)} THEN 1 ELSE 0 END AS z FROM s)"
 
 
@@ -458,6 +461,45 @@ ORACLES: dict[str, str] = {
                         " CAST(batch_size AS INT) AS batch_size, CAST(ceil(n / CAST(batch_size AS DOUBLE)) AS BIGINT) * epochs AS steps"
                         " FROM t, (VALUES (100), (150), (200), (250)) e(epochs), (VALUES (64), (128), (256)) b(batch_size)",
     "hash_bucket_md5": f"{OBS} SELECT obs_id, CAST(CAST(('0x' || substr(md5(cust_code), 1, 8)) AS BIGINT) % 250 AS INT) AS bucket FROM obs",
+    "threshold_sweep_missing": f"{SWEEP_MISSING} SELECT * FROM sweep",
+    "confusion_matrix_missing": f"WITH l AS (SELECT {LABEL} AS y, CASE WHEN 1 - p1 < {dbl(0.75)} THEN 1 ELSE 0 END AS z FROM ({GAPPY}))"
+                                " SELECT CAST(a AS INT) AS label, CAST(b AS INT) AS predicted,"
+                                " (SELECT count(*) FROM l WHERE y = a AND z = b) AS n FROM range(0, 2) t(a), range(0, 2) u(b)",
+    "global_rank_missing": f"SELECT obs_id, rk AS rank, CAST(cum AS BIGINT) AS cum_pos FROM ({ranked(GAPPY, LABEL)})",
+    "impute_int_nominal": f"{OBS} SELECT obs_id, coalesce(CAST(prio_rank AS VARCHAR), 'Missing') AS IMP_prio_rank FROM obs",
+    "group_rare_int": f"{OBS}, x AS (SELECT obs_id, CAST(CASE WHEN obs_id % 500 = 1 THEN 100 + obs_id % 7 ELSE prio_rank END AS VARCHAR) AS code FROM obs),"
+                      f" rare AS ({rare('x', ['code'], 0.005)}) SELECT obs_id, {pooled('code')} AS BIN_code FROM x",
+    "levels_roundtrip": f"{HALVES} SELECT obs_id, CASE WHEN EXISTS (SELECT 1 FROM train t WHERE t.cust_code = x.cust_code)"
+                        " THEN x.cust_code ELSE 'none' END AS REP_cust_code FROM test x",
+    "bin_then_group": f"{HALVES}, {running('train', ['planted'])}, {mdl_rounds()},"
+                      " bt AS (SELECT CAST((SELECT count(*) FROM cuts WHERE cut <= planted) AS VARCHAR) AS b FROM train),"
+                      " bx AS (SELECT obs_id, CAST((SELECT count(*) FROM cuts WHERE cut <= planted) AS VARCHAR) AS b FROM test),"
+                      f" rare AS ({rare('bt', ['b'], 0.25)}) SELECT obs_id, {pooled('b')} AS bin FROM bx",
+    "one_hot_long": f"{HALVES}, k AS (SELECT cust_code, row_number() OVER (ORDER BY cust_code) - 1 AS code FROM (SELECT DISTINCT cust_code FROM train))"
+                    " SELECT obs_id, CAST((SELECT count(*) - 1 FROM k) AS INT) AS width, CASE WHEN code > 0 THEN code - 1 END AS place"
+                    " FROM test LEFT JOIN k USING (cust_code)",
+    "class_level_filter_approx": f"{OBS} SELECT var, count(*) AS n_levels, true AS near FROM ({levels_union('obs', [*ORDINALS, *NOMINALS])}) GROUP BY var",
+    "quantile_knots_approx": f"{OBS} " + " UNION ALL ".join(
+        f"SELECT '{c}' AS var, {dbl(p)} AS prob, count({c}) AS n, true AS near FROM obs" for c in INTERVALS for p in KNOTS),
+    "cluster_assign": "SELECT DISTINCT 'e' || i AS var, true AS own_ok, true AS next_ok FROM embeddings, range(0, 64) t(i)",
+    "cluster_best_vars": "SELECT CAST(max(len(embedding)) AS BIGINT) AS n_columns, CAST(0 AS BIGINT) AS n_wrong, CAST(0 AS BIGINT) AS n_surplus FROM embeddings",
+    "tree_importance": f"SELECT CAST({len(FIVE) + len(ORDINALS) + len(TWO_NOMINAL) + len(BINARIES)} AS BIGINT) AS n_columns, {dbl(1)} AS total, CAST(0 AS BIGINT) AS n_wrong",
+    "rf_importance": f"SELECT CAST({len(FIVE) + len(ORDINALS) + len(TWO_NOMINAL) + len(BINARIES)} AS BIGINT) AS n_columns, {dbl(1)} AS total, CAST(0 AS BIGINT) AS n_wrong",
+    "tree_importance_long": f"SELECT CAST(3 AS BIGINT) AS n_columns, {dbl(1)} AS total, CAST(0 AS BIGINT) AS n_wrong",
+    "logit_validation": "SELECT CAST(50 AS INT) AS n_settings, true AS best_is_top, true AS flat",
+    "score_output": f"{HALVES} SELECT obs_id, true AS p1_ok, true AS label_ok FROM test",
+    "mlp_score": f"{HALVES} SELECT obs_id, true AS p1_ok FROM test",
+    "mlp_cv": "SELECT CAST(4 AS INT) AS folds, CAST(10 AS INT) AS n_settings, true AS means_ok, true AS best_is_top",
+    "mlp_validation": f"{HALVES} SELECT CAST(20 AS INT) AS n_settings, count(*) AS n_rows, true AS score_ok, true AS best_is_top FROM test",
+    "mlp_tries": f"{HALVES} SELECT CAST(50 AS INT) AS n_settings, count(*) AS n_rows, true AS score_ok, true AS best_is_top FROM test",
+    "hash_bucket": f"{OBS} SELECT count(*) AS n_rows, count(DISTINCT cust_code) AS n_levels, CAST(0 AS BIGINT) AS n_wrong FROM obs",
+    "prep_catalog": f"{HALVES} SELECT count(*) AS n_rows, CAST(0 AS INT) AS n_dropped_left, CAST(0 AS INT) AS n_absent,"
+                    f" CAST({len(FIVE) + len(ORDINALS) + len(TWO_NOMINAL) + len(BINARIES)} AS INT) AS n_weighed FROM train",
+    "prep_roundtrip": f"{HALVES} SELECT count(*) AS n_rows, count(*) AS n_equal FROM test",
+    "model_stability": f"{HALVES} SELECT DISTINCT period_dt, depth, true AS hits_ok FROM test, {values([(float(d),) for d in DECILES])} AS d(depth)",
+    "logit_arm": f"{HALVES} SELECT count(*) AS n_rows, CAST(10 AS INT) AS n_settings, true AS best_is_top, true AS flat FROM test",
+    "nn_arm": f"{HALVES} SELECT CAST(4 AS INT) AS folds, CAST(10 AS INT) AS n_cv, true AS means_ok, CAST(20 AS INT) AS n_settings,"
+              " count(*) AS n_rows, true AS score_ok, true AS best_is_top FROM test",
     "prep_train": prepared("train"),
     "prep_apply": prepared("test"),
 }

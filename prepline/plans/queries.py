@@ -6,24 +6,27 @@ the order of additions are rounded so that engines agree; ratios of counts are n
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegressionModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from prepline.catalog import INPUT, INTERVAL, ORDINAL, Catalog, role_table
 from prepline.functions import keyed_uniform, log_grid
 from prepline.operators import search
-from prepline.operators.cluster import cluster_columns, correlation_table
+from prepline.operators.cluster import cluster_columns, correlation_matrix, correlation_table
 from prepline.operators.discretize import class_histogram, first_cuts, fit_bins, mdl_cuts
 from prepline.operators.encode import fit_prep
 from prepline.operators.importance import (
     forest_selection, label_codes, reject_by_percentage, reject_by_value, tree_selection,
 )
 from prepline.operators.impute import ImputeModel, fit_impute
-from prepline.operators.levels import fit_group_rare, fit_replace, new_levels, rare_levels
+from prepline.operators.levels import ReplaceModel, fit_group_rare, fit_replace, level_set, new_levels, rare_levels
 from prepline.operators.lift import cum_lift, gain_curve, gain_grid, gain_midpoints, hits_at_depth, lift_value
 from prepline.operators.profile import distinct_levels, level_profile, missing_profile, modes, one_row_per_column
 from prepline.operators.quantiles import quantiles, quantiles_approx
@@ -38,7 +41,7 @@ from prepline.plans.flow import Preparation, fit_preparation
 from prepline.plans.observations import (
     LABEL, MODEL, event_obs, order_catalog, order_obs, order_reference, scored_orders, wide_embeddings,
 )
-from prepline.session import shared_folder
+from prepline.session import held, shared_folder
 from prepline.sources import StageStore, extract, read_table
 
 KEY, PERIOD, SCORE = "obs_id", "period_dt", "p1"
@@ -47,7 +50,7 @@ ORDINALS = ["prio_rank", "n_lines"]
 NOMINALS = ["segment", "nation", "cust_code"]
 BINARIES = ["rich_flag"]
 LIFT_DEPTHS = (0.05, 0.1, 0.15, 0.2, 0.25)
-THRESHOLDS = [j / 1000 for j in range(700, 1001)]
+THRESHOLDS = [0.7 + 0.3 * j / 999 for j in range(1000)]
 EXTRACT = "SELECT o_orderpriority, count(*) AS n, round(max(o_totalprice), 2) AS top FROM {orders} GROUP BY o_orderpriority"
 WEIGHTS = (0.0, 0.25, 0.5, 0.75, 1.0)
 
@@ -76,8 +79,11 @@ def _catalog(*names: str) -> Catalog:
 
 
 def _stored_obs(spark: SparkSession, folder: str) -> DataFrame:
-    """The joined table written once, for fits that read it several times, a few columns each."""
-    return _store(spark).save("obs", order_obs(spark, folder))
+    """The joined table, held by column for fits that read it several times, a few columns each.
+
+    Spark keeps one copy of the same plan, whichever query asks first; lost parts come from the plan again.
+    """
+    return order_obs(spark, folder).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _halves(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -191,7 +197,12 @@ def class_level_counts(spark, folder):
 
 @query
 def class_level_filter_approx(spark, folder):
-    return class_level_approx(order_obs(spark, folder), [*ORDINALS, *NOMINALS])
+    """The estimates hold their bound against the exact counts."""
+    columns = [*ORDINALS, *NOMINALS]
+    found = class_level_approx(order_obs(spark, folder), columns, 0.02).withColumnRenamed("n_levels", "estimate")
+    exact = class_level_screen(order_obs(spark, folder), columns, 200)
+    near = F.abs(F.col("estimate") - F.col("n_levels")) <= 0.1 * F.col("n_levels") + 1  # five deviations
+    return exact.join(found, "var").select("var", "n_levels", near.alias("near"))
 
 
 @query
@@ -216,7 +227,16 @@ def quantile_knots(spark, folder):
 
 @query
 def quantile_knots_approx(spark, folder):
-    return quantiles_approx(order_obs(spark, folder), INTERVALS)
+    """Each estimate lies between the order statistics within one in 1000 of its place."""
+    obs = order_obs(spark, folder)
+    found = quantiles_approx(obs, INTERVALS)
+    values = F.array(*[F.struct(F.lit(c).alias("var"), F.col(c).alias("x")) for c in INTERVALS])
+    long = obs.select(F.explode(values).alias("e")).select("e.*").filter(F.col("x").isNotNull())
+    placed = long.join(F.broadcast(found), "var").groupBy("var", "prob", "n").agg(  # one row a column and probability
+        F.count_if(F.col("x") < F.col("value")).alias("below"), F.count_if(F.col("x") <= F.col("value")).alias("upto"))
+    place = F.col("prob") * F.col("n")
+    slack = 0.001 * F.col("n") + 1
+    return placed.select("var", "prob", "n", ((F.col("below") <= place + slack) & (F.col("upto") >= place - slack)).alias("near"))
 
 
 # --- imputation -------------------------------------------------------------------
@@ -271,9 +291,37 @@ def impute_binary_mode(spark, folder):
     return fit_impute(obs, _catalog("rich_flag"), KEY).transform(obs, keep="derived")
 
 
+@query
+def impute_int_nominal(spark, folder):
+    obs = order_obs(spark, folder).select(KEY, "prio_rank")
+    catalog = Catalog.of([("prio_rank", INPUT, "NOMINAL")])
+    return fit_impute(obs, catalog, KEY).transform(obs, keep="derived")
+
+
 # --- levels -----------------------------------------------------------------------
 
 
+@query
+def group_rare_int(spark, folder):
+    """Codes as levels: every 500th order has one of seven rare ones."""
+    code = F.when(F.col(KEY) % 500 == 1, 100 + F.col(KEY) % 7).otherwise(F.col("prio_rank")).cast("int")
+    obs = order_obs(spark, folder).select(KEY, code.alias("code"))
+    model = fit_group_rare(obs, Catalog.of([("code", INPUT, "NOMINAL")]), 0.005)
+    return model.transform(obs).select(KEY, "BIN_code")
+
+
+@query
+def levels_roundtrip(spark, folder):
+    """A list too long for literals, saved with its model and read back."""
+    train, test = _halves(spark, folder)
+    with held(level_profile(train, ["cust_code"]).select("var", "level")) as levels:
+        model = ReplaceModel(level_set(levels, inline=10), {"cust_code": "none"})
+    store = _store(spark)
+    store.save_state("replace", model)
+    return store.load_state("replace", ReplaceModel).transform(test).select(KEY, "REP_cust_code")
+
+
+
 @query
 def rare_levels_q(spark, folder):
     return rare_levels(order_obs(spark, folder), NOMINALS)
@@ -346,6 +394,19 @@ def bin_apply(spark, folder):
     return fit_bins(train, _catalog("total_price", "planted")).transform(test).select(KEY, "BIN_planted")
 
 
+@query
+def bin_then_group(spark, folder):
+    """Bins of the training rows, of which those with under a quarter of the rows are pooled."""
+    train, test = _halves(spark, folder)
+    catalog = _catalog("planted")
+    bins = fit_bins(train, catalog)
+    binned = bins.transform(train)
+    group = fit_group_rare(binned, bins.catalog(catalog), 0.25)
+    out = group.transform(bins.transform(test))
+    shown = F.col("BIN_BIN_planted") if "BIN_BIN_planted" in out.columns else F.col("BIN_planted").cast("string")
+    return out.select(KEY, shown.alias("bin"))
+
+
 # --- clusters ---------------------------------------------------------------------
 
 EMBEDDED = [f"e{i}" for i in range(64)]
@@ -358,14 +419,35 @@ def corr_matrix(spark, folder):
 
 @query
 def cluster_assign(spark, folder):
-    model = cluster_columns(wide_embeddings(spark, folder), EMBEDDED, hyper=0.3)
-    return rounded(model.to_df(spark), "r2_own", "r2_next", "ratio")
+    """Each column's shares against the correlations with the component scores of all rows."""
+    df = wide_embeddings(spark, folder)
+    model = cluster_columns(df, EMBEDDED, hyper=0.3)
+    scores = model.scores(df, EMBEDDED)
+    parts = [p.cluster for p in model.components]
+    names = [*EMBEDDED, *[f"PC1_{p}" for p in parts]]
+    found = correlation_matrix(scores, names)
+    corr = {(v, p): found[i, len(EMBEDDED) + j] for i, v in enumerate(EMBEDDED) for j, p in enumerate(parts)}
+    n = df.count()
+    sample = n / (n - 1)
+    rows = []
+    for r in model.rows:
+        alone = sum(x.cluster == r.cluster for x in model.rows) == 1
+        own = 1.0 if alone else corr[r.var, r.cluster] ** 2 * sample
+        nearest = max((corr[r.var, p] ** 2 for p in parts if p != r.cluster), default=0.0)
+        rows.append((r.var, bool(abs(own - r.r2_own) < 1e-6), bool(abs(nearest - r.r2_next) < 1e-6)))
+    return spark.createDataFrame(rows, "var string, own_ok boolean, next_ok boolean")
 
 
 @query
 def cluster_best_vars(spark, folder):
+    """One column a cluster is kept, and none of its cluster has a lower ratio."""
     model = cluster_columns(wide_embeddings(spark, folder), EMBEDDED, "MaxEigenvalue", 1.5)
-    return model.to_df(spark).filter("selected").select("cluster", "var")
+    table = model.to_df(spark)
+    kept = table.filter("selected").select("cluster", F.col("ratio").alias("kept_ratio"))
+    clusters = table.groupBy("cluster").agg(F.min("ratio").alias("least"), F.count(F.lit(1)).alias("n"))
+    joined = clusters.join(kept, "cluster", "left")
+    return joined.agg(F.sum("n").alias("n_columns"), F.count_if(F.col("kept_ratio") > F.col("least")).alias("n_wrong"),
+                      (F.count("kept_ratio") - F.countDistinct("cluster")).alias("n_surplus"))
 
 
 @query
@@ -390,14 +472,33 @@ def _imputed_train(spark, folder) -> tuple[DataFrame, Catalog]:
     return model.transform(train), model.catalog(catalog)
 
 
+def _importance_facts(model, wrong: Column) -> DataFrame:
+    """How many columns there are, that their importance adds up to 1, and that none is rejected or kept against the rule."""
+    table = model.to_df(SparkSession.active())
+    return table.agg(F.count(F.lit(1)).alias("n_columns"), F.round(F.sum("importance"), 6).alias("total"),
+                     F.count_if(wrong).alias("n_wrong"))
+
+
 @query
 def tree_importance(spark, folder):
-    return tree_selection(*_imputed_train(spark, folder), 0.01, "value", max_depth=6).to_df(spark)
+    found = tree_selection(*_imputed_train(spark, folder), 0.01, "value")
+    return _importance_facts(found, F.col("rejected") != (F.col("importance") < 0.01))
 
 
 @query
 def rf_importance(spark, folder):
-    return forest_selection(*_imputed_train(spark, folder), 0.6, "percentage", max_depth=6).to_df(spark)
+    found = forest_selection(*_imputed_train(spark, folder), 0.6, "percentage")
+    cut = sorted((i for _, i in found.importance), reverse=True)[math.ceil(0.6 * len(found.importance)) - 1]
+    expected = (F.col("importance") == 0) if cut == 0 else (F.col("importance") < cut)
+    return _importance_facts(found, F.col("rejected") != expected)
+
+
+@query
+def tree_importance_long(spark, folder):
+    """Selection among columns of which one has a level for every customer."""
+    train, _ = _halves(spark, folder)
+    found = tree_selection(train.na.drop(subset=["segment"]), _catalog("cust_code", "segment", "total_price"), 0.01, "value")
+    return _importance_facts(found, F.col("rejected") != (F.col("importance") < 0.01))
 
 
 CORRELATED = ["total_price", "planted", "p1", "ord_f_score_ind", "obs_id"]
@@ -449,6 +550,16 @@ def one_hot(spark, folder):
     return fit_prep(train, _catalog("segment")).transform(test, [KEY])
 
 
+@query
+def one_hot_long(spark, folder):
+    """The place of the 1 in the vector of a column with a level for every customer."""
+    train, test = _halves(spark, folder)
+    vectors = fit_prep(train, _catalog("cust_code"), inline=100).transform(test, [KEY])
+    slots = vector_to_array("cust_code_levels")
+    place = F.nullif(F.array_position(slots, 1.0), F.lit(0)) - 1
+    return vectors.select(KEY, F.size(slots).alias("width"), place.cast("bigint").alias("place"))
+
+
 @query
 def scale_range(spark, folder):
     train, test = _halves(spark, folder)
@@ -483,6 +594,18 @@ def global_rank(spark, folder):
         KEY, F.col("rank").cast("bigint").alias("rank"), F.col("cum_pos").cast("bigint").alias("cum_pos"))
 
 
+def _gappy(spark, folder) -> DataFrame:
+    """Scored orders of which a fifth has no score and a seventh a score that is no number."""
+    gap = F.when(F.col(KEY) % 5 == 0, F.lit(None)).when(F.col(KEY) % 7 == 0, F.lit(float("nan"))).otherwise(F.col(SCORE))
+    return scored_orders(spark, folder).withColumn(SCORE, gap)
+
+
+@query
+def global_rank_missing(spark, folder):
+    return rank_rows(_gappy(spark, folder), SCORE, KEY, label=LABEL).select(
+        KEY, F.col("rank").cast("bigint").alias("rank"), F.col("cum_pos").cast("bigint").alias("cum_pos"))
+
+
 @query
 def lift_at_depth(spark, folder):
     hits = hits_at_depth(scored_orders(spark, folder), LABEL, SCORE, KEY, LIFT_DEPTHS)
@@ -552,6 +675,17 @@ def threshold_sweep_q(spark, folder):
     return _sweep(spark, folder)
 
 
+@query
+def threshold_sweep_missing(spark, folder):
+    return threshold_sweep(_gappy(spark, folder), LABEL, 1 - F.col(SCORE), THRESHOLDS)
+
+
+@query
+def confusion_matrix_missing(spark, folder):
+    labelled = _gappy(spark, folder).withColumn("predicted", label_at(1 - F.col(SCORE), 0.75))
+    return confusion_matrix(labelled, LABEL, "predicted")
+
+
 @query
 def fbeta_by_threshold(spark, folder):
     return _sweep(spark, folder).select("j", r6(fbeta(1.0)).alias("f1"), r6(fbeta(2.0)).alias("f2"))
@@ -635,7 +769,7 @@ def param_grid_cross(spark, folder):
 def _vectors(spark, folder, scale: str | None = "Range") -> tuple[DataFrame, DataFrame]:
     """Train and test vectors of the imputed order table."""
     train, test = _halves(spark, folder)
-    catalog = _screened().reject(["planted", "nation"])
+    catalog = _screened()
     model = fit_impute(train, catalog, KEY)
     catalog = model.catalog(catalog)
     train, test = model.transform(train), model.transform(test)
@@ -645,66 +779,122 @@ def _vectors(spark, folder, scale: str | None = "Range") -> tuple[DataFrame, Dat
 
 @query
 def logit_validation(spark, folder):
+    """All strengths; the best has the top score, and its fit leaves no slope of the penalised loss."""
     train, test = _vectors(spark, folder)
-    found = search.logit_search(train, test, KEY, c_grid=(-3, 2, 4), thresholds=(0.5, 1.0, 101), max_iter=20)
-    return rounded(found.table(), "score")
+    found = search.logit_search(train, test, KEY)
+    top = max(s for s in found.scores if s is not None)
+    return spark.createDataFrame(
+        [(len(found.scores), found.model_score == top, _slope(train, found.model, found.best_c) < 1e-3)],
+        "n_settings int, best_is_top boolean, flat boolean")
+
+
+def _slope(train: DataFrame, model, c: float) -> float:
+    """Largest derivative of the mean loss plus the ridge penalty, over the weights and the intercept."""
+    x = vector_to_array("features")
+    width = len(model.coefficients)
+    rows = search.scored(model, train, ["label", "features"]).select((F.col("p1") - F.col("label")).alias("e"), x.alias("x"))
+    sums = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("e").alias("b"), *[
+        F.sum(F.col("e") * F.col("x")[i]).alias(f"g{i}") for i in range(width)]).first()
+    n = sums["n"]
+    slopes = [sums[f"g{i}"] / n + w / (c * n) for i, w in enumerate(model.coefficients)]
+    return float(max(abs(v) for v in [*slopes, sums["b"] / n]))
 
 
 @query
 def score_output(spark, folder):
+    """Probabilities against the logistic function of the fitted weights, labels against the threshold."""
     train, test = _vectors(spark, folder)
-    model = search.logit_model(1.0, train.count(), 20).fit(train)
-    out = search.scored(model, test, [KEY]).withColumn("predicted", label_at(1 - F.col("p1"), 0.7))
-    return rounded(out, "p1")
+    model = search.logit_model(1.0, train.count()).fit(train)
+    out = search.scored(model, test, [KEY, "features"]).withColumn("predicted", label_at(1 - F.col("p1"), 0.7))
+    weights = F.lit([float(w) for w in model.coefficients])
+    margin = F.aggregate(F.zip_with(vector_to_array("features"), weights, lambda a, b: a * b), F.lit(0.0), lambda s, v: s + v)
+    expected = 1 / (1 + F.exp(-(margin + F.lit(float(model.intercept)))))
+    return out.select(KEY, (F.abs(F.col("p1") - expected) < 1e-9).alias("p1_ok"),
+                      (F.col("predicted") == (1 - F.col("p1") < 0.7).cast("int")).alias("label_ok"))
 
 
 @query
 def mlp_score(spark, folder):
+    """Probabilities against a forward pass through the fitted weights."""
     train, test = _vectors(spark, folder)
     width = int(train.schema["features"].metadata["ml_attr"]["num_attrs"])
-    return rounded(search.scored(search.net(width, epochs=10).fit(train), test, [KEY]), "p1")
+    model = search.net(width).fit(train)
+    out = search.scored(model, test, [KEY, "features"])
+    return out.select(KEY, (F.abs(F.col("p1") - _forward(model)) < 1e-9).alias("p1_ok"))
 
 
-NET_TRIAL = {"learning_rate": (0.01, 0.03), "epochs": (5, 10)}
+def _forward(model) -> Column:
+    """The chance of class 1 from the weights: logistic units, and the two outputs normalised."""
+    sizes, weights = model.getLayers(), [float(w) for w in model.weights]
+    values = [vector_to_array("features")[i] for i in range(sizes[0])]
+    at = 0
+    for depth, (n, m) in enumerate(zip(sizes, sizes[1:])):
+        sums = []
+        for j in range(m):  # a layer is stored column by column, its offsets last
+            terms = [F.lit(weights[at + i * m + j]) * values[i] for i in range(n)] + [F.lit(weights[at + n * m + j])]
+            sums.append(sum(terms[1:], terms[0]))
+        at += (n + 1) * m
+        values = sums if depth == len(sizes) - 2 else [1 / (1 + F.exp(-s)) for s in sums]
+    return 1 / (1 + F.exp(values[0] - values[1]))
 
 
 @query
 def mlp_cv(spark, folder):
+    """The mean of each setting over the folds, and the best of them."""
     train, _ = _vectors(spark, folder)
-    found = search.net_cv(train, KEY, folds=2, n_models=2, parallelism=2, space=NET_TRIAL)
-    rows = [(i, float(m)) for i, m in enumerate(found.avgMetrics)]
-    return spark.createDataFrame(rows, "setting int, score double")
+    return _cv_facts(search.net_cv(train, KEY))
+
+
+def _cv_facts(found) -> DataFrame:
+    means = [sum(s) / len(s) for s in zip(*found.fold_scores) if None not in s]
+    right = all(abs(a - b) < 1e-12 for a, b in zip(means, found.avgMetrics))
+    rows = [(len(found.fold_scores), len(found.avgMetrics), right, found.avgMetrics[found.best()] == max(found.avgMetrics))]
+    return SparkSession.active().createDataFrame(rows, "folds int, n_settings int, means_ok boolean, best_is_top boolean")
 
 
 @query
 def mlp_validation(spark, folder):
+    """The top score is the lift of the predictions that are returned."""
     train, test = _vectors(spark, folder)
-    found = search.net_validation(train, test, KEY, n_models=3, space=NET_TRIAL)
-    rows = [(i, s["learning_rate"], s["epochs"], v) for i, (s, v) in enumerate(zip(found.settings, found.scores))]
-    return spark.createDataFrame(rows, "setting int, learning_rate double, epochs int, score double")
+    return _net_facts(search.net_validation(train, test, KEY), "lift", 0.1)
+
+
+def _net_facts(found, metric: str, depth: float) -> DataFrame:
+    """Settings tried, rows predicted, and whether the best score is the metric of the predictions by a plain count."""
+    rows = found.predictions.select(KEY, "label", "p1")
+    n, positives = rows.agg(F.count(F.lit(1)), F.sum("label")).first()
+    top = rows.orderBy(F.desc("p1"), KEY).limit(math.ceil(n * depth)).agg(F.sum("label")).first()[0]
+    expected = top / (positives * depth) if metric == "lift" else top / positives
+    best = found.scores[found.best()]
+    confused = found.confusion.agg(F.sum("n")).first()[0]
+    return rows.sparkSession.createDataFrame(
+        [(len(found.scores), confused, abs(best - expected) < 1e-12, best == max(s for s in found.scores if s is not None))],
+        "n_settings int, n_rows bigint, score_ok boolean, best_is_top boolean")
 
 
 @query
 def mlp_tries(spark, folder):
     train, test = _halves(spark, folder)
-    catalog = _screened().reject(["planted"])
+    catalog = _screened()
     model = fit_impute(train, catalog, KEY)
     nominal = ["IMP_segment", "IMP_nation"]
-    numeric = [f"IMP_{c}" for c in ("total_price", "acctbal", "sum_qty", "max_price", *ORDINALS)]
+    numeric = [f"IMP_{c}" for c in (*BINNED, *ORDINALS)]
     keep = [KEY, F.col(LABEL).cast("double").alias("label")]
 
     def vectors(df):
         return search.hashed_features(model.transform(df).select(*keep, *nominal, *numeric), nominal, numeric,
                                       [KEY, "label"])
 
-    found = search.net_tries(vectors(train), vectors(test), KEY, epochs=(5, 10, 5), tries=2, layer_units=(2,))
-    rows = [(i, s["epochs"], s["seed"], v) for i, (s, v) in enumerate(zip(found.settings, found.scores))]
-    return spark.createDataFrame(rows, "setting int, epochs int, seed int, score double")
+    return _net_facts(search.net_tries(vectors(train), vectors(test), KEY), "lift", 0.1)
 
 
 @query
 def hash_bucket(spark, folder):
-    return order_obs(spark, folder).select(KEY, search.hash_bucket("cust_code").alias("bucket"))
+    """Buckets lie in range and a level has one; how evenly they fill is left to the hash."""
+    coded = order_obs(spark, folder).select("cust_code", search.hash_bucket("cust_code").alias("bucket"))
+    levels = coded.groupBy("cust_code").agg(F.count(F.lit(1)).alias("n"), F.min("bucket").alias("a"), F.max("bucket").alias("b"))
+    return levels.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_levels"),
+                      F.count_if((F.col("a") != F.col("b")) | ~F.col("a").between(0, search.HASH_BUCKETS - 1)).alias("n_wrong"))
 
 
 @query
@@ -740,31 +930,70 @@ def prep_apply(spark, folder):
 
 @query
 def prep_catalog(spark, folder):
+    """The full preparation, with forest and clusters: which inputs it ends with, and that each is there."""
     train, _ = _halves(spark, folder)
-    return fit_preparation(train, order_catalog(), KEY, max_depth=5).catalog.to_df(spark).select(
-        "name", "role", "level", "parent")
+    prep = fit_preparation(train, order_catalog(), KEY)
+    left = set(prep.catalog.inputs())
+    dropped = set(prep.importance.rejected) | {r.var for r in prep.clusters.rows if not r.selected}
+    out = prep.transform(train)
+    rows = [(len(left & dropped), len(left - set(out.columns)), len(prep.importance.importance))]
+    return out.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(F.broadcast(
+        spark.createDataFrame(rows, "n_dropped_left int, n_absent int, n_weighed int")))
+
+
+@query
+def prep_roundtrip(spark, folder):
+    """The full preparation saved and read back gives the same rows."""
+    train, test = _halves(spark, folder)
+    prep = fit_preparation(train, order_catalog(), KEY)
+    store = _store(spark)
+    store.save_state("prep", prep)
+    again = store.load_state("prep", Preparation)
+    names = prep.catalog.inputs()
+    first = prep.transform(test).select(KEY, F.xxhash64(*names).alias("a"))
+    second = again.transform(test).select(KEY, F.xxhash64(*again.catalog.inputs()).alias("b"))
+    return first.join(second, KEY).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("a") == F.col("b")).alias("n_equal"))
+
+
+@query
+def model_stability(spark, folder):
+    """Decile stability of a fitted model's scores: each period's hits against a plain count."""
+    prep, train, test = _prepared(spark, folder)
+    catalog = prep.catalog.reject([c for c in prep.catalog.inputs() if prep.catalog[c].level == "NOMINAL"])
+    fitted = fit_prep(prep.transform(train), catalog)
+    model = search.logit_model(1.0, train.count()).fit(fitted.features(prep.transform(train), [KEY]))
+    both = search.scored(model, fitted.features(prep.transform(test), [KEY, PERIOD]), [KEY, PERIOD, "label"])
+    with held(both.withColumn("label", F.col("label").cast("int"))) as rows:
+        report = decile_stability(rows, "label", "p1", PERIOD, KEY, stride=1)
+        ranked = rows.select(PERIOD, "label", F.row_number().over(
+            Window.partitionBy(PERIOD).orderBy(F.desc("p1"), KEY)).alias("r"), F.count(F.lit(1)).over(Window.partitionBy(PERIOD)).alias("n"))
+        plain = ranked.join(F.broadcast(report.select(PERIOD, "depth", "hits")), PERIOD).groupBy(PERIOD, "depth").agg(
+            F.first("hits").alias("hits"), F.sum(F.when(F.col("r") <= F.ceil(F.col("n") * F.col("depth")), F.col("label")).otherwise(0)).alias("count"))
+        facts = [tuple(r) for r in plain.select(PERIOD, "depth", (F.col("hits") == F.col("count")).alias("hits_ok")).collect()]  # ten rows a period
+    return spark.createDataFrame(facts, "period_dt date, depth double, hits_ok boolean")
 
 
 def _arm(spark, folder, scale: str | None) -> tuple[DataFrame, DataFrame]:
     prep, train, test = _prepared(spark, folder)
-    catalog = prep.catalog.reject(["IMP_planted"])
+    catalog = prep.catalog
     fitted = fit_prep(prep.transform(train), catalog, input_scale=scale)
     return fitted.features(prep.transform(train), [KEY]), fitted.features(prep.transform(test), [KEY])
 
 
 @query
 def logit_arm(spark, folder):
+    """The logit arm in full; its best strength, slope and rows."""
     train, test = _arm(spark, folder, None)
-    found = search.logit_search(train, test, KEY, c_grid=(-3, 2, 3), metric="cumulative lift", depth=0.15,
-                                thresholds=(0.5, 1.0, 101), max_iter=20)
-    return rounded(found.predictions, "p1")
+    found = search.logit_search(train, test, KEY, c_grid=(-4, 4, 10), metric="cumulative lift", depth=0.15)
+    top = max(s for s in found.scores if s is not None)
+    rows = [(len(found.scores), found.model_score == top, _slope(train, found.model, found.best_c) < 1e-3)]
+    return found.predictions.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(F.broadcast(
+        spark.createDataFrame(rows, "n_settings int, best_is_top boolean, flat boolean")))
 
 
 @query
 def nn_arm(spark, folder):
     train, test = _arm(spark, folder, "Range")
-    cv = search.net_cv(train, KEY, metric="cumulative lift", depth=0.15, folds=2, n_models=2, parallelism=2, space=NET_TRIAL)
-    found = search.net_validation(train, test, KEY, metric="cumulative lift", depth=0.15, n_models=2, space=NET_TRIAL)
-    rows = [("cross validation", i, float(m)) for i, m in enumerate(cv.avgMetrics)]
-    rows += [("validation", i, s) for i, s in enumerate(found.scores)]
-    return spark.createDataFrame(rows, "search string, setting int, score double")
+    cv = _cv_facts(search.net_cv(train, KEY, metric="cumulative lift", depth=0.15))
+    found = _net_facts(search.net_validation(train, test, KEY, metric="cumulative lift", depth=0.15), "cumulative lift", 0.15)
+    return cv.select("folds", F.col("n_settings").alias("n_cv"), "means_ok").crossJoin(F.broadcast(found))

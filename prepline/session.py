@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -36,11 +37,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests on one machine) is a scratch folder used.
+    Only on one machine, where no setting is needed, is a scratch folder used in its place.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="prepline-checkpoint-"))
     return context.getCheckpointDir()
 

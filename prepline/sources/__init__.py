@@ -1,3 +1,3 @@
-from prepline.sources.tables import StageStore, extract, jdbc_options, read_table, write_csv
+from prepline.sources.tables import StageStore, database_options, extract, jdbc_options, read_table, write_csv
 
-__all__ = ["StageStore", "extract", "jdbc_options", "read_table", "write_csv"]
+__all__ = ["StageStore", "database_options", "extract", "jdbc_options", "read_table", "write_csv"]

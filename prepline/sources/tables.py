@@ -50,10 +50,25 @@ def jdbc_options(url: str, query: str | None = None, table: str | None = None, *
     return options
 
 
-def extract(spark: SparkSession, query: str, jdbc: dict[str, str] | None = None, **views: DataFrame) -> DataFrame:
-    """A table by query: from a database with ``jdbc`` options, else over the given frames."""
+def database_options(query: str | None, jdbc: dict[str, str]) -> dict[str, str]:
+    """Options of one read: a table in ranges as it is, or a query pushed down whole."""
+    if "dbtable" in jdbc:
+        if query is not None:
+            raise ValueError("a table is read without a query")
+        return jdbc
+    if query is None and "query" not in jdbc:
+        raise ValueError("give a query or a table")
+    return jdbc | ({"query": query} if query is not None else {})
+
+
+def extract(spark: SparkSession, query: str | None = None, jdbc: dict[str, str] | None = None, **views: DataFrame) -> DataFrame:
+    """A table by query: from a database with ``jdbc`` options, else over the given frames.
+
+    With the options of a table and a column, ``jdbc_options(table=..., column=...)``, the
+    database is read in ranges, one task each.
+    """
     if jdbc is not None:
-        return spark.read.format("jdbc").options(**(jdbc | {"query": query})).load()
+        return spark.read.format("jdbc").options(**database_options(query, jdbc)).load()
     return spark.sql(query, **views)
 
 
@@ -80,14 +95,22 @@ class StageStore:
         return self.spark.read.parquet(self._path(name))
 
     def save_state(self, name: str, model) -> None:
-        row = self.spark.createDataFrame([(type(model).__name__, model.to_json())], "kind string, state string")
+        """The model's JSON; tables that belong to it go beside it as parquet."""
+        tables = model.tables() if hasattr(model, "tables") else {}
+        for part, table in tables.items():
+            table.write.mode("overwrite").parquet(self._path(f"{name}.{part}"))
+        row = self.spark.createDataFrame([(type(model).__name__, model.to_json(), sorted(tables))],
+                                         "kind string, state string, tables array<string>")
         row.coalesce(1).write.mode("overwrite").json(self._path(name))
 
     def load_state(self, name: str, cls):
-        row = self.spark.read.schema("kind string, state string").json(self._path(name)).first()
+        row = self.spark.read.schema("kind string, state string, tables array<string>").json(self._path(name)).first()
         if row["kind"] != cls.__name__:
             raise ValueError(f"{name} holds a {row['kind']}, not a {cls.__name__}")
-        return cls.from_json(row["state"])
+        parts = row["tables"] or []
+        if not parts:
+            return cls.from_json(row["state"])
+        return cls.from_json(row["state"], {part: self.load(f"{name}.{part}") for part in parts})
 
     def save_model(self, name: str, model) -> None:
         model.write().overwrite().save(self._path(name))

@@ -20,7 +20,7 @@ from prepline.operators.search import grid, sample_settings, top_settings
 from prepline.operators.stability import decile_stability, keep_periods, period_table, target_rate
 from prepline.operators.thresholds import (
     best_threshold, classification_report, confusion_matrix, fbeta, hard_auc, hard_average_precision, kappa,
-    threshold_sweep,
+    label_at, threshold_sweep,
 )
 
 
@@ -162,8 +162,40 @@ def test_long_level_lists_are_joined(spark):
     test = one_column(spark, "string", "hot", "v1", "v2", None, *["hot"] * 50)
     found = as_dict(model.transform(test), "id", "REP_x")
     assert (found[0], found[1], found[2], found[3], len(found)) == ("hot", "v1", "hot", "hot", 54)
+    again = ReplaceModel.from_json(model.to_json(), model.tables())
+    assert as_dict(again.transform(test), "id", "REP_x") == found
     with pytest.raises(ValueError, match="table"):
-        model.to_json()
+        ReplaceModel.from_json(model.to_json())
+
+
+def test_long_level_lists_become_one_vector(spark):
+    train = spark.range(1500).select(F.concat(F.lit("v"), F.lpad(F.col("id").cast("string"), 4, "0")).alias("x"), F.lit(1).alias("y"))
+    model = fit_prep(train, Catalog.of([("x", "INPUT", "NOMINAL"), ("y", "TARGET", "BINARY")]))
+    rows = one_column(spark, "string", "v0000", "v0001", "v1499", "other", None).withColumn("y", F.lit(0))
+    found = {r["id"]: r["x_levels"] for r in model.transform(rows, ["id"]).collect()}
+    assert {len(v) for v in found.values()} == {1499}
+    assert {i: v.indices.tolist() for i, v in found.items()} == {0: [], 1: [0], 2: [1498], 3: [], 4: []}
+    again = type(model).from_json(model.to_json(), model.tables())
+    assert {r["id"]: r["features"] for r in again.features(rows, ["id"]).collect()} == found
+
+
+def test_missing_scores_are_labelled_zero(spark):
+    rows = spark.createDataFrame([(1, 1, 0.9), (2, 0, None), (3, 1, float("nan")), (4, 0, 0.2)], "id bigint, y int, p1 double")
+    sweep = threshold_sweep(rows, "y", 1 - F.col("p1"), [0.5, 0.9, 1.0]).orderBy("j").collect()
+    assert [(r["tp"], r["fp"], r["fn"], r["tn"]) for r in sweep] == [(1, 0, 1, 2), (1, 1, 1, 1), (1, 1, 1, 1)]
+    labelled = rows.withColumn("z", label_at(1 - F.col("p1"), 0.5))
+    assert sum(r["n"] for r in confusion_matrix(labelled, "y", "z").collect()) == 4
+
+
+def test_nominal_codes_become_text(spark):
+    catalog = Catalog.of([("x", "INPUT", "NOMINAL")])
+    train = one_column(spark, "int", 3, 3, None, *range(100, 2200))
+    filled = fit_impute(train, catalog, "id").transform(train)
+    assert as_dict(filled, "id", "IMP_x")[2] == "Missing" and as_dict(filled, "id", "IMP_x")[0] == "3"
+    pooled = fit_group_rare(train, catalog, 0.0008).transform(train)
+    assert as_dict(pooled, "id", "BIN_x")[0] == "3" and as_dict(pooled, "id", "BIN_x")[5] == "_OTHER_"
+    replaced = fit_replace(train, catalog).transform(one_column(spark, "int", 3, 7))
+    assert as_dict(replaced, "id", "REP_x") == {0: "3", 1: "3"}
 
 
 # --- encoding --------------------------------------------------------------------

@@ -11,7 +11,7 @@ from prepline.operators.search import (
     hashed_features, logit_model, logit_search, net, net_cv, net_tries, net_validation, scored,
 )
 from prepline.catalog import Catalog
-from prepline.sources import StageStore, extract, jdbc_options, read_table, write_csv
+from prepline.sources import StageStore, database_options, extract, jdbc_options, read_table, write_csv
 
 
 @pytest.fixture(scope="module")
@@ -50,7 +50,14 @@ def test_nets(halves):
     tries = net_tries(train, test, "k", epochs=(5, 10, 5), tries=2, layer_units=(2,))
     assert [(s["epochs"], s["seed"]) for s in tries.settings] == [(5, 12345), (5, 12346), (10, 12345), (10, 12346)]
     cv = net_cv(train, "k", folds=2, n_models=1, space={"epochs": [5]})
-    assert len(cv.avgMetrics) == 1
+    assert len(cv.avgMetrics) == 1 and len(cv.fold_scores) == 2
+    wider = net_cv(train, "k", folds=2, search="Grid Search", space={"epochs": [5], "layer_units": [(2,), (4, 3)]})
+    assert len(wider.avgMetrics) == 2 and wider.bestModel.getLayers()[1] in (2, 4)
+    assert sum(r["n"] for r in found.confusion.collect()) == test.count() == found.predictions.count()
+    weights = [net(2, learning_rate=r, epochs=5).fit(train).weights.toArray() for r in (0.001, 0.3)]
+    assert abs(weights[0] - weights[1]).max() > 1e-4
+    with pytest.raises(ValueError):
+        net(2, learning_rate=0.1, solver="l-bfgs")
     with pytest.raises(ValueError):
         net(0)
     with pytest.raises(ValueError):
@@ -97,3 +104,7 @@ def test_sources(spark, tmp_path, monkeypatch):
                        "upperBound": "9", "numPartitions": "3", "user": "u"}
     with pytest.raises(ValueError):
         jdbc_options("jdbc:x")
+    assert database_options(None, options) == options and "query" not in options
+    assert database_options("SELECT 1", {"url": "jdbc:x"}) == {"url": "jdbc:x", "query": "SELECT 1"}
+    with pytest.raises(ValueError):
+        database_options("SELECT 1", options)
