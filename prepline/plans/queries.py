@@ -984,7 +984,7 @@ def _arm(spark, folder, scale: str | None) -> tuple[DataFrame, DataFrame]:
 def logit_arm(spark, folder):
     """The logit arm in full; its best strength, slope and rows."""
     train, test = _arm(spark, folder, None)
-    found = search.logit_search(train, test, KEY, c_grid=(-4, 4, 10), metric="cumulative lift", depth=0.15)
+    found = search.logit_search(train, test, KEY, c_grid=(-3, 2, 10), metric="cumulative lift", depth=0.15)
     top = max(s for s in found.scores if s is not None)
     rows = [(len(found.scores), found.model_score == top, _slope(train, found.model, found.best_c) < 1e-3)]
     return found.predictions.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(F.broadcast(
