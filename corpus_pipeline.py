@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prepline.llm import bpe, host_rules, mixing, near_dedup, weak_quality
-from prepline.llm.text import stored
+from prepline.llm.text import discard, stored
 
 ORACLE_SQL = None
 
@@ -57,5 +57,6 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for i, (_, stage) in enumerate(STAGES):
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{i}")
+        before, docs = docs, stored(stage(spark, docs, sf_dir), f"stage-{i}")
+        discard(before)
     return docs

@@ -65,7 +65,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder once and read it from there; a lost executor loses none of it."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what ``stored`` wrote for these frames, once nothing will read them again."""
+    for df in frames:
+        if getattr(df, "stored_at", None):
+            context = df.sparkSession.sparkContext
+            path = context._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def attach(docs: DataFrame, table: DataFrame, on: Column, how: str = "left") -> DataFrame:
