@@ -63,7 +63,52 @@ def op4_quality(spark, folder):
 
 @query
 def op5_host_rules(spark, folder):
-    return host_rules.judged(documents(spark, folder))
+    return host_rules.judged(documents(spark, folder)).withColumn("distrusted", F.array_join("distrusted", ","))
+
+
+def _host_rules_sql() -> str:
+    gap = r"[\x20\x09-\x0D]"
+    fails = {"base": "base_failed", **{r: f"100 * {a} > {soft} * {b}" for r, (a, b, soft, _) in host_rules.SOFT_RULES.items()}}
+    sums = ", ".join(f"sum(({c})::INT)::BIGINT AS f_{r}" for r, c in fails.items())
+    moments = ", ".join(f"avg(f_{r}::DOUBLE / n) AS m_{r}, var_pop(f_{r}::DOUBLE / n) AS v_{r}" for r in fails)
+
+    def rate(r: str) -> str:
+        spread = f"(m_{r} * (1 - m_{r}))"
+        excess = f"(v_{r} - {spread} * inv)"
+        weight = (f"CASE WHEN {excess} > 0 AND ({spread} - v_{r}) / {excess} > 0 THEN ({spread} - v_{r}) / {excess}"
+                  f" ELSE {host_rules.PRIOR_WEIGHT} END")
+        return f"(f_{r} + m_{r} * ({weight})) / (n + ({weight})) > {host_rules.MAX_HOST_RATE}"
+
+    bad = ", ".join(f"({rate(r)}) AS bad_{r}" for r in fails)
+    names = "concat_ws(',', " + ", ".join(f"CASE WHEN bad_{r} THEN '{r}' END" for r in fails) + ")"
+    broken = " OR ".join(
+        f"100 * {a} > (CASE WHEN bad_{r} OR bad_base THEN {hard} ELSE {soft} END) * {b}" for r, (a, b, soft, hard) in host_rules.SOFT_RULES.items())
+    return rf"""
+WITH t AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS word,
+             generate_subscripts(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), 1) AS i FROM t),
+g AS (SELECT doc_id, i, count(*) OVER p AS k, string_agg(word, ' ') OVER p AS win
+      FROM w WINDOW p AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING)),
+a AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, win) AS often FROM g WHERE k = 8),
+c AS (SELECT doc_id, count(DISTINCT i + o) AS n_repeat_words FROM a, range(0, 8) r(o) WHERE often > 1 GROUP BY doc_id),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM t),
+d AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+      FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+m AS (SELECT t.doc_id, t.source, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+'))::BIGINT AS n_words,
+             length(regexp_replace(text, '{gap}', '', 'g')) AS word_chars,
+             len(regexp_extract_all(text, '[#*$%&|<>]'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+             coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
+      FROM t LEFT JOIN c USING (doc_id) LEFT JOIN d USING (doc_id)),
+b AS (SELECT *, n_words < {host_rules.MIN_WORDS} OR 100 * n_repeat_words > {host_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM m),
+h AS (SELECT source, count(*) AS n, {sums} FROM b GROUP BY source),
+o AS (SELECT avg(1.0::DOUBLE / n) AS inv, {moments} FROM h),
+v AS (SELECT source, {bad} FROM h, o)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, {names} AS distrusted,
+       NOT base_failed AND NOT ({broken}) AS kept
+FROM b JOIN v ON b.source IS NOT DISTINCT FROM v.source"""
+
+
+ORACLES["op5_host_rules"] = _host_rules_sql()
 
 
 @query
@@ -71,6 +116,22 @@ def op6_near_dedup(spark, folder):
     return near_dedup.near_duplicates(documents(spark, folder))
 
 
+# Every two sets that share a shingle are compared, and links are followed from every document.
+ORACLES["op6_near_dedup"] = rf"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+             ELSE [array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)] END) AS g FROM t),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= {near_dedup.THRESHOLD} * (x.n + y.n - k)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
+SELECT r.doc_id, coalesce(max(n.n), 0) AS n_shingles, min(c) AS component_id, r.doc_id = min(c) AS kept
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id"""
+
+
 @query
 def op7_language(spark, folder):
     docs = documents(spark, folder)
