@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prepline.llm.text import blocks, discard, mix64, split_words, stored, whole
+from prepline.llm.text import blocks, discard, mix64, small_batches, split_words, stored, whole
 
 SHINGLE = 5
 THRESHOLD = 75  # percent
@@ -51,6 +51,7 @@ LEAST_EQUAL = 70  # registers of 128; 96 expected at the threshold, standard dev
 PARTS = 128  # of the hash space, a power of two
 BITMAP = 1 << 26  # bits of the sieve for keys of some pair; a fixed size
 _BLOCK = 1_000_000
+TEXT_ROWS, SET_ROWS = 1000, 500  # texts, and pairs of sets, that a task holds at once
 _DRAW = np.random.default_rng(11)
 _MULTIPLY = _DRAW.integers(0, 2**63, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _DRAW.integers(0, 2**63, REGISTERS, dtype=np.uint64)
@@ -247,7 +248,8 @@ def full_sets(wanted: DataFrame, docs: DataFrame, doc_id: str, text: str) -> Dat
             for block in blocks(iter([passed]), "__text"):
                 yield pd.DataFrame({"__id": block["__id"], "__set": [s.tobytes() for s in shingle_sets(block["__text"].tolist())]})
 
-    out = stored(rows.filter(F.col("__id").isNotNull()).mapInPandas(sets, "__id bigint, __set binary"), "sets")
+    with small_batches(docs.sparkSession, TEXT_ROWS):
+        out = stored(rows.filter(F.col("__id").isNotNull()).mapInPandas(sets, "__id bigint, __set binary"), "sets")
     sent.unpersist()
     return out
 
@@ -278,7 +280,8 @@ def shared_parts(nodes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> D
     single = wanted.mapInPandas(spread, "__node bigint, __e bigint").groupBy("__e").agg(
         F.count(F.lit(1)).alias("n"), F.min("__node").alias("__id")).filter("n = 1")
     alone = single.groupBy("__id").agg(F.collect_list("__e").alias("__alone"))  # no more than the set holds
-    out = stored(wanted.join(alone, "__id", "left").mapInPandas(count, "__node bigint, __parts array<int>"), "parts")
+    with small_batches(docs.sparkSession, SET_ROWS):
+        out = stored(wanted.join(alone, "__id", "left").mapInPandas(count, "__node bigint, __parts array<int>"), "parts")
     discard(found)
     return out
 
@@ -299,7 +302,8 @@ def confirmed(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str) -> Data
                     linked[i] = 100 * same >= THRESHOLD * (len(x) + len(y) - same)
             yield batch.loc[linked, ["__a", "__b"]]
 
-    out = stored(both.mapInPandas(check, "__a bigint, __b bigint").distinct(), "confirmed")
+    with small_batches(docs.sparkSession, SET_ROWS):
+        out = stored(both.mapInPandas(check, "__a bigint, __b bigint").distinct(), "confirmed")
     discard(found)
     return out
 
@@ -339,7 +343,8 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` of every row."""
-    rows = stored(sketches(docs, doc_id, text), "sketches")
+    with small_batches(docs.sparkSession, TEXT_ROWS):
+        rows = stored(sketches(docs, doc_id, text), "sketches")
     filled = rows.filter((F.col("__n") > 0) & F.col("__id").isNotNull())
     classes = filled.groupBy("__digest").agg(F.min("__id").alias("__node"))
     reps = stored(filled.join(classes, "__digest").filter(F.col("__id") == F.col("__node")).select(

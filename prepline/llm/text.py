@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prepline.session import shared_folder
@@ -70,6 +71,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Frames written inside reach Python in batches of so few rows; for rows that may each be large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def discard(*frames: DataFrame) -> None:
     """Delete what ``stored`` wrote for these frames, once nothing will read them again."""
     for df in frames:
