@@ -4,8 +4,8 @@ Counting is one shuffle. Each block of texts is cut into words once and sends, t
 of a number of buckets, its distinct words with their training counts and the texts that
 hold them, and its distinct training bigrams. A bucket adds the counts up, answers
 each block with sums for its texts (the add-one unigram base), and turns the counts into
-a Bloom filter: a count c has the level floor(log(c) / log(STEP)), and the pairs (gram, 1), ...,
-(gram, level) are entered. Buckets grow in number, not in size, with the data.
+a Bloom filter: a count c has the level 1 + floor(log(c) / log(STEP)), and the pairs (gram, 1), ...,
+(gram, level) are entered; level 0 is a gram never seen. Buckets grow in number, not in size, with the data.
 
 Scoring sends the filters to the workers and finds the level of a gram by probing (gram, 1),
 (gram, 2), ... up to the first miss. A word's probability interpolates a bigram
@@ -54,16 +54,23 @@ SENT = "bucket bigint, kind string, block bigint, a binary, b binary, c binary,
 
 
 def level_of(count: np.ndarray) -> np.ndarray:
-    return np.floor(np.log(np.maximum(count, 1)) / np.log(STEP) + 1e-9).astype(np.int64)
+    """1 for a count of 1; 0 only for a count of 0."""
+    return np.where(count > 0, 1 + np.floor(np.log(np.maximum(count, 1)) / np.log(STEP) + 1e-9), 0).astype(np.int64)
 
 
 def least_of(level: np.ndarray) -> np.ndarray:
-    """The least count of a level, 0 for level 0: a gram seen once is as one not seen."""
-    return np.where(level > 0, np.ceil(STEP**level - 1e-9), 0.0)
+    """The least count of a level, 0 for level 0."""
+    return np.where(level > 0, np.ceil(STEP ** (level - 1.0) - 1e-9), 0.0)
+
+
+def greatest_of(level: np.ndarray) -> np.ndarray:
+    """The greatest count of a level, 0 for level 0."""
+    return np.where(level > 0, np.ceil(STEP ** (level * 1.0) - 1e-9) - 1, 0.0)
 
 
 def middle_of(level: np.ndarray) -> np.ndarray:
-    return np.where(level > 0, STEP ** (level + 0.5), 1.0)
+    """What a word counts in the unigram term; an unknown one counts 1, less than one seen once."""
+    return np.where(level > 0, STEP ** (level - 0.5), 1.0)
 
 
 def hash_words(words: list[bytes]) -> np.ndarray:
@@ -300,14 +307,14 @@ class Model:
     norm: float
     weights: np.ndarray  # of the bigram term, by level of the context
 
-    def terms(self, word: np.ndarray, gram: np.ndarray, less: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Context level, bigram term and unigram term of every token."""
-        before = np.concatenate([word[-1:], word[:-1]])
-        bigram = np.maximum(least_of(gram) - less, 0) / np.maximum(STEP ** (before + 1.0) - less, 1.0)
-        return before, np.where(before > 0, np.minimum(bigram, 1.0), 0.0), middle_of(word) / self.norm
+    def terms(self, before: np.ndarray, word: np.ndarray, gram: np.ndarray, less: int = 0) -> tuple[np.ndarray, np.ndarray]:
+        """Bigram term and unigram term of tokens after contexts of the level ``before``; ``less`` comes off the bigram's count."""
+        bigram = np.maximum(least_of(gram) - less, 0) / np.maximum(greatest_of(before), 1)
+        return np.where(before > 0, np.minimum(bigram, 1.0), 0.0), middle_of(word) / self.norm
 
     def log_probability(self, word: np.ndarray, gram: np.ndarray) -> np.ndarray:
-        before, bigram, unigram = self.terms(word, gram)
+        before = contexts(word)
+        bigram, unigram = self.terms(before, word, gram)
         weight = self.weights[before]
         return np.log10(weight * bigram + (1 - weight) * unigram)
 
@@ -369,14 +376,20 @@ def tune(docs: DataFrame, train: Column, counts: Counts, doc_id: str, text: str,
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for block in blocks(batches, "__text"):
             if len(block):
-                before, bigram, unigram = model.terms(*find(block)[:2], less=1)
-                # tokens with equal terms are one row with a count
-                found, often = np.unique(np.stack([before, bigram, unigram], 1), axis=0, return_counts=True)
-                yield pd.DataFrame({"before": found[:, 0].astype(np.int32), "bigram": found[:, 1], "unigram": found[:, 2], "n": often})
-
-    terms = rows.mapInPandas(run, "before int, bigram double, unigram double, n bigint").groupBy("before", "bigram", "unigram").agg(
-        F.sum("n").alias("n")).toPandas().sort_values(["before", "bigram", "unigram"])  # levels are few, so terms are
-    before, bigram, unigram, often = (terms[c].to_numpy() for c in ("before", "bigram", "unigram", "n"))
+                word, gram = find(block)[:2]
+                # tokens with equal levels are one row with a count
+                found, often = np.unique((contexts(word) << 16) + (word << 8) + gram, return_counts=True)
+                yield pd.DataFrame({"levels": found, "n": often})
+
+    found = rows.mapInPandas(run, "levels bigint, n bigint").groupBy("levels").agg(
+        F.sum("n").alias("n")).toPandas().sort_values("levels")  # levels are few
+    code, often = found["levels"].to_numpy(), found["n"].to_numpy()
+    before, word, gram = code >> 16, code >> 8 & 255, code & 255
+    # with its own occurrence taken off, a context of the least count of its level falls to the level below
+    least, greatest = least_of(before), greatest_of(before)
+    falls = np.where(before > 0, 2 * least / np.maximum((least + greatest) * (greatest - least + 1), 1), 0.0)
+    before, often = np.concatenate([np.maximum(before - 1, 0), before]), np.concatenate([often * falls, often * (1 - falls)])
+    bigram, unigram = model.terms(before, np.tile(word, 2), np.tile(gram, 2), less=1)
     weights = np.full(_TOP_LEVEL + 1, 0.3)
     for _ in range(40):
         share = weights[before] * bigram

@@ -157,6 +157,22 @@ def test_filter_returns_levels_and_seldom_more():
     assert (filters.levels(np.zeros(len(other), int), other, 2) > 0).mean() < 0.03
 
 
+def test_what_was_seen_once_is_told_from_what_was_never_seen(spark):
+    counts = np.arange(1, 3000)
+    level = lm.level_of(counts)
+    assert lm.level_of(np.array([0, 1])).tolist() == [0, 1] and lm.middle_of(np.array([1])) > lm.middle_of(np.array([0]))
+    assert ((lm.least_of(level) <= counts) & (counts <= lm.greatest_of(level))).all()
+    names = np.unique(np.random.default_rng(3).integers(0, 2**32, 4000, dtype=np.uint64)).astype(np.uint32)
+    filters = lm.Filters([(0, lm.build_filter([(2, names, np.ones(len(names), int))]))], 1)
+    assert (filters.levels(np.zeros(len(names), int), names, 2) > 0).all()
+    # a and b words occur once, d words twice; of the held-out texts, one holds a pair that training holds and one does not
+    train = [(i, f"a{i} b{i} c{i} d{i % 40}") for i in range(80)]
+    held = [(-1, "a1 b1"), (-2, "a1 b2")]
+    docs = spark.createDataFrame(train + held, "doc_id bigint, text string")
+    score = {r["doc_id"]: r["score"] for r in lm.score_texts(docs, F.col("doc_id") >= 0).collect()}
+    assert score[-1] > score[-2] + 1
+
+
 def test_a_word_held_over_255_times_counts_in_full(spark):
     check_model(spark.createDataFrame([(0, "a " * 1000 + "b"), (1, "a b"), (2, "c " * 255), (3, "c " * 256)], "doc_id bigint, text string"))
 
