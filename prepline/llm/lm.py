@@ -10,12 +10,12 @@ a Bloom filter: a count c has the level 1 + floor(log(c) / log(STEP)), and the p
 Scoring sends the filters to the workers and finds the level of a gram by probing (gram, 1),
 (gram, 2), ... up to the first miss. A word's probability interpolates a bigram
 with a unigram term, with a weight for each level of the context, fitted by
-expectation-maximisation on at most about ``TUNE`` training texts with their own
-occurrences taken off. The unigram term is normalised over the decoded counts; the bigram term
+expectation-maximisation on all training texts with their own
+occurrences taken off. The levels of all texts are found once and stored, two bytes a token, for both the fit and the scores. The unigram term is normalised over the decoded counts; the bigram term
 takes the least count of its level over the greatest of its context's, so the sum over words
 does not pass 1 but for false positives. Filters of up to ``FILTER_BYTES`` bytes are broadcast at once;
 larger ones go in several passes of that size, with the levels found so far kept beside
-the texts, so what is broadcast has a bound and no gram is lost.
+the texts until the last, so what is broadcast has a bound and no gram is lost.
 
 Cases: a missing or empty text is its end alone; with no training text, counts are 0
 and probabilities uniform over one unknown word; repeated rows count and score as often as they
@@ -35,7 +35,6 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prepline.llm.features import sample_share
 from prepline.llm.text import blocks, mix64, split_words, stored, whole
 
 STEP = 1.5
@@ -44,7 +43,7 @@ BITS_PER_EVENT = 10
 FILTER_BYTES = 128 << 20
 BUCKET_CHARS = 16_000_000
 LEAST_BUCKETS = 64
-TUNE = 400
+LEVEL_BYTES = 1_000_000
 _TOP_LEVEL = 80
 _BLOCK_ROWS = 60_000  # a text's place in its block fits 16 bits
 _END = b""  # no word is empty
@@ -334,53 +333,55 @@ def _passes(counts: Counts, limit: int) -> list[list[int]]:
     return groups
 
 
-def with_levels(docs: DataFrame, counts: Counts, doc_id: str, text: str, limit: int = FILTER_BYTES):
-    """Rows, a function that finds the levels of a block, and whether levels came with the rows."""
-    rows = docs.select(F.col(doc_id).alias("__id"), whole(text).alias("__text"))
+def with_levels(docs: DataFrame, train: Column, counts: Counts, doc_id: str, text: str, limit: int = FILTER_BYTES) -> DataFrame:
+    """``__id, __train, __hash2, __levels`` of every row, stored: the levels of each token and of the bigram that ends in it."""
+    rows = docs.select(F.col(doc_id).alias("__id"), train.alias("__train"), whole(text).alias("__text"))
+    kind = rows.schema["__id"].dataType.simpleString()
     groups = _passes(counts, limit)
     for i, group in enumerate(groups):
         filters = counts.answers.filter((F.col("kind") == "filter") & F.col("x").between(group[0], group[-1])).select("x", "bits")
         sent = docs.sparkSession.sparkContext.broadcast(Filters([(r["x"], r["bits"]) for r in filters.collect()], counts.buckets))
-        first = i == 0
-
-        def find(block: pd.DataFrame, sent=sent, first=first):
-            codes, hashes, n = tokens(block["__text"].tolist())
-            word, gram = sent.value.token_levels(codes, hashes)
-            if not first:
-                old = np.frombuffer(b"".join(block["__levels"]), np.uint8).reshape(-1, 2)
-                word, gram = np.maximum(word, old[:, 0]), np.maximum(gram, old[:, 1])
-            return word, gram, n
-
-        if i == len(groups) - 1:
-            return rows, find
+        first, last = i == 0, i == len(groups) - 1
 
-        def run(batches: Iterator[pd.DataFrame], find=find) -> Iterator[pd.DataFrame]:
+        def run(batches: Iterator[pd.DataFrame], sent=sent, first=first, last=last) -> Iterator[pd.DataFrame]:
             for block in blocks(batches, "__text"):
-                word, gram, n = find(block)
+                if not len(block):
+                    continue
+                texts = block["__text"].tolist()
+                codes, hashes, n = tokens(texts)
+                word, gram = sent.value.token_levels(codes, hashes)
+                if not first:
+                    old, _ = read_levels(block["__levels"])
+                    word, gram = np.maximum(word, old[:, 0]), np.maximum(gram, old[:, 1])
                 raw, ends = np.stack([word, gram], 1).astype(np.uint8).tobytes(), np.cumsum(n) * 2
-                yield block[["__id", "__text"]].assign(__levels=[raw[e - 2 * m : e] for e, m in zip(ends, n)])
+                out = block[["__id", "__train"]].assign(__levels=[raw[e - 2 * m : e] for e, m in zip(ends, n)])
+                yield out.assign(__hash2=[text_hash(t) for t in texts]) if last else out.assign(__text=texts)
 
-        kind = rows.schema["__id"].dataType.simpleString()
-        rows = stored(rows.mapInPandas(run, f"__id {kind}, __text string, __levels binary"), "lm-levels")
+        rows = stored(rows.mapInPandas(run, f"__id {kind}, __train boolean, __levels binary, " + ("__hash2 bigint" if last else "__text string")), "lm-levels")
+    return rows
 
 
-def tune(docs: DataFrame, train: Column, counts: Counts, doc_id: str, text: str, sample: int, limit: int) -> Model:
-    """Weights of the bigram term that suit a bounded sample of training texts, each gram counted once less."""
+def read_levels(cells: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Levels of words and bigrams of some texts, and the number of tokens of each."""
+    raw, n = read(cells, np.uint8)
+    return raw.reshape(-1, 2).astype(np.int64), n // 2
+
+
+def tune(levels: DataFrame, counts: Counts) -> Model:
+    """Weights of the bigram term that suit all training texts, each gram counted once less."""
     model = Model(counts.norm, np.zeros(_TOP_LEVEL + 1))
-    n = docs.filter(train).count()
-    if not n:
+    if not counts.n:
         return model
-    chosen = docs.filter(train & (sample_share(doc_id, "lm") < sample / n))
-    rows, find = with_levels(chosen, counts, doc_id, text, limit)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for block in blocks(batches, "__text"):
+        for block in blocks(batches, "__levels", LEVEL_BYTES):
             if len(block):
-                word, gram = find(block)[:2]
+                word, gram = read_levels(block["__levels"])[0].T
                 # tokens with equal levels are one row with a count
                 found, often = np.unique((contexts(word) << 16) + (word << 8) + gram, return_counts=True)
                 yield pd.DataFrame({"levels": found, "n": often})
 
+    rows = levels.filter("__train").select("__levels")
     found = rows.mapInPandas(run, "levels bigint, n bigint").groupBy("levels").agg(
         F.sum("n").alias("n")).toPandas().sort_values("levels")  # levels are few
     code, often = found["levels"].to_numpy(), found["n"].to_numpy()
@@ -399,22 +400,21 @@ def tune(docs: DataFrame, train: Column, counts: Counts, doc_id: str, text: str,
     return Model(counts.norm, weights)
 
 
-def score_texts(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text", sample: int = TUNE,
-                limit: int = FILTER_BYTES) -> DataFrame:
+def score_texts(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text", limit: int = FILTER_BYTES) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` of every row."""
     counts = count_grams(docs, train, doc_id, text)
-    model = tune(docs, train, counts, doc_id, text, sample, limit)
-    rows, find = with_levels(docs, counts, doc_id, text, limit)
+    levels = with_levels(docs, train, counts, doc_id, text, limit)
+    model = tune(levels, counts)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for block in blocks(batches, "__text"):
+        for block in blocks(batches, "__levels", LEVEL_BYTES):
             if len(block):
-                word, gram, n = find(block)
-                total = np.add.reduceat(model.log_probability(word, gram), np.cumsum(n) - n)
-                yield pd.DataFrame({"__id": block["__id"], "__hash2": [text_hash(t) for t in block["__text"]], "score": total})
+                found, n = read_levels(block["__levels"])
+                total = np.add.reduceat(model.log_probability(found[:, 0], found[:, 1]), np.cumsum(n) - n)
+                yield pd.DataFrame({"__id": block["__id"], "__hash2": block["__hash2"], "score": total})
 
-    kind = rows.schema["__id"].dataType.simpleString()
-    scores = rows.mapInPandas(run, f"__id {kind}, __hash2 bigint, score double")
+    kind = levels.schema["__id"].dataType.simpleString()
+    scores = levels.select("__id", "__hash2", "__levels").mapInPandas(run, f"__id {kind}, __hash2 bigint, score double")
     bases = counts.bases()
     same = (F.col("__hash") == F.col("__hash2")) & F.col("__key").eqNullSafe(F.col("__id").cast("string"))
     base = F.col("log_sum") - F.col("n_tokens") * F.lit(float(np.log10(counts.n + counts.v + 1.0)))

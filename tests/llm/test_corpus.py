@@ -173,6 +173,43 @@ def test_what_was_seen_once_is_told_from_what_was_never_seen(spark):
     assert score[-1] > score[-2] + 1
 
 
+def plain_weights(rows, norm):
+    """Expectation-maximisation over the tokens of all training texts, a token's own occurrence taken off."""
+    seen = Counter()
+    for r in rows:
+        word, gram = r["__levels"][::2], r["__levels"][1::2]
+        seen.update(zip([word[-1], *word], word, gram))  # all texts end alike
+    evidence = defaultdict(list)
+    levels = dict(enumerate(lm.level_of(np.arange(1, 2000)).tolist(), 1))
+    for (before, word, gram), n in seen.items():
+        own = [c for c in levels if levels[c] == before]
+        for level, share in ((before - 1, min(own) / sum(own)), (before, 1 - min(own) / sum(own))):
+            least = min(c for c in levels if levels[c] == gram) - 1
+            most = max([c for c in levels if levels[c] == level], default=1)
+            evidence[level].append((min(1.0, least / most) if level else 0.0, 1.5 ** (word - 0.5) / norm, n * share))
+    out = {}
+    for level, terms in evidence.items():
+        w = 0.3
+        for _ in range(40):
+            w = (sum(n * w * b / (w * b + (1 - w) * u) for b, u, n in terms) + 0.3) / (sum(n for *_, n in terms) + 1)
+        out[level] = w if level else 0.0
+    return out
+
+
+def test_weights_are_fitted_on_all_training_texts(spark):
+    draw = np.random.default_rng(5)
+    texts = [(i, " ".join(f"w{min(k, 60)}" for k in draw.geometric(0.04, 3))) for i in range(900)]  # more than a sample of 400
+    docs = spark.createDataFrame([*texts, *[(-i, "w1 w2") for i in range(1, 9)]], "doc_id bigint, text string")
+    train = (F.col("doc_id") >= 0) & (F.col("doc_id") % 9 != 0)
+    counts = lm.count_grams(docs, train)
+    levels = lm.with_levels(docs, train, counts, "doc_id", "text")
+    rows = levels.collect()
+    assert len(rows) == 908 and sum(r["__train"] for r in rows) == 800
+    model = lm.tune(levels, counts)
+    for level, weight in plain_weights([r for r in rows if r["__train"]], counts.norm).items():
+        assert math.isclose(model.weights[level], weight, rel_tol=1e-9)
+
+
 def test_a_word_held_over_255_times_counts_in_full(spark):
     check_model(spark.createDataFrame([(0, "a " * 1000 + "b"), (1, "a b"), (2, "c " * 255), (3, "c " * 256)], "doc_id bigint, text string"))
 
