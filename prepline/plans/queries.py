@@ -911,7 +911,7 @@ def hash_bucket_md5(spark, folder):
 
 def _prepared(spark, folder) -> tuple[Preparation, DataFrame, DataFrame]:
     train, test = _halves(spark, folder)
-    return fit_preparation(train, order_catalog(), KEY, forest=False, cluster=False), train, test
+    return fit_preparation(train, order_catalog(), KEY), train, test
 
 
 def _inputs_of(prep: Preparation, df: DataFrame) -> DataFrame:
@@ -963,8 +963,7 @@ def prep_roundtrip(spark, folder):
 def model_stability(spark, folder):
     """Decile stability of a fitted model's scores: each period's hits against a plain count."""
     prep, train, test = _prepared(spark, folder)
-    catalog = prep.catalog.reject([c for c in prep.catalog.inputs() if prep.catalog[c].level == "NOMINAL"])
-    fitted = fit_prep(prep.transform(train), catalog)
+    fitted = fit_prep(prep.transform(train), prep.catalog)
     model = search.logit_model(1.0, train.count()).fit(fitted.features(prep.transform(train), [KEY]))
     both = search.scored(model, fitted.features(prep.transform(test), [KEY, PERIOD]), [KEY, PERIOD, "label"])
     with held(both.withColumn("label", F.col("label").cast("int"))) as rows:
