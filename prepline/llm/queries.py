@@ -11,7 +11,7 @@ import public_tokenizers
 
 import corpus_pipeline
 from prepline.llm import (
-    bpe, fingerprints, host_rules, lang_id, lm, mixing, near_dedup, sharding, toxicity, weak_quality,
+    bpe, centroids, fingerprints, host_rules, lang_id, lm, mixing, near_dedup, resample, sharding, token_counts, toxicity, weak_quality,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,6 +202,82 @@ def op10_fingerprints(spark, folder):
     return fingerprints.edited_fingerprints(documents(spark, folder))
 
 
+@query
+def op11_token_counts(spark, folder):
+    counter = token_counts.load_counter(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return token_counts.count_tokens(documents(spark, folder), counter)
+
+
+@query
+def op12_centroids(spark, folder):
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return centroids.cluster_vectors(vectors, centroids.fit_centroids(vectors))
+
+
+def _centroids_sql() -> str:
+    near = """d{i} AS (SELECT rid, c, sum((x - y) * (x - y))::BIGINT AS far FROM v JOIN c{i} USING (pos) GROUP BY rid, c),
+a{i} AS (SELECT rid, arg_min(c, (far, c)) AS c, min(far) AS far FROM d{i} GROUP BY rid),"""
+    move = """c{j} AS (
+  SELECT c, pos, coalesce(m, y) AS y FROM c{i} LEFT JOIN (
+    SELECT c, pos, (sum(x) - ((sum(x) % count(*)) + count(*)) % count(*))::BIGINT // count(*) AS m
+    FROM a{i} JOIN v USING (rid) GROUP BY c, pos) USING (c, pos)),"""
+    last = centroids.ROUNDS
+    rounds = "\n".join(near.format(i=i) + (("\n" + move.format(i=i, j=i + 1)) if i < last else "") for i in range(last + 1))
+    return f"""
+WITH k AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR) NULLS LAST, embedding) - 1 AS rid, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = {centroids.DIMS} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {centroids.DIMS}),
+v AS (SELECT rid, unnest(range(0, {centroids.DIMS})) AS pos, floor({centroids.SCALE} * unnest(embedding)::DOUBLE)::BIGINT AS x FROM k),
+c0 AS (SELECT rid::INT AS c, pos, x AS y FROM v WHERE rid < {centroids.K}),
+{rounds}
+s AS (SELECT c, sha256(string_agg(y::VARCHAR, ',' ORDER BY pos)) AS h FROM c{last} GROUP BY c),
+t AS (SELECT c, sum(far)::BIGINT AS inertia FROM a{last} GROUP BY c)
+SELECT vec_id, a{last}.c AS cluster, far AS distance, t.inertia AS cluster_inertia,
+       (SELECT sum(far)::BIGINT FROM a{last}) AS inertia, h AS centroid_sha256
+FROM a{last} JOIN k USING (rid) JOIN s ON s.c = a{last}.c JOIN t ON t.c = a{last}.c"""
+
+
+ORACLES["op12_centroids"] = _centroids_sql()
+
+
+@query
+def op13_resample(spark, folder):
+    drawn = resample.draw(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+    return drawn.ranked().select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# The 256 remainders of the checksum follow from its polynomial; each byte of a word is one step of the reduction.
+ORACLES["op13_resample"] = rf"""
+WITH tab AS (
+  SELECT list(list_reduce(list_prepend(b::BIGINT, range(0, 8)),
+              lambda r, k: CASE WHEN r % 2 = 1 THEN xor(r >> 1, 3988292384::BIGINT) ELSE r >> 1 END) ORDER BY b) AS z
+  FROM range(0, 256) t(b)),
+w AS (
+  SELECT rowid AS rid, 0 AS side, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM (SELECT row_number() OVER () AS rowid, text FROM documents)
+  UNION ALL
+  SELECT 0, 1, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark),
+u AS (SELECT word, hex(encode(word)) AS h FROM (SELECT DISTINCT word FROM w)),
+b AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, len(h) // 2), lambda i: ('0x' || h[2 * i + 1 : 2 * i + 2])::BIGINT)),
+         lambda r, x: xor(r >> 8, z[xor(r, x) % 256 + 1])), 4294967295::BIGINT) % {resample.BUCKETS} AS bucket FROM u, tab),
+n AS (SELECT bucket, sum((side = 0)::INT)::BIGINT AS s, sum(side)::BIGINT AS t FROM w JOIN b USING (word) GROUP BY bucket),
+a AS (SELECT sum(s)::DOUBLE AS s_all, sum(t)::DOUBLE AS t_all FROM n),
+g AS (SELECT bucket, floor(1000 * ln(((t + 1.0::DOUBLE) * (s_all + {resample.BUCKETS})) / ((s + 1.0::DOUBLE) * (t_all + {resample.BUCKETS}))))::BIGINT AS gain FROM n, a),
+d AS (SELECT rid, count(*) AS n_features, sum(gain)::BIGINT AS weight FROM w JOIN b USING (word) JOIN g USING (bucket) WHERE side = 0 GROUP BY rid),
+q AS (
+  SELECT doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         ('0x' || substr(sha256('{resample.SALT}' || doc_id::VARCHAR), 1, 8))::BIGINT AS h
+  FROM (SELECT row_number() OVER () AS rid, doc_id FROM documents) LEFT JOIN d USING (rid)),
+k AS (SELECT *, weight + floor(-1000.0::DOUBLE * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))::BIGINT AS score FROM q),
+r AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS i, count(*) OVER () AS n
+  FROM k WHERE n_features >= {resample.LEAST_WORDS})
+SELECT k.doc_id, n_features, weight, score, CASE WHEN i <= {resample.PERCENT} * n // 100 THEN i END AS rank
+FROM k LEFT JOIN r ON r.doc_id = k.doc_id"""
+
+
 @query
 def pipeline(spark, folder):
     return corpus_pipeline.run(spark, folder)
