@@ -179,6 +179,18 @@ def test_fingerprints_of_awkward_rows(awkward, nothing):
     assert fingerprints.fingerprint(awkward).count() == len(AWKWARD)
 
 
+def test_the_shipped_number_of_registers_keeps_its_deviation(docs):
+    """Means over all pairs agree with the weighted similarity, single ones within five deviations; own prints equal those taken alone."""
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    order = sorted(texts)
+    rows = {r["doc_id"]: r for r in fingerprints.edited_fingerprints(docs).collect()}
+    alone = {r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprint(docs).collect()}
+    errors = [rows[a]["near_next"] - jaccard(texts[a], texts[b]) for a, b in zip(order, order[1:] + order[:1])]
+    assert max(map(abs, errors)) <= 5 * 0.5 / fingerprints.REGISTERS**0.5 and abs(sum(errors) / len(errors)) < 0.02
+    assert {k: r["fingerprint"] for k, r in rows.items()} == alone
+    assert all(len(p) in (0, 4 * fingerprints.REGISTERS) for p in alone.values())
+
+
 def test_a_single_document_follows_itself(spark):
     (row,) = fingerprints.edited_fingerprints(spark.createDataFrame([(5, "ab cd ef")], "doc_id bigint, text string")).collect()
     assert row["near_next"] == 1.0
