@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from prepline.llm.text import GAP, discard, stored, whole
 from prepline.operators.rank import rank_rows
 
-REGISTERS = 48
+REGISTERS = 40
 AT_ONCE = 8  # registers taken from a row at once
 _HEX = 4  # digits of a register in the fingerprint
 _MARK = 4 * _HEX  # bits of a register
@@ -63,22 +63,27 @@ def samples(word: Column, register: Column, log_weights: list[Column]) -> list[C
 def signatures(texts: DataFrame, names: list[str], registers: int = REGISTERS, carried: dict[str, Column] | None = None) -> DataFrame:
     """``KEY``, a fingerprint ``__f<i>`` for each of the named text columns, and carried whole numbers.
 
+    Without carried numbers, documents that have no words in any text have no row.
+
     ``texts`` has one row a document and should be partitioned by its keys.
     """
     carried = carried or {}
     versions = F.explode(F.array(*[F.struct(F.lit(i).alias("v"), F.col(n).alias("t")) for i, n in enumerate(names)])).alias("__p")
-    each = texts.select(*KEY, *[c.alias(n) for n, c in carried.items()], versions)
-    # A missing word opens every text; its row carries the numbers.
-    words = each.select(*KEY, *carried, F.col("__p.v").alias("__v"),
-                        F.explode(F.concat(F.array(F.lit(None).cast("string")), F.split(F.col("__p.t"), GAP))).alias("__w"))
+    each = texts.select(*KEY, F.array(*carried.values()).cast("array<bigint>").alias("__c"), versions)
+    # Missing words open the first text; their rows carry the numbers in place of a count.
+    opening = F.when(F.col("__p.v") == 0, F.array_repeat(F.lit(None).cast("string"), len(carried))).otherwise(F.array().cast("array<string>"))
+    words = each.select(*KEY, "__c", F.col("__p.v").alias("__v"), F.posexplode(F.concat(opening, F.split(F.col("__p.t"), GAP))).alias("__at", "__w"))
     words = words.filter(F.col("__w").isNull() | (F.col("__w") != ""))
     opens = F.col("__w").isNull()
-    rows = words.select(*KEY, *[F.when(opens, F.col(n)).alias(n) for n in carried], opens.alias("__opens"), F.xxhash64("__w").alias("__w"),
-                        *[((F.col("__v") == i) & ~opens).cast("bigint").alias(f"__n{i}") for i in range(len(names))])
-    counted = rows.groupBy(*KEY, "__opens", "__w").agg(*[F.max(n).alias(n) for n in carried], *[F.sum(f"__n{i}").alias(f"__n{i}") for i in range(len(names))])
-    absent = [F.when(F.col(f"__n{i}") == 0, F.lit(_NONE)).otherwise(F.lit(0)).alias(f"__a{i}") for i in range(len(names))]
+    count = lambda i: (F.col("__v") == i).cast("bigint")
+    first = F.when(opens, F.col("__c")[F.col("__at")]).otherwise(count(0))
+    rows = words.select(*KEY, F.when(opens, F.col("__at")).otherwise(F.lit(-1)).alias("__o"), F.xxhash64("__w").alias("__w"),
+                        first.alias("__n0"), *[F.when(opens, F.lit(0)).otherwise(count(i)).alias(f"__n{i}") for i in range(1, len(names))])
+    counted = rows.groupBy(*KEY, "__o", "__w").agg(*[F.sum(f"__n{i}").alias(f"__n{i}") for i in range(len(names))])
+    absent = [F.when((F.col(f"__n{i}") == 0) | (F.col("__o") >= 0), F.lit(_NONE)).otherwise(F.lit(0)).alias(f"__a{i}") for i in range(len(names))]
     logs = [F.ln(F.greatest(F.col(f"__n{i}"), F.lit(1)).cast("double")).alias(f"__ln{i}") for i in range(len(names))]
-    weighted = counted.select(*KEY, *carried, "__w", *absent, *logs)
+    numbers = [F.when(F.col("__o") == k, F.col("__n0")).alias(n) for k, n in enumerate(carried)]
+    weighted = counted.select(*KEY, *numbers, "__w", *absent, *logs)
     # a few registers at a time: the code for a row must stay small enough to be compiled
     groups = -(-registers // AT_ONCE)
     turned = weighted.withColumn("__g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
@@ -128,7 +133,8 @@ def fingerprint(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", reg
     rows = keyed(docs, doc_id, text)
     one = rows.groupBy(*KEY).agg(F.first("__text").alias("__text"))
     found = signatures(one, ["__text"], registers)
-    return rows.select(*KEY, "__id").join(found, KEY).select(F.col("__id").alias(doc_id), F.col("__f0").alias("fingerprint"))
+    own = F.coalesce("__f0", F.lit(""))  # texts without words have no row
+    return rows.select(*KEY, "__id").join(found, KEY, "left").select(F.col("__id").alias(doc_id), own.alias("fingerprint"))
 
 
 def successors(rows: DataFrame) -> DataFrame:
