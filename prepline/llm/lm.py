@@ -1,9 +1,9 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-Counting is one shuffle. Each block of texts is cut into words once and sends, to each
-of a number of buckets, its distinct words with their training counts and the texts that
-hold them, and its distinct training bigrams. A bucket adds the counts up, answers
-each block with sums for its texts (the add-one unigram base), and turns the counts into
+Each block of texts is cut into words once and sends, to each
+of a number of buckets, its distinct words and its distinct training bigrams with their training counts. A bucket adds
+the counts up, answers each block with the totals of its words, from which the block takes the sums of its
+texts (the add-one unigram base), and turns the counts into
 a Bloom filter: a count c has the level 1 + floor(log(c) / log(STEP)), and the pairs (gram, 1), ...,
 (gram, level) are entered; level 0 is a gram never seen. Buckets grow in number, not in size, with the data.
 
@@ -15,7 +15,8 @@ occurrences taken off. The levels of all texts are found once and stored, two by
 takes the least count of its level over the greatest of its context's, so the sum over words
 does not pass 1 but for false positives. Filters of up to ``FILTER_BYTES`` bytes are broadcast at once;
 larger ones go in several passes of that size, with the levels found so far kept beside
-the texts until the last, so what is broadcast has a bound and no gram is lost.
+the texts until the last, so what is broadcast has a bound and no gram is lost; each pass deletes what the one before wrote.
+Grams are hashed to 64 bits: some choose the bucket, 32 others name the gram within it.
 
 Cases: a missing or empty text is its end alone; with no training text, counts are 0
 and probabilities uniform over one unknown word; repeated rows count and score as often as they
@@ -35,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from prepline.llm.text import blocks, mix64, split_words, stored, whole
+from prepline.llm.text import blocks, discard, mix64, split_words, stored, whole
 
 STEP = 1.5
 PROBES = 5
@@ -48,7 +49,7 @@ _TOP_LEVEL = 80
 _BLOCK_ROWS = 60_000  # a text's place in its block fits 16 bits
 _END = b""  # no word is empty
 
-OUT = "kind string, block bigint, docs binary, sums binary, known binary, x bigint, y bigint, z double, bits binary"
+OUT = "kind string, block bigint, totals binary, x bigint, y bigint, z double, bits binary"
 SENT = "bucket bigint, kind string, block bigint, a binary, b binary, c binary, d binary, e binary"
 
 
@@ -106,27 +107,25 @@ def runs(sorted_buckets: np.ndarray) -> Iterator[tuple[int, slice]]:
         yield int(b), slice(low, high)
 
 
-def block_counts(texts: list[str], train: np.ndarray, buckets: int) -> Iterator[tuple[int, str, bytes, bytes, bytes, bytes, bytes]]:
-    """What one block sends to each bucket."""
+def block_counts(texts: list[str], train: np.ndarray, buckets: int) -> tuple[list[tuple[int, str, bytes, bytes, bytes]], tuple[bytes, bytes, bytes]]:
+    """What one block sends to each bucket, and which text holds which word how often, which it keeps."""
     codes, hashes, counts = tokens(texts)
     owner = np.repeat(np.arange(len(texts)), counts)
-    learned = train[owner]
-    # words: training counts, and for each word the texts that hold it, with how often
+    learned, sent = train[owner], []
+    # words: training counts, each word of the block once; they are numbered in the order of their buckets
     bucket = (hashes % np.uint64(buckets)).astype(np.int64)
-    pair, times = np.unique(codes * np.int64(len(texts)) + owner, return_counts=True)
+    order = np.argsort(bucket, kind="stable")
+    number = np.empty(len(order), np.int64)
+    number[order] = np.arange(len(order))
+    in_training = np.bincount(codes[learned], minlength=len(hashes)).astype(np.uint32)
+    for b, own in runs(bucket[order]):
+        sent.append((b, "word", hashes[order[own]].tobytes(), in_training[order[own]].tobytes(), b""))
+    pair, times = np.unique(number[codes] * np.int64(len(texts)) + owner, return_counts=True)
     more = -(-times // 255)  # a text that holds a word over 255 times is listed again
     pair, place = np.repeat(pair, more), np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more)
     times = np.minimum(255, np.repeat(times, more) - 255 * place).astype(np.uint8)
-    word, doc = pair // len(texts), (pair % len(texts)).astype(np.uint16)
-    in_training = np.bincount(codes[learned], minlength=len(hashes)).astype(np.uint32)
-    held_by = np.bincount(word, minlength=len(hashes)).astype(np.uint32)
-    order = np.argsort(bucket, kind="stable")
-    by_bucket = np.argsort(bucket[word], kind="stable")  # keeps the order of words within a bucket
-    doc, times = doc[by_bucket], times[by_bucket]
-    pair_runs = dict(runs(bucket[word][by_bucket]))
-    for b, own in runs(bucket[order]):
-        rows = order[own]
-        yield b, "word", hashes[rows].tobytes(), in_training[rows].tobytes(), held_by[rows].tobytes(), doc[pair_runs[b]].tobytes(), times[pair_runs[b]].tobytes()
+    held_by = np.bincount(pair // len(texts), minlength=len(hashes)).astype(np.uint32)
+    pairs = (held_by.tobytes(), (pair % len(texts)).astype(np.uint16).tobytes(), times.tobytes())
     grams, n = np.unique(gram_hash(hashes[contexts(codes)], hashes[codes])[learned], return_counts=True)
     bucket, name = split_hash(grams, buckets)
     order = np.argsort(bucket, kind="stable")
@@ -134,7 +133,8 @@ def block_counts(texts: list[str], train: np.ndarray, buckets: int) -> Iterator[
         rows, often = order[own], n[order[own]]
         # counts of 255 and more are listed on their own, after the one-byte counts
         large = np.flatnonzero(often >= 255)
-        yield b, "gram", name[rows].tobytes(), np.minimum(often, 255).astype(np.uint8).tobytes(), (often[large] - 255).astype(np.uint32).tobytes(), b"", b""
+        sent.append((b, "gram", name[rows].tobytes(), np.minimum(often, 255).astype(np.uint8).tobytes(), (often[large] - 255).astype(np.uint32).tobytes()))
+    return sent, pairs
 
 
 def read(cells: pd.Series, kind) -> tuple[np.ndarray, np.ndarray]:
@@ -150,10 +150,10 @@ def positions(name: np.ndarray, order: int, level: np.ndarray | int, bits: int)
     return np.stack([((event + np.uint64(i) * step) >> np.uint64(16)) % np.uint64(bits) for i in range(PROBES)], axis=-1).astype(np.int64)
 
 
-def build_filter(grams: list[tuple[int, np.ndarray, np.ndarray]]) -> bytes:
+def build_filter(grams: list[tuple[int, np.ndarray, np.ndarray]], per_event: int = BITS_PER_EVENT) -> bytes:
     """Filter of (order, names, counts): one bit array that holds (gram, 1), ..., (gram, level)."""
     events = sum(int(level_of(c).sum()) for _, _, c in grams)
-    bits = max(64, -(-events * BITS_PER_EVENT // 64) * 64)
+    bits = max(64, -(-events * per_event // 64) * 64)
     table = np.zeros(bits // 8, np.uint8)
     for order, names, counts in grams:
         level = level_of(counts)
@@ -163,25 +163,20 @@ def build_filter(grams: list[tuple[int, np.ndarray, np.ndarray]]) -> bytes:
     return table.tobytes()
 
 
-def bucket_answers(group: pd.DataFrame) -> pd.DataFrame:
-    """Counts of one bucket: answers to the blocks, totals, and the bucket's filter."""
+def bucket_answers(group: pd.DataFrame, per_event: int = BITS_PER_EVENT) -> pd.DataFrame:
+    """Counts of one bucket: the total of each word a block asked for, sums, and the bucket's filter.
+
+    A word comes once a block, however often the texts hold it, so common words weigh no more than rare ones.
+    """
     out, words, grams = [], group[group["kind"] == "word"], group[group["kind"] == "gram"]
-    row = lambda **x: out.append({"kind": None, "block": None, "docs": None, "sums": None, "known": None, "x": None, "y": None, "z": None, "bits": None} | x)
-    for _, r in group[group["kind"] == "texts"].iterrows():
-        row(kind="texts", block=r["block"], docs=r["a"], sums=r["b"], known=r["c"], bits=r["d"])
+    row = lambda **x: out.append({"kind": None, "block": None, "totals": None, "x": None, "y": None, "z": None, "bits": None} | x)
     entries, bucket = [], int(group["bucket"].iloc[0])
     hashes, sizes = read(words["a"], np.uint64)
     distinct, place = np.unique(hashes, return_inverse=True)
     total = np.bincount(place, read(words["b"], np.uint32)[0], len(distinct)).astype(np.int64)
-    log = np.log10(total + 1.0)
-    at = 0
-    for block, n, held_by, doc, times in zip(words["block"], sizes, words["c"], words["d"], words["e"]):
-        own = np.repeat(place[at : at + n], np.frombuffer(held_by, np.uint32))
-        docs, often = np.frombuffer(doc, np.uint16), np.frombuffer(times, np.uint8).astype(float)
-        sums, known = np.bincount(docs, often * log[own]), np.bincount(docs, often * (total[own] > 0))
-        some = np.flatnonzero(known)
-        row(kind="sums", block=block, docs=some.astype(np.uint16).tobytes(), sums=sums[some].tobytes(), known=known[some].astype(np.uint32).tobytes())
-        at += n
+    ends = np.cumsum(sizes)
+    for block, low, high in zip(words["block"], ends - sizes, ends):
+        row(kind="totals", block=block, x=bucket, totals=total[place[low:high]].tobytes())
     seen = total > 0
     level = level_of(total[seen])
     row(kind="words", x=int(total.sum()), y=int(seen.sum()), z=float(middle_of(level).sum()))
@@ -191,23 +186,21 @@ def bucket_answers(group: pd.DataFrame) -> pd.DataFrame:
     counts[counts == 255] += read(grams["c"], np.uint32)[0]
     distinct, place = np.unique(names, return_inverse=True)
     entries.append((2, distinct, np.bincount(place, counts, len(distinct)).astype(np.int64)))
-    row(kind="filter", x=bucket, bits=build_filter(entries))
-    return pd.DataFrame(out, columns=["kind", "block", "docs", "sums", "known", "x", "y", "z", "bits"])
-
-
-def block_bases(group: pd.DataFrame) -> pd.DataFrame:
-    """Answers of all buckets to one block: a row a text."""
-    own = group[group["kind"] == "texts"].iloc[0]
-    ids = json.loads(own["docs"])
-    sums, known = np.zeros(len(ids)), np.zeros(len(ids), np.int64)
-    answers = group[group["kind"] == "sums"]
-    order = np.argsort([hashlib.md5(s + d).digest() for s, d in zip(answers["sums"], answers["docs"])])  # one order of additions
-    for k in order:
-        r = answers.iloc[k]
-        docs = np.frombuffer(r["docs"], np.uint16)
-        sums[docs] += np.frombuffer(r["sums"], float)
-        known[docs] += np.frombuffer(r["known"], np.uint32)
-    return pd.DataFrame({"__key": ids, "__hash": np.frombuffer(own["bits"], np.int64), "n_tokens": np.frombuffer(own["sums"], np.int64),
+    row(kind="filter", x=bucket, bits=build_filter(entries, per_event))
+    return pd.DataFrame(out, columns=["kind", "block", "totals", "x", "y", "z", "bits"])
+
+
+def block_bases(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+    """One block's texts with the totals of its words from all buckets: a row a text."""
+    if not len(texts):
+        return pd.DataFrame({"__key": [], "__hash": [], "n_tokens": [], "n_known": [], "log_sum": []})
+    own = texts.iloc[0]
+    total, _ = read(answers.sort_values("x")["totals"], np.int64)
+    held_by, doc, times = (np.frombuffer(own[c], kind) for c, kind in (("b", np.uint32), ("c", np.uint16), ("d", np.uint8)))
+    ids, word = json.loads(own["a"]), np.repeat(np.arange(len(held_by)), held_by)
+    sums = np.bincount(doc, times * np.log10(total + 1.0)[word], len(ids))
+    known = np.bincount(doc, times * (total > 0)[word].astype(float), len(ids)).astype(np.int64)
+    return pd.DataFrame({"__key": ids, "__hash": np.frombuffer(own["e"], np.int64), "n_tokens": np.bincount(doc, times, len(ids)).astype(np.int64),
                          "n_known": known, "log_sum": sums})
 
 
@@ -220,20 +213,15 @@ class Counts:
     """The answers of all buckets, stored, and the totals of the training tokens."""
 
     answers: DataFrame
+    bases: DataFrame  # stored: ``__key, __hash`` (of key and text) with tokens, known tokens and the sum of log10(c + 1)
     buckets: int
     n: int  # tokens
     v: int  # distinct tokens
     norm: float  # decoded counts of all words and one unknown
     filter_bytes: int
 
-    def bases(self) -> DataFrame:
-        """``__key, __hash`` (of key and text) with tokens, known tokens and the sum of log10(c + 1)."""
-        rows = self.answers.filter(F.col("kind").isin("texts", "sums")).select("kind", "block", "docs", "sums", "known", "bits")
-        found = rows.groupBy("block").applyInPandas(block_bases, "__key string, __hash bigint, n_tokens bigint, n_known bigint, log_sum double")
-        return found.groupBy("__key", "__hash").agg(*[F.max(c).alias(c) for c in ("n_tokens", "n_known", "log_sum")])
 
-
-def count_grams(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text") -> Counts:
+def count_grams(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text", per_event: int = BITS_PER_EVENT) -> Counts:
     """Count words and bigrams of the training rows; measure the base of all rows."""
     rows = docs.select(F.col(doc_id).cast("string").alias("__key"), train.alias("__train"), whole(text).alias("__text"))
     chars = rows.agg(F.sum(F.octet_length("__text"))).first()[0] or 0
@@ -245,17 +233,26 @@ def count_grams(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: st
             for start in range(0, len(big), _BLOCK_ROWS):
                 block = big.iloc[start : start + _BLOCK_ROWS]
                 texts, learned = block["__text"].tolist(), block["__train"].fillna(False).to_numpy(bool)
-                sent = [(b, kind, at, *parts) for b, kind, *parts in block_counts(texts, learned, buckets)]
-                n = np.fromiter((len(t.encode().split()) + 1 for t in texts), np.int64, len(texts))
+                found, pairs = block_counts(texts, learned, buckets)
+                sent = [(b, kind, at, *parts, b"", b"") for b, kind, *parts in found]
                 keys = json.dumps([None if k is None or k != k else k for k in block["__key"]]).encode()
-                sent.append((at % buckets, "texts", at, keys, n.tobytes(), b"", np.array([text_hash(t) for t in texts], np.int64).tobytes(), b""))
+                sent.append((-1, "texts", at, keys, *pairs, np.array([text_hash(t) for t in texts], np.int64).tobytes()))
                 yield pd.DataFrame(sent, columns=["bucket", "kind", "block", "a", "b", "c", "d", "e"])
                 at += 1
 
-    answers = stored(rows.mapInPandas(run, SENT).groupBy("bucket").applyInPandas(bucket_answers, OUT), "lm-counts")
+    def answer(group: pd.DataFrame) -> pd.DataFrame:
+        return bucket_answers(group, per_event)
+
+    counted = stored(rows.mapInPandas(run, SENT), "lm-blocks")
+    answers = stored(counted.filter("bucket >= 0").groupBy("bucket").applyInPandas(answer, OUT), "lm-counts")
+    totals = answers.filter("kind = 'totals'").select("block", "x", "totals").groupBy("block")
+    found = counted.filter("kind = 'texts'").select("block", "a", "b", "c", "d", "e").groupBy("block").cogroup(totals).applyInPandas(
+        block_bases, "__key string, __hash bigint, n_tokens bigint, n_known bigint, log_sum double")
+    bases = stored(found.groupBy("__key", "__hash").agg(*[F.max(c).alias(c) for c in ("n_tokens", "n_known", "log_sum")]), "lm-bases")
+    discard(counted)
     t = answers.agg(*[F.sum(F.when(F.col("kind") == "words", F.col(c))).alias(c) for c in "xyz"],
                     F.sum(F.when(F.col("kind") == "filter", F.octet_length("bits"))).alias("bytes")).first()
-    return Counts(answers, buckets, t["x"] or 0, t["y"] or 0, (t["z"] or 0.0) + 1.0, t["bytes"] or 0)
+    return Counts(answers, bases, buckets, t["x"] or 0, t["y"] or 0, (t["z"] or 0.0) + 1.0, t["bytes"] or 0)
 
 
 # probing ---------------------------------------------------------------------------
@@ -357,7 +354,10 @@ def with_levels(docs: DataFrame, train: Column, counts: Counts, doc_id: str, tex
                 out = block[["__id", "__train"]].assign(__levels=[raw[e - 2 * m : e] for e, m in zip(ends, n)])
                 yield out.assign(__hash2=[text_hash(t) for t in texts]) if last else out.assign(__text=texts)
 
-        rows = stored(rows.mapInPandas(run, f"__id {kind}, __train boolean, __levels binary, " + ("__hash2 bigint" if last else "__text string")), "lm-levels")
+        before, rows = rows, stored(
+            rows.mapInPandas(run, f"__id {kind}, __train boolean, __levels binary, " + ("__hash2 bigint" if last else "__text string")), "lm-levels")
+        discard(before)
+        sent.unpersist()
     return rows
 
 
@@ -400,9 +400,10 @@ def tune(levels: DataFrame, counts: Counts) -> Model:
     return Model(counts.norm, weights)
 
 
-def score_texts(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text", limit: int = FILTER_BYTES) -> DataFrame:
+def score_texts(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: str = "text", limit: int = FILTER_BYTES,
+                per_event: int = BITS_PER_EVENT) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` of every row."""
-    counts = count_grams(docs, train, doc_id, text)
+    counts = count_grams(docs, train, doc_id, text, per_event)
     levels = with_levels(docs, train, counts, doc_id, text, limit)
     model = tune(levels, counts)
 
@@ -415,7 +416,8 @@ def score_texts(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: st
 
     kind = levels.schema["__id"].dataType.simpleString()
     scores = levels.select("__id", "__hash2", "__levels").mapInPandas(run, f"__id {kind}, __hash2 bigint, score double")
-    bases = counts.bases()
+    discard(counts.answers)
+    bases = counts.bases
     same = (F.col("__hash") == F.col("__hash2")) & F.col("__key").eqNullSafe(F.col("__id").cast("string"))
     base = F.col("log_sum") - F.col("n_tokens") * F.lit(float(np.log10(counts.n + counts.v + 1.0)))
     return scores.join(bases, same).select(

@@ -1,6 +1,7 @@
 """Near-duplicates, language model and pipeline against plain versions."""
 
 import math
+import pathlib
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from prepline.llm import lm, near_dedup
 from prepline.llm.queries import ORACLES, QUERIES
+from prepline.session import shared_folder
 from tests.compare import connect, differences
 from tests.conftest import FULL, SMALL
 from tests.llm.conftest import AWKWARD
@@ -222,6 +224,68 @@ def test_language_model_of_awkward_rows(awkward, nothing):
     assert {r["train_tokens"] for r in lm.score_texts(awkward, F.lit(False)).collect()} == {0}
 
 
+def test_scores_equal_a_plain_model(docs):
+    """The same counts, levels, weights and sums without filters, given filters so sparse that no probe errs."""
+    train = F.crc32(F.col("doc_id").cast("string")) % 7 != 2
+    found = {r["doc_id"]: r["score"] for r in lm.score_texts(docs, train, per_event=400).collect()}
+    texts = {r["doc_id"]: (words(r["text"]) + [None], r["t"]) for r in docs.withColumn("t", train).collect()}
+    one, two = Counter(), Counter()
+    for w, learned in texts.values():
+        if learned:
+            one.update(w)
+            two.update(zip([None] + w[:-1], w))
+    level = lambda n: int(lm.level_of(np.array([n]))[0])
+    middle = lambda n: float(lm.middle_of(np.array([level(n)]))[0])
+    least, greatest = (lambda k: float(lm.least_of(np.array([k]))[0])), (lambda k: float(lm.greatest_of(np.array([k]))[0]))
+    norm = sum(middle(n) for n in one.values()) + 1.0
+
+    def terms(before, word, gram, less=0):
+        bigram = min(max(least(gram) - less, 0) / max(greatest(before), 1), 1.0) if before > 0 else 0.0
+        return bigram, (lm.STEP ** (word - 0.5) if word > 0 else 1.0) / norm
+
+    seen = Counter()
+    for w, learned in texts.values():
+        if learned:
+            for a, b in zip([None] + w[:-1], w):
+                seen[level(one[a]), level(one[b]), level(two[a, b])] += 1
+    rows = []
+    for (before, word, gram), n in seen.items():
+        low, high = least(before), greatest(before)
+        falls = 2 * low / ((low + high) * (high - low + 1)) if before > 0 else 0.0
+        rows += [(max(before - 1, 0), word, gram, n * falls), (before, word, gram, n * (1 - falls))]
+    weights = dict.fromkeys(range(82), 0.3)
+    for _ in range(40):
+        num, den = Counter(), Counter()
+        for before, word, gram, n in rows:
+            b, u = terms(before, word, gram, 1)
+            share = weights[before] * b
+            num[before] += n * share / (share + (1 - weights[before]) * u)
+            den[before] += n
+        weights = {k: (num[k] + 0.3) / (den[k] + 1.0) for k in weights}
+    weights[0] = 0.0
+    for key, (w, _) in texts.items():
+        total = 0.0
+        for a, b in zip([None] + w[:-1], w):
+            bigram, unigram = terms(level(one[a]), level(one[b]), level(two[a, b]))
+            k = weights[level(one[a])]
+            total += math.log10(k * bigram + (1 - k) * unigram)
+        assert found[key] == pytest.approx(total, rel=1e-9)
+
+
+def test_many_passes_leave_no_more_than_one(spark, tmp_path):
+    """Levels from filters sent in pieces are those from one piece, and each pass deletes what the one before wrote."""
+    docs = spark.read.parquet(f"{FULL}/documents.parquet")
+    train = F.col("doc_id") % 7 != 2
+    place = pathlib.Path(shared_folder(spark).removeprefix("file:"))
+    before = {p.name for p in place.glob("lm-*")}
+    whole = {r["doc_id"]: r["score"] for r in lm.score_texts(docs, train).collect()}
+    one = {p.name for p in place.glob("lm-*")} - before
+    pieces = {r["doc_id"]: r["score"] for r in lm.score_texts(docs, train, limit=60_000).collect()}
+    many = {p.name for p in place.glob("lm-*")} - before - one
+    assert pieces == pytest.approx(whole, rel=1e-12)
+    assert sorted(n.rsplit("-", 1)[0] for n in many) == sorted(n.rsplit("-", 1)[0] for n in one) == ["lm-bases", "lm-levels"]
+
+
 # pipeline and queries ----------------------------------------------------------------
 
 
@@ -247,10 +311,29 @@ def test_stages_run_on_awkward_rows(spark, awkward, nothing):
         assert docs.columns[0] == "doc_id"
 
 
+GOOD = ("The river runs past the old mill and the village, where people meet in the evening and talk about the weather. "
+        "Some of them walk home along the water, and others stay until the lamps are lit and the last boat comes in.")
+
+
+def test_verdicts_stay_with_their_row(spark):
+    """Rows that share a key, or have none, are judged by their own text; of equal ones a single row stays."""
+    other = GOOD.replace("river", "road").replace("boat", "cart").replace("village", "town") + " " + GOOD[::-1]
+    rows = [(1, GOOD, "a"), (1, "abc", "a"), (None, GOOD, "a"), (None, "xyz", "a"), (2, other, "a"), (2, other, "a"), (None, other, "a"), (None, other, "a"), (3, None, "a"), (4, "", "a")]
+    docs = spark.createDataFrame([(k, t, "en", s, None) for k, t, s in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    passed = corpus_pipeline.quality_rules(spark, docs, SMALL)
+    assert passed.columns == docs.columns and Counter((r["doc_id"], r["text"]) for r in passed.collect()) == Counter((k, t) for k, t, _ in rows if t and len(t) > 3)
+    left = corpus_pipeline.near_duplicates(spark, passed, SMALL)
+    assert sorted((r["doc_id"], r["text"]) for r in left.collect()) == [(1, GOOD), (2, other)]
+    judged = corpus_pipeline.quality_classifier(spark, docs, SMALL).collect()
+    assert len({r["text"] for r in judged}) * 2 >= len([r for r in judged if r["text"]]) / 2  # rows of one text share a verdict
+    for text in (GOOD, other):
+        assert sum(r["text"] == text for r in judged) in (0, sum(t == text for _, t, _ in rows))
+
+
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, name):
     assert differences(QUERIES[name](spark, SMALL), connect(SMALL), ORACLES[name]) is None
 
 
 def test_every_operator_has_a_query():
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
