@@ -49,7 +49,7 @@ _TOP_LEVEL = 80
 _BLOCK_ROWS = 60_000  # a text's place in its block fits 16 bits
 _END = b""  # no word is empty
 
-OUT = "kind string, block bigint, totals binary, x bigint, y bigint, z double, bits binary"
+OUT = "kind string, block bigint, totals binary, x bigint, y bigint, z double, bits binary, a binary, b binary, c binary, d binary, e binary"
 SENT = "bucket bigint, kind string, block bigint, a binary, b binary, c binary, d binary, e binary"
 
 
@@ -169,7 +169,10 @@ def bucket_answers(group: pd.DataFrame, per_event: int = BITS_PER_EVENT) -> pd.D
     A word comes once a block, however often the texts hold it, so common words weigh no more than rare ones.
     """
     out, words, grams = [], group[group["kind"] == "word"], group[group["kind"] == "gram"]
-    row = lambda **x: out.append({"kind": None, "block": None, "totals": None, "x": None, "y": None, "z": None, "bits": None} | x)
+    row = lambda **x: out.append({"kind": None, "block": None, "totals": None, "x": None, "y": None, "z": None, "bits": None,
+                                  **dict.fromkeys("abcde")} | x)
+    for _, r in group[group["kind"] == "texts"].iterrows():  # what a block keeps for itself passes through
+        row(kind="texts", block=r["block"], **{c: r[c] for c in "abcde"})
     entries, bucket = [], int(group["bucket"].iloc[0])
     hashes, sizes = read(words["a"], np.uint64)
     distinct, place = np.unique(hashes, return_inverse=True)
@@ -187,7 +190,7 @@ def bucket_answers(group: pd.DataFrame, per_event: int = BITS_PER_EVENT) -> pd.D
     distinct, place = np.unique(names, return_inverse=True)
     entries.append((2, distinct, np.bincount(place, counts, len(distinct)).astype(np.int64)))
     row(kind="filter", x=bucket, bits=build_filter(entries, per_event))
-    return pd.DataFrame(out, columns=["kind", "block", "totals", "x", "y", "z", "bits"])
+    return pd.DataFrame(out, columns=["kind", "block", "totals", "x", "y", "z", "bits", *"abcde"])
 
 
 def block_bases(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
@@ -236,20 +239,18 @@ def count_grams(docs: DataFrame, train: Column, doc_id: str = "doc_id", text: st
                 found, pairs = block_counts(texts, learned, buckets)
                 sent = [(b, kind, at, *parts, b"", b"") for b, kind, *parts in found]
                 keys = json.dumps([None if k is None or k != k else k for k in block["__key"]]).encode()
-                sent.append((-1, "texts", at, keys, *pairs, np.array([text_hash(t) for t in texts], np.int64).tobytes()))
+                sent.append((int(mix64(np.array([at], np.uint64))[0] % np.uint64(buckets)), "texts", at, keys, *pairs, np.array([text_hash(t) for t in texts], np.int64).tobytes()))
                 yield pd.DataFrame(sent, columns=["bucket", "kind", "block", "a", "b", "c", "d", "e"])
                 at += 1
 
     def answer(group: pd.DataFrame) -> pd.DataFrame:
         return bucket_answers(group, per_event)
 
-    counted = stored(rows.mapInPandas(run, SENT), "lm-blocks")
-    answers = stored(counted.filter("bucket >= 0").groupBy("bucket").applyInPandas(answer, OUT), "lm-counts")
+    answers = stored(rows.mapInPandas(run, SENT).groupBy("bucket").applyInPandas(answer, OUT), "lm-counts")
     totals = answers.filter("kind = 'totals'").select("block", "x", "totals").groupBy("block")
-    found = counted.filter("kind = 'texts'").select("block", "a", "b", "c", "d", "e").groupBy("block").cogroup(totals).applyInPandas(
+    found = answers.filter("kind = 'texts'").select("block", *"abcde").groupBy("block").cogroup(totals).applyInPandas(
         block_bases, "__key string, __hash bigint, n_tokens bigint, n_known bigint, log_sum double")
     bases = stored(found.groupBy("__key", "__hash").agg(*[F.max(c).alias(c) for c in ("n_tokens", "n_known", "log_sum")]), "lm-bases")
-    discard(counted)
     t = answers.agg(*[F.sum(F.when(F.col("kind") == "words", F.col(c))).alias(c) for c in "xyz"],
                     F.sum(F.when(F.col("kind") == "filter", F.octet_length("bits"))).alias("bytes")).first()
     return Counts(answers, bases, buckets, t["x"] or 0, t["y"] or 0, (t["z"] or 0.0) + 1.0, t["bytes"] or 0)
