@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,8 +15,11 @@ from prepline.catalog import Catalog
 from prepline.operators.encode import level_codes
 from prepline.operators.profile import level_profile
 from prepline.operators.rank import number_sorted
+from prepline.operators.trees import Forest, grow, leaf_rows
+from prepline.session import held
 
-MAX_DEPTH = 30  # the deepest tree Spark grows
+# What a leaf of a tree without a limit of leaves holds at least; the share bounds the nodes at any size.
+LEAST_SHARE, LEAST_ROWS = 0.001, 20
 
 
 def label_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -43,9 +45,9 @@ def encode_labels(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (
 
 @dataclass(frozen=True)
 class ImportanceModel:
-    """``model`` is the fitted learner; a model read back from its state has none, as selection needs none."""
+    """``model`` holds the trees; a model read back from its state has none, as selection needs none."""
 
-    model: object
+    model: Forest | None
     importance: tuple[tuple[str, float], ...]
     rejected: tuple[str, ...] = ()
 
@@ -101,28 +103,62 @@ def rejected(spark: SparkSession, importance: Sequence[tuple[str, float]], limit
     return tuple(v for v, _ in importance if v in out)
 
 
-def _fit(df: DataFrame, catalog: Catalog, learner, limit: float | None, method: str | None) -> ImportanceModel:
+def encoded_inputs(df: DataFrame, catalog: Catalog, key: str | None) -> DataFrame:
+    """The inputs as numbers, with ``__key`` and ``__label``."""
     columns, target = catalog.inputs(), catalog.target()
-    numbers = encode_labels(df.withColumn("__label", F.col(target).cast("double")), columns, ["__label"])
-    safe = [f"f{i}" for i in range(len(columns))]
-    renamed = numbers.select("__label", *[F.col(f"`{c}`").alias(s) for c, s in zip(columns, safe)])
-    rows = VectorAssembler(inputCols=safe, outputCol="features").transform(renamed).select("__label", "features")
-    model = learner.setLabelCol("__label").fit(rows)
-    importance = tuple((c, float(model.featureImportances[i])) for i, c in enumerate(columns))
-    return ImportanceModel(model, importance, rejected(df.sparkSession, importance, limit, method))
-
-
-def tree_selection(df: DataFrame, catalog: Catalog, limit: float | None = None, method: str | None = None,
-                   max_depth: int = MAX_DEPTH, max_bins: int = 256, seed: int = 12345, **options) -> ImportanceModel:
-    """One entropy tree. ``method`` is 'value', 'percentage' or None for no rejection."""
-    learner = DecisionTreeClassifier(impurity="entropy", maxDepth=max_depth, maxBins=max_bins, seed=seed, **options)
-    return _fit(df, catalog, learner, limit, method)
-
-
-def forest_selection(df: DataFrame, catalog: Catalog, limit: float | None = None, method: str | None = None,
-                     trees: int = 10, max_depth: int = MAX_DEPTH, max_bins: int = 256, seed: int = 12345,
-                     **options) -> ImportanceModel:
-    learner = RandomForestClassifier(
-        numTrees=trees, impurity="entropy", featureSubsetStrategy="sqrt", bootstrap=True,
-        maxDepth=max_depth, maxBins=max_bins, seed=seed, **options)
-    return _fit(df, catalog, learner, limit, method)
+    named = F.col(key) if key else F.xxhash64(*columns)
+    return encode_labels(df.withColumns({"__label": F.col(target).cast("double"), "__key": named}), columns, ["__key", "__label"])
+
+
+def recounted_importance(df: DataFrame, catalog: Catalog, forest: Forest, key: str) -> list[tuple[str, float]]:
+    """Importance from a fresh count of the rows in every leaf, summed up towards the roots."""
+    rows = leaf_rows(encoded_inputs(df, catalog, key), forest, "__label", "__key")
+    counts = rows.groupBy("t", "leaf").agg(F.sum(F.when(F.col("y") == 0, F.col("often")).otherwise(0)).alias("n0"),
+                                           F.sum(F.when(F.col("y") == 1, F.col("often")).otherwise(0)).alias("n1"))
+    leaves = {(r["t"], r["leaf"]): (r["n0"], r["n1"]) for r in counts.collect()}  # one row a leaf
+
+    def bits(n: tuple[float, float]) -> float:
+        return sum(-x * math.log2(x / sum(n)) for x in n if x)
+
+    total = dict.fromkeys(forest.names, 0.0)
+    for tree in forest.trees:
+        below, gains = {}, dict.fromkeys(forest.names, 0.0)
+        for at in reversed(range(len(tree.columns))):  # children come after their parent
+            if tree.columns[at] < 0:
+                below[at] = tuple(n * w for n, w in zip(leaves.get((tree.number, at), (0, 0)), forest.weights))
+            else:
+                low, high = below[tree.left[at]], below[tree.right[at]]
+                below[at] = tuple(a + b for a, b in zip(low, high))
+                gains[forest.names[tree.columns[at]]] += bits(below[at]) - bits(low) - bits(high)
+        if sum(gains.values()) > 0:
+            total = {v: t + gains[v] / sum(gains.values()) for v, t in total.items()}
+    whole = sum(total.values())
+    return [(v, t / whole if whole else 0.0) for v, t in total.items()]
+
+
+def _fit(df: DataFrame, catalog: Catalog, limit: float | None, method: str | None, key: str | None, **options) -> ImportanceModel:
+    with held(encoded_inputs(df, catalog, key)) as rows:
+        forest = grow(rows, catalog.inputs(), "__label", "__key", **options)
+    importance = forest.importance()
+    return ImportanceModel(forest, importance, rejected(df.sparkSession, importance, limit, method))
+
+
+def tree_selection(df: DataFrame, catalog: Catalog, limit: float | None = None, method: str | None = None, key: str | None = None,
+                   most_leaves: int | None = None, least_share: float = LEAST_SHARE, least_rows: int = LEAST_ROWS, **options) -> ImportanceModel:
+    """One entropy tree, grown best first. ``method`` is 'value', 'percentage' or None for no rejection.
+
+    ``most_leaves`` limits its leaves, ``class_weight`` weighs the classes; no limit holds for its depth.
+    """
+    return _fit(df, catalog, limit, method, key, most_leaves=most_leaves, least_share=least_share, least_rows=least_rows, **options)
+
+
+def forest_selection(df: DataFrame, catalog: Catalog, limit: float | None = None, method: str | None = None, key: str | None = None,
+                     trees: int = 10, least_share: float = LEAST_SHARE, least_rows: int = LEAST_ROWS, start: Forest | None = None, **options) -> ImportanceModel:
+    """Trees on keyed bootstrap draws, each node choosing among the root of the number of columns.
+
+    With ``start`` the forest goes on from a saved one by ``trees`` more. Draws follow ``key``; without one,
+    rows with equal inputs share them.
+    """
+    width = len(catalog.inputs())
+    return _fit(df, catalog, limit, method, key, trees=trees, bootstrap=True, columns=max(1, math.isqrt(width)), least_share=least_share,
+                least_rows=least_rows, start=start, **options)

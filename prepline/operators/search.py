@@ -1,7 +1,8 @@
 """Fitting classifiers over parameter settings and choosing by lift.
 
-Settings are fitted side by side on one held table. All fitted models then score
-the validation rows in a single projection, and one grouped lift job, with the
+All settings are fitted together: one scan of the rows serves every strength of a logit, and one
+job an epoch, or a few, every net. All fitted models then score
+the validation rows in a single pass, and one grouped lift job, with the
 setting as the group, measures every model at once.
 """
 
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 
 from prepline.functions import linear_grid, log_grid
 from prepline.operators.lift import hits_at_depth, model_metric
+from prepline.operators.logit_path import WIDEST, LogitModel, fit_path, score_path
+from prepline.operators.net import NetModel, Run, fit_nets, score_nets, spec_of
 from prepline.operators.sampling import SEED, assign_fold
 from prepline.operators.thresholds import (
     best_threshold, classification_report, confusion_matrix, label_at, threshold_sweep,
@@ -93,8 +96,12 @@ def _first_best(scores: Sequence[float | None]) -> int:
     return max(known, key=lambda i: (scores[i], -i))
 
 
-def scored(model, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+def scored(model, df: DataFrame, keep: Sequence[str], codes: str | None = None) -> DataFrame:
     """``keep`` and the probability of class 1."""
+    if isinstance(model, LogitModel):
+        return df.select(*keep, model.probability().alias("p1"))
+    if isinstance(model, NetModel):
+        return score_nets(df, [model], keep, codes=codes if model.spec.embed else None)[0].withColumnRenamed("p1_0", "p1")
     out = model.transform(df)
     return out.select(*keep, vector_to_array("probability")[1].alias("p1"))
 
@@ -111,6 +118,8 @@ class LogitResult:
     confusion: DataFrame
     report: DataFrame
     predictions: DataFrame
+    models: tuple = ()
+    scans: int | None = None  # of the training rows, for all strengths together
 
     def table(self) -> DataFrame:
         spark = self.predictions.sparkSession
@@ -133,15 +142,18 @@ def logit_search(train: DataFrame, test: DataFrame, key: str, label: str = "labe
     Both tables hold ``key``, the label and a ``features`` vector.
     """
     model_metric(metric)
-    cs = log_grid(*c_grid)
-    with held(train.select(label, "features")) as rows, held(test.select(key, label, "features")) as valid:
-        n_rows = rows.count()
-
-        def fit(c: float):
-            return logit_model(c, n_rows, max_iter).setLabelCol(label).fit(rows)
-
-        models = _fit_all(fit, cs, parallelism)
-        wide, names = _score_all(valid, models, [key, label])
+    cs, width, scans = log_grid(*c_grid), _width(train), None
+    arrays = [label, vector_to_array("features").alias("__x")]
+    with held(train.select(*arrays) if width <= WIDEST else train.select(label, "features")) as rows, \
+            held(test.select(key, *arrays, "features")) as valid:
+        if width <= WIDEST:
+            path = fit_path(rows, label, "__x", cs, width, max_iter)
+            models, scans = path.models, path.scans
+            wide, names = score_path(valid, "__x", models, [key, label])
+        else:  # curvatures would be too large to gather
+            n_rows = rows.count()
+            models = _fit_all(lambda c: logit_model(c, n_rows, max_iter).setLabelCol(label).fit(rows), cs, parallelism)
+            wide, names = _score_all(valid, models, [key, label])
         with held(wide) as measured:  # else every pass would apply all models again
             scores = _measure(measured, names, label, key, metric, depth)
             at = _first_best(scores)
@@ -151,13 +163,14 @@ def logit_search(train: DataFrame, test: DataFrame, key: str, label: str = "labe
     return LogitResult(
         models[at], tuple(cs), tuple(scores), cs[at], scores[at], cut["threshold"], cut["score"],
         confusion_matrix(predictions, label, "predicted"), classification_report(predictions, label, "predicted"),
-        predictions)
+        predictions, tuple(models), scans)
 
 
 # --- neural classifier ---------------------------------------------------------
 
 # The parameters a random search draws from.
-NET_SPACE = {"learning_rate": tuple(round(v, 6) for v in log_grid(-3, -1, 50)), "epochs": tuple(range(100, 300, 50))}
+NET_SPACE = {"learning_rate": tuple(round(v, 6) for v in log_grid(-3, -1, 50)), "epochs": tuple(range(100, 300, 50)),
+             "dropout": (0.3, 0.4, 0.5, 0.6)}
 
 
 def net(n_inputs: int, layer_units: Sequence[int] = (3, 2), epochs: int = 100, learning_rate: float | None = None,
@@ -184,8 +197,19 @@ def _width(df: DataFrame) -> int:
     return int(df.schema["features"].metadata["ml_attr"]["num_attrs"])
 
 
-def _quiet_fit(rows: DataFrame, width: int, label: str, **setting):
-    return net(width, label=label, **setting).fit(rows)
+def _fit_settings(rows: DataFrame, key: str, label: str, chosen: Sequence[dict], folds: Sequence[int | None], codes: str | None,
+                  sync: int | None = None) -> list[list[NetModel]]:
+    """A net for every fold left out (None: all rows) and every setting; settings that differ only in epochs are one run."""
+    embed = rows.select(F.size(codes)).first()[0] if codes else 0
+    specs = [spec_of(_width(rows), **({"embed": embed} if embed else {}), **one) for one in chosen]
+    runs: dict = {}
+    for fold in folds:
+        for spec, epochs in specs:
+            runs.setdefault((spec, fold), set()).add(epochs)
+    todo = [Run(spec, tuple(sorted(epochs)), fold) for (spec, fold), epochs in runs.items()]
+    fitted = fit_nets(rows, key, label, todo, codes, "fold" if list(folds) != [None] else None, **({"sync": sync} if sync else {}))
+    found = {(r.spec, r.without_fold, e): m for r, models in zip(todo, fitted) for e, m in zip(r.epochs, models)}
+    return [[found[spec, fold, epochs] for spec, epochs in specs] for fold in folds]
 
 
 @dataclass(frozen=True)
@@ -195,43 +219,40 @@ class NetSearch:
     settings: tuple[dict, ...]
     fold_scores: tuple[tuple[float | None, ...], ...]  # a tuple a fold
     avgMetrics: tuple[float | None, ...]
-    bestModel: object
+    bestModel: NetModel
 
     def best(self) -> int:
         return _first_best(self.avgMetrics)
 
 
 def net_cv(train: DataFrame, key: str, label: str = "label", metric: str = "lift", depth: float = 0.1,
-           search: str = "Random Search", folds: int = 4, n_models: int = 10, parallelism: int = 4,
-           space: dict[str, Sequence] | None = None, seed: int = SEED, **fixed) -> NetSearch:
+           search: str = "Random Search", folds: int = 4, n_models: int = 10,
+           space: dict[str, Sequence] | None = None, seed: int = SEED, codes: str | None = None, **fixed) -> NetSearch:
     """Cross validation over folds drawn by key, so that a re-run compares the same rows.
 
-    A setting may name any argument of ``net``. All settings of a fold are fitted side by
-    side and measured by one lift job.
+    A setting may name any argument of a net. All settings of all folds are fitted
+    together; each fold is measured by one lift job. ``codes`` names a column of buckets to embed.
     """
     model_metric(metric)
     if folds < 2 or n_models < 1:
         raise ValueError("folds must be at least 2 and n_models at least 1")
-    chosen = settings(space or NET_SPACE, search, n_models, seed)
-    width, scores = _width(train), []
-    with held(assign_fold(train.select(key, label, "features"), key, folds)) as rows:
-        for fold in range(folds):
-            inside, outside = rows.filter(F.col("fold") != fold), rows.filter(F.col("fold") == fold)
-            models = _fit_all(lambda one: _quiet_fit(inside, width, label, **{"seed": seed, **fixed, **one}),
-                              chosen, parallelism)
-            wide, names = _score_all(outside, models, [key, label])
+    chosen = [{"seed": seed, **fixed, **one} for one in settings(space or NET_SPACE, search, n_models, seed)]
+    columns, scores = [key, label, "features", *([codes] if codes else [])], []
+    with held(assign_fold(train.select(*columns), key, folds)) as rows:
+        fitted = _fit_settings(rows, key, label, chosen, range(folds), codes)
+        for fold, models in enumerate(fitted):
+            wide, names = score_nets(rows.filter(F.col("fold") == fold), models, [key, label], codes=codes)
             with held(wide) as measured:
                 scores.append(tuple(_measure(measured, names, label, key, metric, depth)))
         found = [[s[i] for s in scores if s[i] is not None] for i in range(len(chosen))]
         means = tuple(sum(v) / len(v) if v else None for v in found)
-        best = chosen[_first_best(means)]
-        model = _quiet_fit(rows, width, label, **{"seed": seed, **fixed, **best})
+        ((model,),) = _fit_settings(rows, key, label, [chosen[_first_best(means)]], [None], codes)
     return NetSearch(tuple(chosen), tuple(scores), means, model)
 
 
 @dataclass(frozen=True)
 class NetResult:
-    models: tuple
+    models: tuple[NetModel, ...]
     settings: tuple[dict, ...]
     scores: tuple[float | None, ...]
     predictions: DataFrame  # of the best model: key, label, p1, predicted
@@ -241,22 +262,26 @@ class NetResult:
     def best(self) -> int:
         return _first_best(self.scores)
 
+    def top(self, n: int = 5) -> list[NetModel]:
+        """Nets whose competition rank by score is within ``n``, to be saved."""
+        known = [s for s in self.scores if s is not None]
+        return [m for m, s in zip(self.models, self.scores) if s is not None and sum(o > s for o in known) < n]
+
 
 def net_validation(train: DataFrame, test: DataFrame, key: str, label: str = "label", metric: str = "lift",
-                   depth: float = 0.1, search: str = "Random Search", n_models: int = 20, parallelism: int = 4,
-                   space: dict[str, Sequence] | None = None, seed: int = SEED, **fixed) -> NetResult:
+                   depth: float = 0.1, search: str = "Random Search", n_models: int = 20,
+                   space: dict[str, Sequence] | None = None, seed: int = SEED, codes: str | None = None, **fixed) -> NetResult:
     """Fit every setting once and score it on ``test``; all models, and what the best one predicts, are returned."""
     model_metric(metric)
-    chosen = settings(space or NET_SPACE, search, n_models, seed)
-    width = _width(train)
-    with held(train.select(label, "features")) as rows, held(test.select(key, label, "features")) as valid:
-        models = _fit_all(lambda one: _quiet_fit(rows, width, label, **{"seed": seed, **fixed, **one}),
-                          chosen, parallelism)
-        wide, names = _score_all(valid, models, [key, label])
+    chosen = [{"seed": seed, **fixed, **one} for one in settings(space or NET_SPACE, search, n_models, seed)]
+    columns = ["features", *([codes] if codes else [])]
+    with held(train.select(key, label, *columns)) as rows, held(test.select(key, label, *columns)) as valid:
+        (models,) = _fit_settings(rows, key, label, chosen, [None], codes)
+        wide, names = score_nets(valid, models, [key, label], codes=codes)
         with held(wide) as measured:
             scores = _measure(measured, names, label, key, metric, depth)
     best = models[_first_best(scores)]
-    predictions = scored(best, test, [key, label]).withColumn("predicted", (F.col("p1") > 0.5).cast("int"))
+    predictions = scored(best, test, [key, label], codes).withColumn("predicted", (F.col("p1") > 0.5).cast("int"))
     return NetResult(tuple(models), tuple(chosen), tuple(scores), predictions,
                      confusion_matrix(predictions, label, "predicted"),
                      classification_report(predictions, label, "predicted"))
@@ -264,10 +289,13 @@ def net_validation(train: DataFrame, test: DataFrame, key: str, label: str = "la
 
 def net_tries(train: DataFrame, test: DataFrame, key: str, label: str = "label", metric: str = "lift",
               depth: float = 0.1, epochs: tuple[int, int, int] = (100, 1000, 100), tries: int = 5,
-              seed: int = SEED, parallelism: int = 4, **fixed) -> NetResult:
-    """Every number of epochs, several random starts each; ``best`` keeps the first of equals."""
+              seed: int = SEED, codes: str | None = None, **fixed) -> NetResult:
+    """Every number of epochs, several random starts each; ``best`` keeps the first of equals.
+
+    The numbers of epochs of one start are one run, measured on the way.
+    """
     space = {"epochs": list(range(epochs[0], epochs[1] + 1, epochs[2])), "seed": [seed + i for i in range(tries)]}
-    return net_validation(train, test, key, label, metric, depth, "Grid Search", 0, parallelism, space, **fixed)
+    return net_validation(train, test, key, label, metric, depth, "Grid Search", 0, space, codes=codes, **fixed)
 
 
 # --- hashed categories ---------------------------------------------------------
@@ -286,6 +314,17 @@ def md5_bucket(column: str, buckets: int = HASH_BUCKETS) -> Column:
     return (F.conv(head, 16, 10).cast("bigint") % F.lit(buckets)).cast("int")
 
 
+def bucketed(df: DataFrame, nominal: Sequence[str], numeric: Sequence[str], keep: Sequence[str] = (),
+             buckets: int = HASH_BUCKETS, codes: str = "codes", out: str = "features") -> DataFrame:
+    """``keep``, the bucket of every category for a net to embed, and a vector of the numbers."""
+    from pyspark.ml.feature import VectorAssembler
+
+    numbers = [f"__n{i}" for i in range(len(numeric))]
+    placed = df.select(*keep, F.array(*[hash_bucket(c, buckets) for c in nominal]).cast("array<int>").alias(codes),
+                       *[F.col(f"`{c}`").cast("double").alias(s) for c, s in zip(numeric, numbers)])
+    return VectorAssembler(inputCols=numbers, outputCol=out).transform(placed).select(*keep, codes, out)
+
+
 def hashed_features(df: DataFrame, nominal: Sequence[str], numeric: Sequence[str], keep: Sequence[str] = (),
                     buckets: int = HASH_BUCKETS, out: str = "features") -> DataFrame:
     """``keep`` and a vector: one 0/1 slot per bucket and category, then the numbers."""

@@ -74,7 +74,7 @@ def fit_preparation(train: DataFrame, catalog: Catalog, key: str, level_limit: i
 
         importance = clusters = None
         if forest:
-            importance = forest_selection(imputed, catalog, forest_limit, "value", seed=seed, **forest_options)
+            importance = forest_selection(imputed, catalog, forest_limit, "value", key=key, seed=seed, **forest_options)
             catalog = importance.catalog(catalog)
         if cluster:
             clusters = fit_clusters(imputed, catalog)

@@ -114,6 +114,17 @@ def order_catalog() -> Catalog:
     return Catalog.of(rows[n] for n in order)
 
 
+def marked_obs(spark: SparkSession, folder: str) -> DataFrame:
+    """The order table with two more columns: a mark that too few rows carry for a tree to use, and a copy of the price."""
+    mark = F.when(F.col("obs_id") % 5000 == 0, F.lit(1.0)).otherwise(F.lit(0.0))
+    return order_obs(spark, folder).withColumns({"rare_mark": mark, "price_copy": F.col("total_price") * 2 + 1})
+
+
+def marked_catalog() -> Catalog:
+    more = [("rare_mark", "INPUT", "INTERVAL"), ("price_copy", "INPUT", "INTERVAL")]
+    return Catalog.of([(v.name, v.role, v.level) for v in order_catalog().variables] + more)
+
+
 def wide_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     """``embeddings`` with one interval column per dimension of the longest vector."""
     df = spark.read.parquet(f"{folder}/embeddings.parquet")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from prepline.operators.lift import DECILES
 from prepline.operators.quantiles import KNOTS
 from prepline.plans.observations import (
-    EVENT_OBS, LABEL, ORDER_ALIASES, ORDER_OBS, SCORED_ORDERS, TABLES, order_catalog,
+    EVENT_OBS, LABEL, ORDER_ALIASES, ORDER_OBS, SCORED_ORDERS, TABLES, marked_catalog, order_catalog,
 )
 from prepline.plans.queries import BINARIES, BINNED, CORRELATED, EXTRACT, INTERVALS, LIFT_DEPTHS, NOMINALS, ORDINALS, WEIGHTS
 
@@ -314,6 +314,23 @@ SELECT x.obs_id, {shown}, {replaced('gt', 'BIN_IMP_nation')} AS REP_BIN_IMP_nati
   {replaced('gt', 'IMP_segment')} AS REP_IMP_segment FROM ga x"""
 
 
+def _imputed_names(columns) -> str:
+    return values([(f"IMP_{c}",) for c in columns]) + " AS c(var)"
+
+
+def _prepared_catalog() -> str:
+    """The variables after the whole preparation, with the step that rejected each."""
+    raw = {v.name: v for v in marked_catalog().variables}
+    rows = [(n, "REJECTED" if v.role == "INPUT" else v.role, v.level, "") for n, v in raw.items()]
+    forest, clusters = "IMP_rare_mark", "IMP_price_copy"
+    for n in (*FIVE, "rare_mark", "price_copy", *ORDINALS, *TWO_NOMINAL, *BINARIES):
+        name = f"IMP_{n}"
+        by = "forest" if name == forest else "clusters" if name == clusters else ""
+        rows.append((name, "REJECTED" if by or n in TWO_NOMINAL else "INPUT", raw[n].level, by))
+    rows += [("BIN_IMP_nation", "REJECTED", "NOMINAL", ""), ("REP_BIN_IMP_nation", "INPUT", "NOMINAL", ""), ("REP_IMP_segment", "INPUT", "NOMINAL", "")]
+    return f"SELECT name, role, level, nullif(step, '') AS rejected_by FROM {values(rows)} AS v(name, role, level, step)"
+
+
 def _catalog_after(rejected_case: str) -> str:
     rows = [(v.name, v.role, v.level) for v in order_catalog().variables]
     return f"SELECT name, CASE WHEN {rejected_case} THEN 'REJECTED' ELSE role END AS role, level FROM {values(rows)} AS v(name, role, level)"
@@ -483,23 +500,38 @@ ORACLES: dict[str, str] = {
         f"SELECT '{c}' AS var, {dbl(p)} AS prob, count({c}) AS n, true AS near FROM obs" for c in INTERVALS for p in KNOTS),
     "cluster_assign": "SELECT DISTINCT 'e' || i AS var, true AS own_ok, true AS next_ok FROM embeddings, range(0, 64) t(i)",
     "cluster_best_vars": "SELECT CAST(max(len(embedding)) AS BIGINT) AS n_columns, CAST(0 AS BIGINT) AS n_wrong, CAST(0 AS BIGINT) AS n_surplus FROM embeddings",
-    "tree_importance": f"SELECT CAST({len(FIVE) + len(ORDINALS) + len(TWO_NOMINAL) + len(BINARIES)} AS BIGINT) AS n_columns, {dbl(1)} AS total, CAST(0 AS BIGINT) AS n_wrong",
-    "rf_importance": f"SELECT CAST({len(FIVE) + len(ORDINALS) + len(TWO_NOMINAL) + len(BINARIES)} AS BIGINT) AS n_columns, {dbl(1)} AS total, CAST(0 AS BIGINT) AS n_wrong",
-    "tree_importance_long": f"SELECT CAST(3 AS BIGINT) AS n_columns, {dbl(1)} AS total, CAST(0 AS BIGINT) AS n_wrong",
-    "logit_validation": "SELECT CAST(50 AS INT) AS n_settings, true AS best_is_top, true AS flat",
+    "tree_importance": f"SELECT var, true AS importance_ok, true AS rule_ok FROM {_imputed_names(FIVE + ORDINALS + TWO_NOMINAL + BINARIES)}",
+    "rf_importance": f"SELECT var, true AS importance_ok, true AS rule_ok FROM {_imputed_names(FIVE + ORDINALS + TWO_NOMINAL + BINARIES)}",
+    "tree_importance_long": f"SELECT var, true AS importance_ok, true AS rule_ok FROM {_imputed_names(FIVE + ORDINALS + NOMINALS + BINARIES)}",
+    "tree_best_first": f"{HALVES} SELECT obs_id, true AS leaf_ok, true AS leaves_ok FROM train",
+    "forest_out_of_bag": f"{HALVES} SELECT obs_id, true AS rows_ok, true AS score_ok, true AS learns FROM train",
+    "forest_warm_start": f"SELECT var, true AS trees_same, true AS importance_same FROM {_imputed_names(FIVE + ORDINALS + TWO_NOMINAL + BINARIES)}",
+    "logit_validation": "SELECT CAST(i AS INT) AS setting, round(pow(10, -4 + 8 * i / CAST(49 AS DOUBLE)), 6) AS c, true AS flat, true AS grows,"
+                        " true AS scans_ok FROM range(0, 50) t(i)",
     "score_output": f"{HALVES} SELECT obs_id, true AS p1_ok, true AS label_ok FROM test",
     "mlp_score": f"{HALVES} SELECT obs_id, true AS p1_ok FROM test",
-    "mlp_cv": "SELECT CAST(4 AS INT) AS folds, CAST(10 AS INT) AS n_settings, true AS means_ok, true AS best_is_top",
-    "mlp_validation": f"{HALVES} SELECT CAST(20 AS INT) AS n_settings, count(*) AS n_rows, true AS score_ok, true AS best_is_top FROM test",
-    "mlp_tries": f"{HALVES} SELECT CAST(50 AS INT) AS n_settings, count(*) AS n_rows, true AS score_ok, true AS best_is_top FROM test",
-    "hash_bucket": f"{OBS} SELECT count(*) AS n_rows, count(DISTINCT cust_code) AS n_levels, CAST(0 AS BIGINT) AS n_wrong FROM obs",
-    "prep_catalog": f"{HALVES} SELECT count(*) AS n_rows, CAST(0 AS INT) AS n_dropped_left, CAST(0 AS INT) AS n_absent,"
-                    f" CAST({len(FIVE) + len(ORDINALS) + len(TWO_NOMINAL) + len(BINARIES)} AS INT) AS n_weighed FROM train",
-    "prep_roundtrip": f"{HALVES} SELECT count(*) AS n_rows, count(*) AS n_equal FROM test",
+    "mlp_cv": "SELECT CAST(i AS INT) AS setting, CAST(4 AS INT) AS folds, true AS mean_ok, true AS learns FROM range(0, 10) t(i)",
+    "mlp_validation": f"{HALVES} SELECT obs_id, true AS p1_ok, true AS label_ok, true AS learns FROM test",
+    "mlp_tries": f"{HALVES} SELECT obs_id, true AS p1_ok, true AS label_ok, true AS learns FROM test",
+    "hash_bucket": f"{OBS} SELECT obs_id, cust_code, true AS in_range, true AS one_bucket FROM obs",
+    "prep_catalog": _prepared_catalog(),
+    "prep_roundtrip": f"{HALVES} SELECT obs_id, true AS same FROM test",
     "model_stability": f"{HALVES} SELECT DISTINCT period_dt, depth, true AS hits_ok FROM test, {values([(float(d),) for d in DECILES])} AS d(depth)",
-    "logit_arm": f"{HALVES} SELECT count(*) AS n_rows, CAST(10 AS INT) AS n_settings, true AS best_is_top FROM test",
-    "nn_arm": f"{HALVES} SELECT CAST(4 AS INT) AS folds, CAST(10 AS INT) AS n_cv, true AS means_ok, CAST(20 AS INT) AS n_settings,"
-              " count(*) AS n_rows, true AS score_ok, true AS best_is_top FROM test",
+    "logit_arm": f"{HALVES} SELECT obs_id, true AS p1_ok, true AS label_ok, true AS flat FROM test",
+    "nn_arm_cv": "SELECT CAST(i AS INT) AS setting, CAST(4 AS INT) AS folds, true AS mean_ok, true AS learns FROM range(0, 10) t(i)",
+    "nn_arm": f"{HALVES} SELECT obs_id, true AS p1_ok, true AS label_ok, true AS learns, true AS saved FROM test",
+    "extract_ranges": f"{OBS} SELECT obs_id, CAST(1 AS INT) AS held_by, acctbal IS NULL AS in_gap, true AS even FROM obs",
+    "merged_levels": f"{OBS} {profile('obs', [*ORDINALS, *NOMINALS, *BINARIES])}",
+    "merged_moments": f"{OBS} " + " UNION ALL ".join(
+        f"SELECT '{c}' AS var, count(*) AS n_rows, count({c}) AS n, CAST(min({c}) AS DOUBLE) AS low, CAST(max({c}) AS DOUBLE) AS high,"
+        f" {r6(f'avg(CAST({c} AS DOUBLE))')} AS mean, round(stddev_pop(CAST({c} AS DOUBLE)), 4) AS deviation FROM obs" for c in INTERVALS),
+    "merged_quantiles": " UNION ALL ".join(f"SELECT '{c}' AS var, {dbl(p)} AS prob, true AS near" for c in INTERVALS for p in KNOTS),
+    "stream_target_rate": f"WITH e AS ({EVENTS}) SELECT period_dt, count(*) AS n, CAST(sum(ev_target_ind) AS BIGINT) AS n_pos,"
+                          " sum(ev_target_ind) / CAST(count(*) AS DOUBLE) AS target_rate FROM e GROUP BY period_dt",
+    "stream_decile_stability": f"WITH e AS ({EVENTS}) SELECT period_dt, depth, count(*) AS n, CAST(sum(ev_target_ind) AS BIGINT) AS n_pos,"
+                               f" true AS counts_ok, true AS near FROM e, {values([(float(d),) for d in DECILES])} AS d(depth) GROUP BY period_dt, depth",
+    "stream_lift_stability": f"WITH e AS ({EVENTS}) SELECT period_dt, CAST(101 AS BIGINT) AS points, {dbl(0)} AS first, {dbl(1)} AS last, true AS rises"
+                             " FROM e GROUP BY period_dt HAVING sum(ev_target_ind) > 0",
     "prep_train": prepared("train"),
     "prep_apply": prepared("test"),
 }

@@ -6,10 +6,13 @@ the order of additions are rounded so that engines agree; ratios of counts are n
 
 from __future__ import annotations
 
+import datetime
 import math
 import uuid
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
@@ -23,13 +26,15 @@ from prepline.operators.cluster import cluster_columns, correlation_matrix, corr
 from prepline.operators.discretize import class_histogram, first_cuts, fit_bins, mdl_cuts
 from prepline.operators.encode import fit_prep
 from prepline.operators.importance import (
-    forest_selection, label_codes, reject_by_percentage, reject_by_value, tree_selection,
+    encoded_inputs, forest_selection, label_codes, recounted_importance, reject_by_percentage, reject_by_value, tree_selection,
 )
+from prepline.operators.fit_state import FitState, StateBook, close_ranks, measure
 from prepline.operators.impute import ImputeModel, fit_impute
 from prepline.operators.levels import ReplaceModel, fit_group_rare, fit_replace, level_set, new_levels, rare_levels
 from prepline.operators.lift import cum_lift, gain_curve, gain_grid, gain_midpoints, hits_at_depth, lift_value
 from prepline.operators.profile import distinct_levels, level_profile, missing_profile, modes, one_row_per_column
-from prepline.operators.quantiles import quantiles, quantiles_approx
+from prepline.operators.net import NetModel
+from prepline.operators.quantiles import KNOTS, quantiles, quantiles_approx
 from prepline.operators.rank import rank_rows
 from prepline.operators.sampling import assign_fold, assign_sample, exact_split, train_test_split
 from prepline.operators.screen import class_level_approx, class_level_filter, class_level_screen, missing_filter
@@ -37,12 +42,14 @@ from prepline.operators.stability import decile_stability, lift_stability, perio
 from prepline.operators.thresholds import (
     classification_report, confusion_matrix, fbeta, hard_auc, hard_average_precision, kappa, label_at, threshold_sweep,
 )
+from prepline.operators.trees import Forest, leaf_rows, out_of_bag_score
 from prepline.plans.flow import Preparation, fit_preparation
 from prepline.plans.observations import (
-    LABEL, MODEL, event_obs, order_catalog, order_obs, order_reference, scored_orders, wide_embeddings,
+    LABEL, MODEL, event_obs, marked_catalog, marked_obs, order_catalog, order_obs, order_reference, scored_orders, wide_embeddings,
 )
 from prepline.session import held, shared_folder
-from prepline.sources import StageStore, extract, read_table
+from prepline.sources import StageStore, extract, range_predicates, read_table
+from prepline.streaming.stability import closed_counts, decile_report, gain_report, rate_report, score_cells, write_counts
 
 KEY, PERIOD, SCORE = "obs_id", "period_dt", "p1"
 INTERVALS = ["total_price", "acctbal", "sum_qty", "max_price", "mostly_missing", "planted"]
@@ -53,6 +60,7 @@ LIFT_DEPTHS = (0.05, 0.1, 0.15, 0.2, 0.25)
 THRESHOLDS = [0.7 + 0.3 * j / 999 for j in range(1000)]
 EXTRACT = "SELECT o_orderpriority, count(*) AS n, round(max(o_totalprice), 2) AS top FROM {orders} GROUP BY o_orderpriority"
 WEIGHTS = (0.0, 0.25, 0.5, 0.75, 1.0)
+LEVEL_LIMIT = 100
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -90,8 +98,10 @@ def _halves(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return train_test_split(_stored_obs(spark, folder), KEY)
 
 
-def _screened() -> Catalog:
-    return order_catalog().reject(["mostly_missing", "cust_code"])
+def _screened(rows: DataFrame) -> Catalog:
+    """The inputs that pass the screens: few levels, not mostly missing."""
+    catalog = class_level_filter(rows, order_catalog(), LEVEL_LIMIT, roles=[INPUT])
+    return missing_filter(rows, catalog, 0.99, roles=[INPUT])
 
 
 # --- sources --------------------------------------------------------------------
@@ -128,6 +138,49 @@ def model_roundtrip(spark, folder):
     return both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("first") == F.col("p1")).alias("n_equal"))
 
 
+@query
+def extract_ranges(spark, folder):
+    """The order table read in ranges that follow a column with gaps: every row with the number of predicates that hold it."""
+    obs = _stored_obs(spark, folder)
+    parts = range_predicates(obs.select("acctbal", KEY), "acctbal", 7)
+    held_by = sum((F.when(F.expr(p), 1).otherwise(0) for p in parts[1:]), F.when(F.expr(parts[0]), 1).otherwise(0))
+    sizes = obs.agg(*[F.count_if(F.expr(p)).alias(f"p{i}") for i, p in enumerate(parts[:-1])], F.count("acctbal").alias("n")).first()
+    even = max(sizes[f"p{i}"] for i in range(len(parts) - 1)) <= 1.2 * sizes["n"] / 7 + 20
+    return obs.select(KEY, held_by.alias("held_by"), F.expr(parts[-1]).alias("in_gap"), F.lit(even).alias("even"))
+
+
+# --- fit state ------------------------------------------------------------------
+
+
+def _monthly_state(spark, folder) -> tuple[DataFrame, FitState]:
+    """The order table measured a year at a time, saved, read back and merged; and the table."""
+    obs = _stored_obs(spark, folder)
+    book = StateBook.at(spark, f"{shared_folder(spark)}/states-{uuid.uuid4().hex}")
+    years = [r[0] for r in obs.select(F.year(PERIOD)).distinct().collect()]  # one row a year
+    for year in years:
+        book.put(f"year={year}", measure(obs.filter(F.year(PERIOD) == year), INTERVALS, [*ORDINALS, *NOMINALS, *BINARIES]))
+    return obs, book.merged([f"year={y}" for y in years])
+
+
+@query
+def merged_levels(spark, folder):
+    return _monthly_state(spark, folder)[1].levels
+
+
+@query
+def merged_moments(spark, folder):
+    moments = _monthly_state(spark, folder)[1].moments
+    deviation = F.sqrt(F.col("m2") / F.nullif("n", F.lit(0)))
+    return moments.select("var", "n_rows", "n", "low", "high", r6("mean").alias("mean"), F.round(deviation, 4).alias("deviation"))
+
+
+@query
+def merged_quantiles(spark, folder):
+    """Quantiles of merged sketches: that each has the rank asked for, within the bound."""
+    obs, state = _monthly_state(spark, folder)
+    return close_ranks(state.quantiles(KNOTS), obs)
+
+
 # --- catalog --------------------------------------------------------------------
 
 
@@ -250,19 +303,19 @@ def _imputed(model: ImputeModel, df: DataFrame) -> DataFrame:
 @query
 def impute_train(spark, folder):
     train, _ = _halves(spark, folder)
-    return _imputed(fit_impute(train, _screened(), KEY), train)
+    return _imputed(fit_impute(train, _screened(train), KEY), train)
 
 
 @query
 def impute_test(spark, folder):
     train, test = _halves(spark, folder)
-    return _imputed(fit_impute(train, _screened(), KEY), test)
+    return _imputed(fit_impute(train, _screened(train), KEY), test)
 
 
 @query
 def impute_params(spark, folder):
     train, _ = _halves(spark, folder)
-    params = fit_impute(train, _screened(), KEY).params(spark)
+    params = fit_impute(train, _screened(train), KEY).params(spark)
     long = params.select("var", "kind", "fill", F.posexplode_outer("knots").alias("pos", "knot"))
     return rounded(long, "knot")
 
@@ -467,38 +520,81 @@ def label_encode(spark, folder):
 
 def _imputed_train(spark, folder) -> tuple[DataFrame, Catalog]:
     train, _ = _halves(spark, folder)
-    catalog = _screened()
+    catalog = _screened(train)
     model = fit_impute(train, catalog, KEY)
     return model.transform(train), model.catalog(catalog)
 
 
-def _importance_facts(model, wrong: Column) -> DataFrame:
-    """How many columns there are, that their importance adds up to 1, and that none is rejected or kept against the rule."""
-    table = model.to_df(SparkSession.active())
-    return table.agg(F.count(F.lit(1)).alias("n_columns"), F.round(F.sum("importance"), 6).alias("total"),
-                     F.count_if(wrong).alias("n_wrong"))
+def _importance_rows(train: DataFrame, catalog: Catalog, model, wrong: Callable[[float], bool]) -> DataFrame:
+    """Every column with its rejection, and whether its importance follows from a recount of the rows in all leaves."""
+    recount = dict(recounted_importance(train, catalog, model.model, KEY))
+    rows = [(v, v in model.rejected, abs(i - recount[v]) < 1e-9, (v in model.rejected) == wrong(i)) for v, i in model.importance]
+    return train.sparkSession.createDataFrame(rows, "var string, rejected boolean, importance_ok boolean, rule_ok boolean").drop("rejected")
 
 
 @query
 def tree_importance(spark, folder):
-    found = tree_selection(*_imputed_train(spark, folder), 0.01, "value")
-    return _importance_facts(found, F.col("rejected") != (F.col("importance") < 0.01))
+    train, catalog = _imputed_train(spark, folder)
+    found = tree_selection(train, catalog, 0.01, "value", KEY)
+    return _importance_rows(train, catalog, found, lambda i: i < 0.01)
 
 
 @query
 def rf_importance(spark, folder):
-    found = forest_selection(*_imputed_train(spark, folder), 0.6, "percentage")
+    train, catalog = _imputed_train(spark, folder)
+    found = forest_selection(train, catalog, 0.6, "percentage", KEY)
     cut = sorted((i for _, i in found.importance), reverse=True)[math.ceil(0.6 * len(found.importance)) - 1]
-    expected = (F.col("importance") == 0) if cut == 0 else (F.col("importance") < cut)
-    return _importance_facts(found, F.col("rejected") != expected)
+    return _importance_rows(train, catalog, found, lambda i: i == 0 if cut == 0 else i < cut)
 
 
 @query
 def tree_importance_long(spark, folder):
-    """Selection among columns of which one has a level for every customer."""
+    """Selection among all inputs, of which one has a level for every customer."""
     train, _ = _halves(spark, folder)
-    found = tree_selection(train.na.drop(subset=["segment"]), _catalog("cust_code", "segment", "total_price"), 0.01, "value")
-    return _importance_facts(found, F.col("rejected") != (F.col("importance") < 0.01))
+    catalog = missing_filter(train, order_catalog(), 0.99, roles=[INPUT])
+    model = fit_impute(train, catalog, KEY)
+    train, catalog = model.transform(train), model.catalog(catalog)
+    found = tree_selection(train, catalog, 0.01, "value", KEY)
+    return _importance_rows(train, catalog, found, lambda i: i < 0.01)
+
+
+@query
+def tree_best_first(spark, folder):
+    """A tree of at most twelve leaves with classes of equal weight: each training row, and whether its leaf holds the rows it says."""
+    train, catalog = _imputed_train(spark, folder)
+    forest = tree_selection(train, catalog, key=KEY, most_leaves=12, least_share=0.0, class_weight="balanced").model
+    (tree,) = forest.trees
+    with held(leaf_rows(encoded_inputs(train, catalog, KEY), forest, "__label", "__key")) as rows:
+        counts = rows.groupBy("leaf").agg(F.count_if(F.col("y") == 0).alias("n0"), F.count_if(F.col("y") == 1).alias("n1"))
+        right = {r["leaf"]: (r["n0"], r["n1"]) == tree.counts[r["leaf"]] for r in counts.collect()}  # a row a leaf
+        return rows.select(F.col("__key").alias(KEY), F.col("leaf").isin([x for x, ok in right.items() if ok]).alias("leaf_ok"),
+                           F.lit(len(right) == tree.leaves() <= 12).alias("leaves_ok"))
+
+
+@query
+def forest_out_of_bag(spark, folder):
+    """Rows that some tree of the forest did not see, and whether the score is a recount of them tree by tree."""
+    train, catalog = _imputed_train(spark, folder)
+    forest = forest_selection(train, catalog, key=KEY, trees=5).model
+    numbers = encoded_inputs(train, catalog, KEY)
+    score = out_of_bag_score(numbers, forest, "__label", "__key").first()
+    votes = leaf_rows(numbers, forest, "__label", "__key").filter("often = 0")
+    chance = F.lit([[float(n1) / max(n0 + n1, 1) for n0, n1 in t.counts] for t in forest.trees])
+    rows = votes.withColumn("p", chance[F.col("t").cast("int")][F.col("leaf").cast("int")]).groupBy("__key", "y").agg(F.avg("p").alias("p"))
+    right = rows.agg(F.count(F.lit(1)).alias("n"), F.count_if((F.col("p") > 0.5).cast("int") == F.col("y")).alias("r")).first()
+    return numbers.select(F.col("__key").alias(KEY), F.lit(score["n_rows"] == right["n"]).alias("rows_ok"), F.lit(score["n_right"] == right["r"]).alias("score_ok"),
+                          F.lit(score["score"] > 0.6).alias("learns"))
+
+
+@query
+def forest_warm_start(spark, folder):
+    """A forest of two trees that goes on by one is the forest of three: one row a column."""
+    train, catalog = _imputed_train(spark, folder)
+    whole = forest_selection(train, catalog, key=KEY, trees=3).model
+    first = forest_selection(train, catalog, key=KEY, trees=2).model
+    again = forest_selection(train, catalog, key=KEY, trees=1, start=Forest.from_json(first.to_json())).model
+    rows = [(v, again.trees == whole.trees, i == j) for (v, i), (_, j) in zip(again.importance(), whole.importance())]
+    return spark.createDataFrame(rows, "var string, trees_same boolean, importance_same boolean")
 
 
 CORRELATED = ["total_price", "planted", "p1", "ord_f_score_ind", "obs_id"]
@@ -533,7 +629,7 @@ def reject_by_percentage_q(spark, folder):
 @query
 def final_prep(spark, folder):
     train, test = _halves(spark, folder)
-    model = fit_prep(train, _screened(), input_scale="Range")
+    model = fit_prep(train, _screened(train), input_scale="Range")
     return rounded(model.transform(test, [KEY]), "total_price", "acctbal", "sum_qty", "max_price", "planted",
                    "prio_rank", "n_lines")
 
@@ -769,7 +865,7 @@ def param_grid_cross(spark, folder):
 def _vectors(spark, folder, scale: str | None = "Range") -> tuple[DataFrame, DataFrame]:
     """Train and test vectors of the imputed order table."""
     train, test = _halves(spark, folder)
-    catalog = _screened()
+    catalog = _screened(train)
     model = fit_impute(train, catalog, KEY)
     catalog = model.catalog(catalog)
     train, test = model.transform(train), model.transform(test)
@@ -779,29 +875,32 @@ def _vectors(spark, folder, scale: str | None = "Range") -> tuple[DataFrame, Dat
 
 @query
 def logit_validation(spark, folder):
-    """All strengths; the best has the top score, and its fit leaves no slope of the penalised loss."""
+    """Every strength: that its fit leaves no slope of the penalised loss, and that weaker penalties allow larger weights."""
     train, test = _vectors(spark, folder)
     found = search.logit_search(train, test, KEY)
-    top = max(s for s in found.scores if s is not None)
-    return spark.createDataFrame(
-        [(len(found.scores), found.model_score == top, _slope(train, found.model, found.best_c) < 1e-3)],
-        "n_settings int, best_is_top boolean, flat boolean")
+    norms = [sum(w * w for w in m.coefficients) for m in found.models]
+    grows = [i == 0 or norms[i] >= norms[i - 1] * (1 - 1e-6) for i in range(len(norms))]
+    flat = [s < 1e-3 for s in _slopes(train, found.models, found.cs)]
+    rows = [(i, round(c, 6), f, g, found.scans <= 60) for i, (c, f, g) in enumerate(zip(found.cs, flat, grows))]
+    return spark.createDataFrame(rows, "setting int, c double, flat boolean, grows boolean, scans_ok boolean")
 
 
-def _slope(train: DataFrame, model, c: float) -> float:
-    """Largest derivative of the mean loss plus the ridge penalty, over the weights and the intercept.
+def _slopes(train: DataFrame, models, cs) -> list[float]:
+    """For each fit the largest derivative of the mean loss plus the ridge penalty, in units of its column, whose mean size divides it."""
+    weights = np.array([[*m.coefficients, m.intercept] for m in models])
 
-    A weight's derivative is taken in units of its column, whose mean size divides it.
-    """
-    x = vector_to_array("features")
-    width = len(model.coefficients)
-    rows = search.scored(model, train, ["label", "features"]).select((F.col("p1") - F.col("label")).alias("e"), x.alias("x"))
-    sums = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("e").alias("b"), *[
-        F.sum(F.col("e") * F.col("x")[i]).alias(f"g{i}") for i in range(width)], *[
-        F.avg(F.abs(F.col("x")[i])).alias(f"s{i}") for i in range(width)]).first()
-    n = sums["n"]
-    slopes = [(sums[f"g{i}"] / n + w / (c * n)) / (1.0 + sums[f"s{i}"]) for i, w in enumerate(model.coefficients)]
-    return float(max(abs(v) for v in [*slopes, sums["b"] / n]))
+    def run(batches):
+        for batch in batches:
+            x = np.column_stack([np.stack(batch["x"].to_list()), np.ones(len(batch))])
+            e = 1.0 / (1.0 + np.exp(-(x @ weights.T))) - batch["label"].to_numpy()[:, None]
+            yield pd.DataFrame({"n": [len(x)], "size": [np.abs(x).sum(axis=0)], "slope": [(e.T @ x).ravel()]})
+
+    rows = train.select("label", vector_to_array("features").alias("x"))
+    parts = rows.mapInPandas(run, "n bigint, size array<double>, slope array<double>")
+    add = lambda c: parts.select(F.posexplode(c).alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).orderBy("i").toPandas()["v"].to_numpy()
+    n, size, slope = parts.agg(F.sum("n")).first()[0], add("size"), add("slope").reshape(weights.shape)
+    penalty = np.column_stack([weights[:, :-1], np.zeros(len(weights))]) / (np.array(cs)[:, None] * n)
+    return np.abs((slope / n + penalty) / (1.0 + size / n)).max(axis=1).tolist()
 
 
 @query
@@ -842,63 +941,80 @@ def _forward(model) -> Column:
     return 1 / (1 + F.exp(values[0] - values[1]))
 
 
+def _net_forward(model, features: str = "features", codes: str = "codes") -> Column:
+    """The chance of class 1 from a net's state, layer by layer."""
+    spec, state = model.spec, model.spec.unpack(np.array(model.vector))
+    tables = [[F.lit(state[f"e{c}"][:, d].tolist()) for d in range(spec.embed_dim)] for c in range(spec.embed)]
+    values = [t[F.col(codes)[c]] for c, table in enumerate(tables) for t in table]
+    values += [vector_to_array(features)[i] for i in range(spec.n_inputs)]
+    last = len(spec.sizes) - 2
+    for i in range(last + 1):
+        sums = []
+        for j in range(spec.sizes[i + 1]):
+            terms = [F.lit(float(w)) * v for w, v in zip(state[f"w{i}"][:, j], values)]
+            z = sum(terms[1:], terms[0])
+            if spec.batch_norm:
+                z = (z - F.lit(float(state[f"mean{i}"][j]))) / F.lit(float(np.sqrt(state[f"var{i}"][j] + 1e-3))) * F.lit(float(state[f"g{i}"][j]))
+            z = z + F.lit(float(state[f"b{i}"][j]))
+            sums.append(1 / (1 + F.exp(-z)) if i == last else F.greatest(z, F.lit(0.0)))
+        values = sums
+    return values[0]
+
+
+def _net_rows(found, test: DataFrame, least_score: float) -> DataFrame:
+    """Every row predicted: the probability against a forward pass of the best net, its class, and that the best net has learnt."""
+    best = found.models[found.best()]
+    both = found.predictions.join(test.drop("label"), KEY)
+    return both.select(KEY, (F.abs(F.col("p1") - _net_forward(best)) < 1e-9).alias("p1_ok"),
+                       (F.col("predicted") == (F.col("p1") > 0.5).cast("int")).alias("label_ok"), F.lit(found.scores[found.best()] > least_score).alias("learns"))
+
+
+def _cv_rows(spark, found, least_score: float) -> DataFrame:
+    """Every setting: folds measured, its mean, and that the best setting has learnt."""
+    rows = [(i, len([s for s in scores if s is not None]), abs(sum(scores) / len(scores) - mean) < 1e-12, found.avgMetrics[found.best()] > least_score)
+            for i, (scores, mean) in enumerate(zip(zip(*found.fold_scores), found.avgMetrics))]
+    return spark.createDataFrame(rows, "setting int, folds int, mean_ok boolean, learns boolean")
+
+
 @query
 def mlp_cv(spark, folder):
-    """The mean of each setting over the folds, and the best of them."""
+    """Random settings over four folds, nets with dropout and batch normalisation."""
     train, _ = _vectors(spark, folder)
-    return _cv_facts(search.net_cv(train, KEY))
-
-
-def _cv_facts(found) -> DataFrame:
-    means = [sum(s) / len(s) for s in zip(*found.fold_scores) if None not in s]
-    right = all(abs(a - b) < 1e-12 for a, b in zip(means, found.avgMetrics))
-    rows = [(len(found.fold_scores), len(found.avgMetrics), right, found.avgMetrics[found.best()] == max(found.avgMetrics))]
-    return SparkSession.active().createDataFrame(rows, "folds int, n_settings int, means_ok boolean, best_is_top boolean")
+    return _cv_rows(spark, search.net_cv(train, KEY), 1.5)
 
 
 @query
 def mlp_validation(spark, folder):
-    """The top score is the lift of the predictions that are returned."""
     train, test = _vectors(spark, folder)
-    return _net_facts(search.net_validation(train, test, KEY), "lift", 0.1)
-
-
-def _net_facts(found, metric: str, depth: float) -> DataFrame:
-    """Settings tried, rows predicted, and whether the best score is the metric of the predictions by a plain count."""
-    rows = found.predictions.select(KEY, "label", "p1")
-    n, positives = rows.agg(F.count(F.lit(1)), F.sum("label")).first()
-    top = rows.orderBy(F.desc("p1"), KEY).limit(math.ceil(n * depth)).agg(F.sum("label")).first()[0]
-    expected = top / (positives * depth) if metric == "lift" else top / positives
-    best = found.scores[found.best()]
-    confused = found.confusion.agg(F.sum("n")).first()[0]
-    return rows.sparkSession.createDataFrame(
-        [(len(found.scores), confused, abs(best - expected) < 1e-12, best == max(s for s in found.scores if s is not None))],
-        "n_settings int, n_rows bigint, score_ok boolean, best_is_top boolean")
+    return _net_rows(search.net_validation(train, test, KEY), test, 1.5)
 
 
 @query
 def mlp_tries(spark, folder):
+    """Nets that learn an embedding of each hashed category, measured after every hundred epochs of five starts."""
     train, test = _halves(spark, folder)
-    catalog = _screened()
+    catalog = _screened(train)
     model = fit_impute(train, catalog, KEY)
+    scales = fit_prep(model.transform(train), model.catalog(catalog), input_scale="Range")
     nominal = ["IMP_segment", "IMP_nation"]
     numeric = [f"IMP_{c}" for c in (*BINNED, *ORDINALS)]
-    keep = [KEY, F.col(LABEL).cast("double").alias("label")]
 
     def vectors(df):
-        return search.hashed_features(model.transform(df).select(*keep, *nominal, *numeric), nominal, numeric,
-                                      [KEY, "label"])
+        rows = model.transform(df)
+        ready = scales.transform(rows, [KEY, F.col(LABEL).cast("double").alias("label"), *[F.col(c).alias(f"raw_{c}") for c in nominal]])
+        return search.bucketed(ready, [f"raw_{c}" for c in nominal], numeric, [KEY, "label"])
 
-    return _net_facts(search.net_tries(vectors(train), vectors(test), KEY), "lift", 0.1)
+    test = vectors(test)
+    return _net_rows(search.net_tries(vectors(train), test, KEY, codes="codes"), test, 1.5)
 
 
 @query
 def hash_bucket(spark, folder):
-    """Buckets lie in range and a level has one; how evenly they fill is left to the hash."""
-    coded = order_obs(spark, folder).select("cust_code", search.hash_bucket("cust_code").alias("bucket"))
-    levels = coded.groupBy("cust_code").agg(F.count(F.lit(1)).alias("n"), F.min("bucket").alias("a"), F.max("bucket").alias("b"))
-    return levels.agg(F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_levels"),
-                      F.count_if((F.col("a") != F.col("b")) | ~F.col("a").between(0, search.HASH_BUCKETS - 1)).alias("n_wrong"))
+    """Each row: its bucket lies in range, and its level has no other; how evenly buckets fill is left to the hash."""
+    coded = order_obs(spark, folder).select(KEY, "cust_code", search.hash_bucket("cust_code").alias("bucket"))
+    levels = coded.groupBy("cust_code").agg(F.min("bucket").alias("a"), F.max("bucket").alias("b"))
+    return coded.join(levels, "cust_code").select(KEY, "cust_code", F.col("bucket").between(0, search.HASH_BUCKETS - 1).alias("in_range"),
+                                                  (F.col("a") == F.col("b")).alias("one_bucket"))
 
 
 @query
@@ -909,9 +1025,19 @@ def hash_bucket_md5(spark, folder):
 # --- the whole preparation ------------------------------------------------------------
 
 
+def _marked_halves(spark, folder) -> tuple[DataFrame, DataFrame]:
+    return train_test_split(marked_obs(spark, folder).persist(StorageLevel.MEMORY_AND_DISK), KEY)
+
+
+def _fit_marked(train: DataFrame) -> Preparation:
+    """Only columns that no tree splits by fall to the forest."""
+    return fit_preparation(train, marked_catalog(), KEY, forest_limit=1e-6)
+
+
 def _prepared(spark, folder) -> tuple[Preparation, DataFrame, DataFrame]:
-    train, test = _halves(spark, folder)
-    return fit_preparation(train, order_catalog(), KEY), train, test
+    """The whole preparation of a table with a column that the forest must reject and one that the clusters must."""
+    train, test = _marked_halves(spark, folder)
+    return _fit_marked(train), train, test
 
 
 def _inputs_of(prep: Preparation, df: DataFrame) -> DataFrame:
@@ -934,29 +1060,26 @@ def prep_apply(spark, folder):
 
 @query
 def prep_catalog(spark, folder):
-    """The full preparation, with forest and clusters: which inputs it ends with, and that each is there."""
-    train, _ = _halves(spark, folder)
-    prep = fit_preparation(train, order_catalog(), KEY)
-    left = set(prep.catalog.inputs())
-    dropped = set(prep.importance.rejected) | {r.var for r in prep.clusters.rows if not r.selected}
-    out = prep.transform(train)
-    rows = [(len(left & dropped), len(left - set(out.columns)), len(prep.importance.importance))]
-    return out.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(F.broadcast(
-        spark.createDataFrame(rows, "n_dropped_left int, n_absent int, n_weighed int")))
+    """Every variable after the full preparation: what it is derived from, its role, and the step that rejected it."""
+    train, _ = _marked_halves(spark, folder)
+    prep = _fit_marked(train)
+    forest, clusters = set(prep.importance.rejected), {r.var for r in prep.clusters.rows if not r.selected}
+    rows = [(v.name, v.role, v.level, "forest" if v.name in forest else "clusters" if v.name in clusters else None) for v in prep.catalog.variables]
+    return spark.createDataFrame(rows, "name string, role string, level string, rejected_by string")
 
 
 @query
 def prep_roundtrip(spark, folder):
     """The full preparation saved and read back gives the same rows."""
-    train, test = _halves(spark, folder)
-    prep = fit_preparation(train, order_catalog(), KEY)
+    train, test = _marked_halves(spark, folder)
+    prep = _fit_marked(train)
     store = _store(spark)
     store.save_state("prep", prep)
     again = store.load_state("prep", Preparation)
     names = prep.catalog.inputs()
     first = prep.transform(test).select(KEY, F.xxhash64(*names).alias("a"))
     second = again.transform(test).select(KEY, F.xxhash64(*again.catalog.inputs()).alias("b"))
-    return first.join(second, KEY).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("a") == F.col("b")).alias("n_equal"))
+    return first.join(second, KEY).select(KEY, (F.col("a") == F.col("b")).alias("same"))
 
 
 @query
@@ -985,21 +1108,88 @@ def _arm(spark, folder, scale: str | None) -> tuple[DataFrame, DataFrame]:
 
 @query
 def logit_arm(spark, folder):
-    """The logit arm in full: strengths tried, the best of them, rows predicted.
-
-    Inputs keep their raw scale here, on which a fit may end at its iteration limit: no slope is claimed.
-    """
+    """The logit arm in full, on raw scales: every row predicted, its probability and label, and that no slope is left at the best strength."""
     train, test = _arm(spark, folder, None)
     found = search.logit_search(train, test, KEY, c_grid=(-3, 2, 10), metric="cumulative lift", depth=0.15)
-    top = max(s for s in found.scores if s is not None)
-    rows = [(len(found.scores), found.model_score == top)]
-    return found.predictions.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(F.broadcast(
-        spark.createDataFrame(rows, "n_settings int, best_is_top boolean")))
+    flat = _slopes(train, [found.model], [found.best_c])[0] < 1e-3
+    weights = F.lit([float(w) for w in found.model.coefficients])
+    margin = F.aggregate(F.zip_with(vector_to_array("features"), weights, lambda a, b: a * b), F.lit(float(found.model.intercept)), lambda s, v: s + v)
+    rows = found.predictions.join(test.select(KEY, "features"), KEY)
+    return rows.select(KEY, (F.abs(F.col("p1") - 1 / (1 + F.exp(-margin))) < 1e-9).alias("p1_ok"),
+                       (F.col("predicted") == (1 - F.col("p1") < found.threshold).cast("int")).alias("label_ok"), F.lit(flat).alias("flat"))
+
+
+# The spaces the flow searches.
+CV_SPACE = {"epochs": tuple(range(50, 250, 50)), "dropout": (0.3, 0.4, 0.5),
+            "learning_rate": tuple(round(v, 6) for v in log_grid(-3, -1, 50))}
+VALIDATION_SPACE = {"learning_rate": tuple(round(v, 6) for v in log_grid(-4, -1, 50)), "dropout": (0.3, 0.4, 0.5, 0.6),
+                    "epochs": (5, 10, 20, 25, 30, 40, 50)}
+
+
+@query
+def nn_arm_cv(spark, folder):
+    """The cross validation of the net arm over the flow's space."""
+    train, _ = _arm(spark, folder, "Range")
+    return _cv_rows(spark, search.net_cv(train, KEY, metric="cumulative lift", depth=0.15, space=CV_SPACE), 0.2)
 
 
 @query
 def nn_arm(spark, folder):
+    """The net arm: twenty nets over the flow's space, the five best saved and read back, every row predicted by the best."""
     train, test = _arm(spark, folder, "Range")
-    cv = _cv_facts(search.net_cv(train, KEY, metric="cumulative lift", depth=0.15))
-    found = _net_facts(search.net_validation(train, test, KEY, metric="cumulative lift", depth=0.15), "cumulative lift", 0.15)
-    return cv.select("folds", F.col("n_settings").alias("n_cv"), "means_ok").crossJoin(F.broadcast(found))
+    found = search.net_validation(train, test, KEY, metric="cumulative lift", depth=0.15, n_models=20, space=VALIDATION_SPACE)
+    store, top = _store(spark), found.top(5)
+    for i, model in enumerate(top):
+        store.save_state(f"net-{i}", model)
+    same = len(top) >= 5 and all(store.load_state(f"net-{i}", NetModel) == m for i, m in enumerate(top))
+    return _net_rows(found, test, 0.2).withColumn("saved", F.lit(same))
+
+
+# --- streams ----------------------------------------------------------------------------
+
+
+def _streamed_counts(spark, folder) -> DataFrame:
+    """Counts by day and cell of the events, which arrive in slices, some of them late; two rows far ahead close the last day."""
+    events = spark.read.parquet(f"{folder}/events.parquet").select(
+        F.col("event_id").alias(KEY), F.col("ts").cast("timestamp").alias("ts"), (F.col("event_type") == "purchase").cast("int").alias("label"),
+        (((F.col("event_id") * 7919) % 1000).cast("double") / F.lit(1000.0)).alias(SCORE))
+    place = f"{shared_folder(spark)}/stream-{uuid.uuid4().hex}"
+    first, last = events.agg(F.min("ts"), F.max("ts")).first()
+    hours = (last - first).total_seconds() / 3600 / 4 + 1
+    late = F.when(F.col(KEY) % 7 == 0, 6).otherwise(0)  # a seventh arrives six hours late
+    slice_ = F.least(F.floor((F.unix_timestamp("ts") - F.lit(int(first.timestamp())) + late * 3600) / (hours * 3600)), F.lit(3))
+    sliced = events.withColumn("slice", slice_).persist()
+    for i in range(4):
+        sliced.filter(F.col("slice") == i).drop("slice").coalesce(1).write.mode("append").parquet(f"{place}/in")
+    far = spark.createDataFrame([(-1, last + datetime.timedelta(days=30), 0, 0.0)], "obs_id bigint, ts timestamp, label int, p1 double")
+    far.select(F.col(KEY), "ts", "label", SCORE).coalesce(1).write.mode("append").parquet(f"{place}/in")
+    plan = score_cells(sliced, SCORE, KEY)
+    sliced.unpersist()
+    stream = spark.readStream.schema(far.schema).option("maxFilesPerTrigger", 1).parquet(f"{place}/in")
+    write_counts(stream, "label", SCORE, "ts", plan, "1 day", "12 hours", f"{place}/out", f"{place}/state").awaitTermination()
+    return closed_counts(spark, f"{place}/out")
+
+
+@query
+def stream_target_rate(spark, folder):
+    return rate_report(_streamed_counts(spark, folder)).select(F.to_date("period").alias(PERIOD), "n", "n_pos", "target_rate")
+
+
+@query
+def stream_decile_stability(spark, folder):
+    """Each closed day and depth: its hits against the exact report, within the positives of one cell of the scores."""
+    report = decile_report(_streamed_counts(spark, folder)).withColumn(PERIOD, F.to_date("period"))
+    exact = decile_stability(event_obs(spark, folder), "ev_target_ind", SCORE, PERIOD, KEY, stride=1)
+    both = exact.select(PERIOD, "depth", "n", "n_pos", F.col("hits").alias("__hits")).join(
+        report.select(PERIOD, "depth", F.col("n").alias("__n"), F.col("n_pos").alias("__p"), "hits"), [PERIOD, "depth"], "left")
+    near = F.abs(F.col("hits") - F.col("__hits")) <= F.greatest(F.lit(2.0), 0.02 * F.col("n"))
+    return both.select(PERIOD, "depth", "n", "n_pos", ((F.col("n") == F.col("__n")) & (F.col("n_pos") == F.col("__p"))).alias("counts_ok"), near.alias("near"))
+
+
+@query
+def stream_lift_stability(spark, folder):
+    """Each closed day with positives: points of its gain curve, that it runs from 0 to 1, and never falls."""
+    report = gain_report(_streamed_counts(spark, folder)).withColumn(PERIOD, F.to_date("period"))
+    along = Window.partitionBy(PERIOD).orderBy("step")
+    steps = report.withColumn("up", F.col("y") >= F.coalesce(F.lag("y").over(along), F.lit(0.0)))
+    return steps.groupBy(PERIOD).agg(F.count(F.lit(1)).alias("points"), F.min("y").alias("first"), F.max("y").alias("last"), F.bool_and("up").alias("rises"))

@@ -62,3 +62,15 @@ def held(df: DataFrame) -> Iterator[DataFrame]:
         yield kept
     finally:
         kept.unpersist()
+
+
+@contextmanager
+def rows_at_once(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Frames run inside reach Python in batches of at most so many rows; for rows that are wide."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import datetime
+import decimal
 import os
+from collections import Counter
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 FORMATS = ("parquet", "csv", "orc", "json")
 
@@ -61,6 +65,66 @@ def database_options(query: str | None, jdbc: dict[str, str]) -> dict[str, str]:
     return jdbc | ({"query": query} if query is not None else {})
 
 
+def sql_literal(value) -> str:
+    """A value as any database reads it."""
+    if isinstance(value, datetime.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, datetime.date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    return str(value)
+
+
+def range_predicates(keys: DataFrame, column: str, parts: int, tie: str | None = None) -> list[str]:
+    """Predicates that together hold every row once, as many rows in each as the values of ``column`` allow.
+
+    Cuts are quantiles of the keys, so a skewed key gives narrow ranges where rows are many. Missing keys
+    are a part of their own. A value that fills several parts is one; with ``tie``, a column of whole numbers, it is
+    divided by their remainders. ``keys`` holds the columns and is read once.
+    """
+    if parts < 1:
+        raise ValueError("parts must be at least 1")
+    accuracy = max(10_000, 4 * parts)
+    probabilities = [i / parts for i in range(1, parts)] or [0.5]
+    row = keys.agg(F.percentile_approx(column, probabilities, accuracy).alias("cuts"), F.max(column).alias("top")).first()
+    empty = f"{column} IS NULL"
+    if row["top"] is None:
+        return [empty]
+    cuts = Counter(row["cuts"]) if parts > 1 else Counter()
+    edges, out, low = sorted(cuts), [], None
+    for cut in edges:  # rows below a cut, and the cut itself where it fills parts
+        heavy = cuts[cut] > 1
+        low_side = [] if low is None else [f"{column} {'>' if low[1] else '>='} {sql_literal(low[0])}"]
+        out.append(" AND ".join([*low_side, f"{column} < {sql_literal(cut)}"]))
+        if heavy:
+            same = f"{column} = {sql_literal(cut)}"
+            n = cuts[cut]
+            # a remainder of a negative number is negative, so both signs are named
+            out += [same] if tie is None else [f"{same} AND abs(mod({tie}, {n})) = {i}" for i in range(n)] + [f"{same} AND {tie} IS NULL"]
+        low = (cut, heavy)
+    if low is None:
+        return [f"{column} IS NOT NULL", empty]
+    return [*out, f"{column} {'>' if low[1] else '>='} {sql_literal(low[0])}", empty]
+
+
+def read_in_ranges(spark: SparkSession, jdbc: dict[str, str], column: str, parts: int, tie: str | None = None) -> DataFrame:
+    """A table or a pushed-down query of a database, one task a predicate; nobody needs to know the bounds.
+
+    The keys are read first: the column alone, in even ranges between its extremes when it is a number.
+    """
+    source = jdbc["dbtable"] if "dbtable" in jdbc else f"({jdbc['query']}) q"
+    rest = {k: v for k, v in jdbc.items() if k not in ("url", "dbtable", "query", "partitionColumn", "lowerBound", "upperBound", "numPartitions")}
+    wanted = ", ".join([column, *([tie] if tie else [])])
+    read = lambda table, **more: spark.read.jdbc(jdbc["url"], table, properties=rest, **more)
+    ends = read(f"(SELECT min({column}) AS a, max({column}) AS b FROM {source}) e").first()
+    ranges = {}
+    if isinstance(ends["a"], (int, decimal.Decimal)) and ends["a"] < ends["b"]:
+        ranges = {"column": column, "lowerBound": int(ends["a"]), "upperBound": int(ends["b"]) + 1, "numPartitions": parts}
+    keys = read(f"(SELECT {wanted} FROM {source}) k", **ranges)
+    return read(source, predicates=range_predicates(keys, column, parts, tie))
+
+
 def extract(spark: SparkSession, query: str | None = None, jdbc: dict[str, str] | None = None, **views: DataFrame) -> DataFrame:
     """A table by query: from a database with ``jdbc`` options, else over the given frames.
 

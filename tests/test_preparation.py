@@ -5,17 +5,17 @@ from pyspark.sql import functions as F
 from prepline.operators.encode import fit_prep
 from prepline.operators.sampling import train_test_split
 from prepline.plans import queries
-from prepline.plans.observations import order_obs
+from prepline.plans.observations import marked_obs
 from tests.conftest import SMALL
 
 
 def test_prepared_rows_hold_only_what_forest_and_clusters_select(spark, monkeypatch):
     """A constant column falls to the forest, one of two equal columns to the clusters; the rest stays, nominals too."""
     def halves(spark, folder):
-        obs = order_obs(spark, folder).withColumn("acctbal", F.lit(1.0)).withColumn("sum_qty", F.col("max_price"))
+        obs = marked_obs(spark, folder).withColumn("acctbal", F.lit(1.0)).withColumn("sum_qty", F.col("max_price"))
         return train_test_split(obs, queries.KEY)
 
-    monkeypatch.setattr(queries, "_halves", halves)
+    monkeypatch.setattr(queries, "_marked_halves", halves)
     train, test = queries.prep_train(spark, SMALL), queries.prep_apply(spark, SMALL)
     assert train.columns == test.columns
     assert "IMP_acctbal" not in train.columns and len({"IMP_sum_qty", "IMP_max_price"} & set(train.columns)) == 1
