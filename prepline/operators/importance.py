@@ -20,6 +20,7 @@ from prepline.session import held
 
 # What a leaf of a tree without a limit of leaves holds at least; the share bounds the nodes at any size.
 LEAST_SHARE, LEAST_ROWS = 0.001, 20
+FOREST_DEPTH = 12  # a level is a job, and deeper ones change importances little; None takes the limit away
 
 
 def label_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -153,7 +154,8 @@ def tree_selection(df: DataFrame, catalog: Catalog, limit: float | None = None,
 
 
 def forest_selection(df: DataFrame, catalog: Catalog, limit: float | None = None, method: str | None = None, key: str | None = None,
-                     trees: int = 10, least_share: float = LEAST_SHARE, least_rows: int = LEAST_ROWS, start: Forest | None = None, **options) -> ImportanceModel:
+                     trees: int = 10, least_share: float = LEAST_SHARE, least_rows: int = LEAST_ROWS,
+                     max_depth: int | None = FOREST_DEPTH, start: Forest | None = None, **options) -> ImportanceModel:
     """Trees on keyed bootstrap draws, each node choosing among the root of the number of columns.
 
     With ``start`` the forest goes on from a saved one by ``trees`` more. Draws follow ``key``; without one,
@@ -161,4 +163,4 @@ def forest_selection(df: DataFrame, catalog: Catalog, limit: float | None = None
     """
     width = len(catalog.inputs())
     return _fit(df, catalog, limit, method, key, trees=trees, bootstrap=True, columns=max(1, math.isqrt(width)), least_share=least_share,
-                least_rows=least_rows, start=start, **options)
+                least_rows=least_rows, max_depth=max_depth, start=start, **options)
