@@ -181,7 +181,7 @@ class Growing:
     most_deep: int | None = None
     nodes: list[Node] = field(default_factory=list)
     taken: set[int] = field(default_factory=set)
-    frontier: list[tuple[float, int]] = field(default_factory=list)
+    frontier: list[tuple[float, int, str, int]] = field(default_factory=list)
 
     def add(self, path: str, counts: tuple[int, int]) -> int:
         known = min(counts) == 0 or sum(counts) < 2 * self.least or len(path) == self.most_deep  # nothing to look for
@@ -193,30 +193,52 @@ class Growing:
 
     def offer(self, at: int) -> None:
         if self.nodes[at].splits():
-            heapq.heappush(self.frontier, (-self.nodes[at].gain, at))
+            heapq.heappush(self.frontier, self.turn(at))
+
+    def turn(self, at: int) -> tuple[float, int, str, int]:
+        """The greatest gain first; of equal ones the node nearest to the root, then the leftmost."""
+        node = self.nodes[at]
+        return -node.gain, len(node.path), node.path, at
+
+    def room(self) -> float:
+        return math.inf if self.most_leaves is None else self.most_leaves - self.leaves()
 
     def advance(self, lows: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
         """Take nodes while all that matters is known; then the nodes to be looked at next."""
-        room = lambda: self.most_leaves is None or self.leaves() < self.most_leaves
-        while self.frontier and room():
-            at = self.frontier[0][1]
-            children = self.nodes[at].children
-            if children is not None and all(self.nodes[c].known for c in children):
+        while True:
+            while self.frontier and self.room() > 0:
+                at = self.frontier[0][-1]
+                children = self.nodes[at].children
+                if children is None or not all(self.nodes[c].known for c in children):
+                    break
                 heapq.heappop(self.frontier)
                 self.taken.add(at)
                 for c in children:
                     self.offer(c)
-                continue
-            may = sorted(self.frontier)[: None if self.most_leaves is None else self.most_leaves - self.leaves()]
-            for _, at in may:
-                node = self.nodes[at]
-                if node.children is None:
-                    low = lows[self.number, at]
-                    high = tuple(n - m for n, m in zip(node.counts, low))
-                    node.children = self.add(node.path + "l", low), self.add(node.path + "r", high)
-            if open_ := [c for _, at in may for c in self.nodes[at].children if not self.nodes[c].known]:
+            if not self.frontier or self.room() <= 0:
+                return []
+            if open_ := self.ahead(lows):
                 return open_
-        return []
+
+    def ahead(self, lows: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
+        """Unknown children of all nodes that may still be taken.
+
+        They are the first that would be taken if unknown nodes did not split: those that do can only put others off.
+        """
+        waiting, room, open_ = list(self.frontier), self.room(), []
+        while waiting and room > 0:
+            at = heapq.heappop(waiting)[-1]
+            room -= 1
+            node = self.nodes[at]
+            if node.children is None:
+                low = lows[self.number, at]
+                node.children = self.add(node.path + "l", low), self.add(node.path + "r", tuple(n - m for n, m in zip(node.counts, low)))
+            for c in node.children:
+                if not self.nodes[c].known:
+                    open_.append(c)
+                elif self.nodes[c].splits():
+                    heapq.heappush(waiting, self.turn(c))
+        return open_
 
     def arrays(self) -> tuple[np.ndarray, ...]:
         inner = [n.children is not None for n in self.nodes]
@@ -289,8 +311,10 @@ def best_splits(rows: DataFrame, trees: dict[int, Growing], wanted: dict[int, li
     fits = (low >= least) & (F.col("an0") + F.col("an1") - low >= least)
     splits = sums.filter(fits).withColumn("gain", gain).filter(F.col("gain") > 1e-9)
     best = splits.groupBy("t", "node").agg(F.max(F.struct("gain", (-F.col("c")).alias("c"), (-F.col("cell")).alias("cell"), "ln0", "ln1")).alias("s"))
-    return {(r["t"], r["node"]): (-r["s"]["c"], -r["s"]["cell"], r["s"]["gain"], (r["s"]["ln0"], r["s"]["ln1"]))
-            for r in best.collect()}  # one row a node
+    out = {(r["t"], r["node"]): (-r["s"]["c"], -r["s"]["cell"], r["s"]["gain"], (r["s"]["ln0"], r["s"]["ln1"]))
+           for r in best.collect()}  # one row a node
+    sent.unpersist()
+    return out
 
 
 def class_weights(counts: tuple[int, int], weight: str | dict | None) -> tuple[float, float]:

@@ -293,3 +293,13 @@ def test_awkward_tables(spark):
         trees.grow(rows, ["a"], "y", "k", class_weight="heavy")
     with pytest.raises(ValueError):
         trees.grow(rows, ["a"], "y", "k", most_leaves=1)
+
+
+@pytest.mark.parametrize("options", [{"max_depth": 5}, {"most_leaves": 12, "max_depth": 5}])
+def test_a_job_looks_at_a_whole_level(spark, monkeypatch, options):
+    jobs, looked = [], trees.best_splits
+    monkeypatch.setattr(trees, "best_splits", lambda *a, **k: jobs.append(1) or looked(*a, **k))
+    rows = spark.range(4000).selectExpr("id AS key", "hash(id) % 997 AS a", "hash(id, 1) % 991 AS b", "CAST(hash(id) % 997 + hash(id, 2) % 900 > 0 AS INT) AS y")
+    grown = trees.grow(rows, ["a", "b"], "y", "key", trees=3, bootstrap=True, least_rows=20, **options)
+    assert len(jobs) <= 5
+    assert all(t.leaves() > 4 and t.leaves() <= options.get("most_leaves", 32) for t in grown.trees)
