@@ -22,11 +22,7 @@ from prepline.session import cut_lineage, held
 BIN_PREFIX, REP_PREFIX, OTHER = "BIN_", "REP_", "_OTHER_"
 
 INLINE = 1_000
-
-
-def salts(spark: SparkSession) -> int:
-    """Parts a hot level is spread over: as many as the session shuffles to."""
-    return max(16, int(spark.conf.get("spark.sql.shuffle.partitions")))
+SALTS = 16  # parts a hot level is spread over, whatever the session shuffles to: the copies of a list grow with the list alone
 
 
 @dataclass(frozen=True)
@@ -75,10 +71,12 @@ class LevelSet:
 
 
 def look_up(df: DataFrame, column: str, table: DataFrame, value: str) -> DataFrame:
-    """Add ``value`` from a table of ``(level, value)``; rows of a hot level are spread over salted copies of its entry."""
-    parts = salts(df.sparkSession)
-    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(parts)).cast("int"))
-    entries = table.select(F.col("level").alias("__level"), value, F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("__s"))
+    """Add ``value`` from a table of ``(level, value)``; rows of a hot level are spread over salted copies of its entry.
+
+    Both sides are shuffled: Spark takes the copies for as small as the list and would collect them on the driver.
+    """
+    salted = df.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS)).cast("int"))
+    entries = table.select(F.col("level").alias("__level"), value, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__s")).hint("merge")
     same = F.col(f"`{column}`").cast("string").eqNullSafe(F.col("__level")) & (F.col("__salt") == F.col("__s"))
     return salted.join(entries, same, "left").drop("__salt", "__level", "__s")
 
