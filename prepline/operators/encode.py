@@ -6,8 +6,9 @@ import json
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field
 
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.ml.linalg import VectorUDT
+import numpy as np
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.linalg import SparseVector, Vector, VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,6 +37,22 @@ def dummies(name: str, levels: Sequence[str]) -> list[Column]:
     return [F.coalesce((c == v).cast("int"), F.lit(0)).alias(f"{name}_{v}") for v in levels[1:]]
 
 
+def sized(n: int) -> dict:
+    """What ``pyspark.ml`` reads of a vector column's size, without a name for every slot."""
+    return {"ml_attr": {"num_attrs": n}}
+
+
+def appended(*vectors: Vector) -> SparseVector:
+    """The vectors one after another, as one."""
+    at, places, values = 0, [], []
+    for v in vectors:
+        slots = v.indices if isinstance(v, SparseVector) else np.flatnonzero(v.toArray())
+        places.append(at + np.asarray(slots, np.int64))
+        values.append(v.values if isinstance(v, SparseVector) else v.toArray()[slots])
+        at += len(v)
+    return SparseVector(at, np.concatenate(places), np.concatenate(values))
+
+
 @dataclass(frozen=True)
 class LevelCodes:
     """Sorted levels without missing: literals for short lists, a table of ``(var, level, code)`` for long ones."""
@@ -149,13 +166,11 @@ class PrepModel:
         return df.select(*keep, target.alias(self.target), *columns)
 
     def _one_hot(self, df: DataFrame, column: str) -> DataFrame:
-        """The first level, unseen and missing take the place that the encoder leaves out."""
-        n = self.levels.sizes[column]
-        coded = self.levels.add(df, column, "__c").withColumn(
-            "__c", F.when(F.col("__c") > 0, F.col("__c") - 1).otherwise(n - 1).cast("double"))
-        size = df.sparkSession.createDataFrame([(float(n - 1),)], "__c double")
-        encoder = OneHotEncoder(inputCols=["__c"], outputCols=[f"{column}_levels"], dropLast=True).fit(size)
-        return encoder.transform(coded).drop("__c")
+        """The first level, unseen and missing have no entry."""
+        n = self.levels.sizes[column] - 1
+        coded = self.levels.add(df, column, "__c")
+        vector = F.udf(lambda c: SparseVector(n, [c - 1], [1.0]) if c else SparseVector(n, [], []), VectorUDT())
+        return coded.withColumn(f"{column}_levels", vector("__c").alias(f"{column}_levels", metadata=sized(n))).drop("__c")
 
     def features(self, df: DataFrame, keep: Sequence[str] = (), label: str = "label",
                  out: str = "features") -> DataFrame:
@@ -168,7 +183,13 @@ class PrepModel:
             *[(F.col(f"`{n}`") if isinstance(flat.schema[n].dataType, VectorUDT) else F.col(f"`{n}`").cast("double")).alias(s)
               for n, s in zip(names, safe)],
         )
-        return VectorAssembler(inputCols=safe, outputCol=out).transform(renamed).select(*keep, label, out)
+        if not self.levels.sizes:
+            return VectorAssembler(inputCols=safe, outputCol=out).transform(renamed).select(*keep, label, out)
+        short, long = safe[: len(names) - len(self.levels.sizes)], safe[len(names) - len(self.levels.sizes) :]
+        flat = VectorAssembler(inputCols=short, outputCol="__short").transform(renamed)
+        width = len(short) + sum(n - 1 for n in self.levels.sizes.values())
+        joined = F.udf(appended, VectorUDT())("__short", *long).alias(out, metadata=sized(width))
+        return flat.select(*keep, label, joined)
 
     def tables(self) -> dict[str, DataFrame]:
         return {} if self.levels.table is None else {"codes": self.levels.table}

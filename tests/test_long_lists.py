@@ -1,8 +1,11 @@
 """Long lists of levels: the look-up never collects their copies, and vectors over them stay sparse."""
 
 import pytest
+from pyspark.ml.linalg import SparseVector
 from pyspark.sql import functions as F
 
+from prepline.catalog import Catalog
+from prepline.operators.encode import fit_prep
 from prepline.operators.levels import ReplaceModel, level_set, look_up
 
 
@@ -31,3 +34,14 @@ def test_long_list_of_known_levels_is_exact(spark, rows):
     for r in model.transform(rows).collect():
         assert r["REP_c"] == (r["c"] if r["c"] in expected else "mode")
     known.unpersist()
+
+
+def test_long_vectors_carry_no_names_and_stay_sparse(spark):
+    rows = spark.range(40).select(F.col("id").alias("k"), (F.col("id") % 2).alias("y"), (F.col("id") * 0.5).alias("x"),
+                                  F.concat(F.lit("L"), F.col("id") % 20 + 10).alias("c"))
+    catalog = Catalog.of([("y", "TARGET", "BINARY"), ("x", "INPUT", "INTERVAL"), ("c", "INPUT", "NOMINAL")])
+    short, long = (fit_prep(rows, catalog, inline=n).features(rows, ["k"]) for n in (1000, 5))
+    assert long.schema["features"].metadata == {"ml_attr": {"num_attrs": 20}}
+    found = {r["k"]: r["features"] for r in long.collect()}
+    assert all(isinstance(v, SparseVector) for v in found.values())
+    assert found == {r["k"]: r["features"] for r in short.collect()}
