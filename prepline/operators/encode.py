@@ -69,7 +69,7 @@ class LevelCodes:
         if column in self.inline:
             position = F.array_position(F.lit(list(self.inline[column])), F.col(f"`{column}`").cast("string"))
             return df.withColumn(out, F.when(position > 0, position - 1))
-        return look_up(df, column, self.entries(column), "__code").withColumnRenamed("__code", out)
+        return look_up(df, column, self.entries(column), "__code", self.sizes[column]).withColumnRenamed("__code", out)
 
 
 def level_codes(df: DataFrame, columns: Sequence[str], inline: int = INLINE) -> LevelCodes:

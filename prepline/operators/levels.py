@@ -1,8 +1,8 @@
 """Rare levels, and levels that training never saw.
 
 A fitted list of levels is kept as literals while it is short. A longer one
-stays a table, and rows are looked up in it by a join whose hot levels are
-spread by a salt.
+stays a table, and rows are looked up in it by a join: a broadcast up to a counted
+size, and from there on a shuffle whose hot levels are spread by a salt.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from prepline.session import cut_lineage, held
 BIN_PREFIX, REP_PREFIX, OTHER = "BIN_", "REP_", "_OTHER_"
 
 INLINE = 1_000
+BROADCAST_LEVELS = 20_000  # up to so many entries, counted when they were fitted, a list is sent to every task
 SALTS = 16  # parts a hot level is spread over, whatever the session shuffles to: the copies of a list grow with the list alone
 
 
@@ -32,6 +33,7 @@ class LevelSet:
     inline: dict[str, tuple[str | None, ...]]
     table: DataFrame | None = None
     stored: tuple[str, ...] = ()
+    sizes: dict[str, int] = field(default_factory=dict)  # of the stored lists, where they are known
 
     @property
     def names(self) -> list[str]:
@@ -44,7 +46,7 @@ class LevelSet:
 
     def state(self) -> dict:
         """What fits in a line of text; the long lists are in ``tables``."""
-        return {"inline": self.inline, "stored": self.stored}
+        return {"inline": self.inline, "stored": self.stored, "sizes": self.sizes}
 
     def tables(self) -> dict[str, DataFrame]:
         return {} if self.table is None else {"levels": self.table}
@@ -53,7 +55,8 @@ class LevelSet:
     def from_state(cls, state: dict, tables: dict[str, DataFrame] | None = None) -> LevelSet:
         if state["stored"] and not (tables or {}).get("levels"):
             raise ValueError(f"the lists of {state['stored']} are in a table that was not given")
-        return cls({v: tuple(ls) for v, ls in state["inline"].items()}, (tables or {}).get("levels"), tuple(state["stored"]))
+        return cls({v: tuple(ls) for v, ls in state["inline"].items()}, (tables or {}).get("levels"), tuple(state["stored"]),
+                   state.get("sizes", {}))
 
     def mark(self, df: DataFrame, flags: dict[str, str]) -> DataFrame:
         """Add a boolean per column: is its value one of the fitted levels?"""
@@ -66,19 +69,23 @@ class LevelSet:
 
     def _lookup(self, df: DataFrame, column: str, flag: str) -> DataFrame:
         levels = self.table.filter(F.col("var") == column).select("level", F.lit(True).alias("__hit"))
-        joined = look_up(df, column, levels, "__hit")
+        joined = look_up(df, column, levels, "__hit", self.sizes.get(column))
         return joined.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce("__hit", F.lit(False)).alias(flag))
 
 
-def look_up(df: DataFrame, column: str, table: DataFrame, value: str) -> DataFrame:
-    """Add ``value`` from a table of ``(level, value)``; rows of a hot level are spread over salted copies of its entry.
+def look_up(df: DataFrame, column: str, table: DataFrame, value: str, n: int | None = None) -> DataFrame:
+    """Add ``value`` from a table of ``(level, value)`` with ``n`` entries.
 
-    Both sides are shuffled: Spark takes the copies for as small as the list and would collect them on the driver.
+    A table counted as small is broadcast as it is. Else rows of a hot level are spread over salted copies of its entry, and
+    both sides are shuffled: Spark takes the copies for as small as the list and would collect them on the driver.
     """
+    entries = table.select(F.col("level").alias("__level"), value)
+    same = F.col(f"`{column}`").cast("string").eqNullSafe(F.col("__level"))
+    if n is not None and n <= BROADCAST_LEVELS:
+        return df.join(F.broadcast(entries), same, "left").drop("__level")
     salted = df.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS)).cast("int"))
-    entries = table.select(F.col("level").alias("__level"), value, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("__s")).hint("merge")
-    same = F.col(f"`{column}`").cast("string").eqNullSafe(F.col("__level")) & (F.col("__salt") == F.col("__s"))
-    return salted.join(entries, same, "left").drop("__salt", "__level", "__s")
+    copies = entries.withColumn("__s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("merge")
+    return salted.join(copies, same & (F.col("__salt") == F.col("__s")), "left").drop("__salt", "__level", "__s")
 
 
 def member(column: Column, levels: Sequence[str | None]) -> Column:
@@ -102,7 +109,7 @@ def level_set(levels: DataFrame, inline: int = INLINE) -> LevelSet:
             found[r["var"]].append(r["level"])
     table = cut_lineage(levels.filter(F.col("var").isin(long)).select("var", "level")) if long else None
     ordered = {v: tuple(sorted(ls, key=lambda x: (x is None, x))) for v, ls in sorted(found.items())}
-    return LevelSet(ordered, table, tuple(sorted(long)))
+    return LevelSet(ordered, table, tuple(sorted(long)), {v: sizes[v] for v in sorted(long)})
 
 
 def rare_levels(df: DataFrame, columns: Sequence[str], threshold: float = 0.001) -> DataFrame:

@@ -45,3 +45,10 @@ def test_long_vectors_carry_no_names_and_stay_sparse(spark):
     found = {r["k"]: r["features"] for r in long.collect()}
     assert all(isinstance(v, SparseVector) for v in found.values())
     assert found == {r["k"]: r["features"] for r in short.collect()}
+
+
+def test_counted_lists_are_sent_without_copies(spark, rows):
+    table = rows.select(F.col("c").alias("level")).distinct().withColumn("v", F.lit(True))
+    found = look_up(rows, "c", table, "v", 50)
+    assert "Broadcast" in plan(found) and "sequence" not in plan(found) and "explode" not in plan(found)
+    assert found.count() == 2000 and found.filter("v").count() == 2000
