@@ -46,12 +46,18 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+def salted(*salt: int | np.ndarray) -> np.ndarray:
+    """What the salts, numbers or arrays of one shape or another, make of each other."""
+    seed = np.zeros(1, np.uint64)
+    for s in salt:
+        s = np.array([s % 2**64], np.uint64) if isinstance(s, int) else s.astype(np.uint64)
+        seed = mixed((seed ^ s) + np.uint64(0x9E3779B97F4A7C15))
+    return seed
+
+
 def uniforms(keys: np.ndarray, *salt: int) -> np.ndarray:
     """A number in [0, 1) for each key, another one for every salt."""
-    seed = np.uint64(0)
-    for s in salt:
-        seed = mixed(np.array([seed ^ np.uint64(s % 2**64)]) + np.uint64(0x9E3779B97F4A7C15))[0]
-    return (mixed(keys ^ seed) >> np.uint64(11)).astype(float) / 2.0**53
+    return (mixed(keys ^ salted(*salt)[0]) >> np.uint64(11)).astype(float) / 2.0**53
 
 
 @dataclass(frozen=True)
@@ -212,7 +218,7 @@ class NetSpec:
             state[name][:] = _MOMENTUM * state[name] + (1 - _MOMENTUM) * value
 
     def train(self, vector: np.ndarray, x: np.ndarray, codes: np.ndarray, y: np.ndarray, keys: np.ndarray, first: int, last: int) -> np.ndarray:
-        """The state after the epochs from ``first`` up to, not with, ``last`` over one shard."""
+        """The state after the epochs from ``first`` up to, not with, ``last`` over one shard, step by step; ``train_stack`` does the same for many nets."""
         vector = vector.copy()
         state, batches = self.unpack(vector), -(-len(y) // self.batch_size)
         for epoch in range(first, last):
@@ -225,6 +231,128 @@ class NetSpec:
         return vector
 
 
+    @cached_property
+    def kind(self) -> NetSpec:
+        """The net without what may differ between nets that are trained in one stack."""
+        return replace(self, dropout=0.0, l1=0.0, l2=0.0, learning_rate=1.0, seed=0)
+
+
+def train_stack(specs: Sequence[NetSpec], vectors: Sequence[np.ndarray], x: np.ndarray, codes: np.ndarray, y: np.ndarray, keys: np.ndarray,
+                first: int, last: int) -> np.ndarray:
+    """The states of nets of one kind after the epochs from ``first`` up to, not with, ``last`` over one shard.
+
+    A step is taken by all nets at once, in arrays with a net in front; what a net does depends on no other.
+    """
+    one, nets, n = specs[0].kind, len(specs), len(y)
+    size, batches, depth = one.batch_size, -(-n // one.batch_size), len(one.layer_units)
+    act, slope_of = ACTIVATIONS[one.activation]
+    whole = np.stack(vectors)
+    state = {name: whole[:, p].reshape(nets, *one.shapes[name]) for name, p in one.places.items()}
+    dense, adam = [name for name in one.trained if name[0] != "e"], one.optimizer == "adam"
+    ends = np.cumsum([0, *[int(np.prod(one.shapes[name])) for name in dense]])
+    gather = lambda prefix: np.concatenate([state[prefix + name].reshape(nets, -1) for name in dense], axis=1)
+    flat, slope = gather(""), np.zeros((nets, ends[-1]))
+    means, squares = (gather("m_"), gather("v_")) if adam else (None, None)
+    own = lambda a: {name: a[:, low:high].reshape(nets, *one.shapes[name]) for name, low, high in zip(dense, ends, ends[1:])}
+    w, g = own(flat), own(slope)
+    tables = {c: [state[f"{p}e{c}"].reshape(-1, one.embed_dim).copy() for p in (("", "m_", "v_") if adam else ("",))] for c in range(one.embed)}
+    column = lambda name: np.array([[getattr(s, name)] for s in specs])
+    rate, l1, l2, drop, t = column("learning_rate"), column("l1")[:, None], column("l2")[:, None], column("dropout")[:, None], state["t"].copy()
+    penal, first_bucket = bool(l1.any() or l2.any()), (np.arange(nets) * one.buckets)[:, None]
+    seeds = sorted({s.seed for s in specs})
+    turn = np.array([seeds.index(s.seed) for s in specs])
+    units = [(i, j) for i, m in enumerate(one.layer_units) for j in range(m)]
+    edges = np.cumsum([0, *one.layer_units])
+
+    def drawn(seed: int, epoch: int) -> tuple[np.ndarray, np.ndarray | None]:
+        """Rows in the order of the epoch, and a number in [0, 1) for each of them and each unit."""
+        order = np.argsort(uniforms(keys, seed, epoch), kind="stable")
+        if not drop.any():
+            return order, None
+        layer, unit = (np.array([u[k] for u in units])[None, :] for k in (0, 1))
+        steps = salted(seed, (epoch * batches + np.arange(batches))[:, None], layer, unit)
+        return order, (mixed(keys[order][:, None] ^ steps[np.arange(n) // size]) >> np.uint64(11)).astype(float) / 2.0**53
+
+    def moved(value: np.ndarray, m: np.ndarray, v: np.ndarray, slopes: np.ndarray, t: np.ndarray, rate: np.ndarray) -> tuple[np.ndarray, ...]:
+        m, v = _BETA1 * m + (1 - _BETA1) * slopes, _BETA2 * v + (1 - _BETA2) * slopes * slopes
+        return value - rate * ((m / (1 - _BETA1**t)) / (np.sqrt(v / (1 - _BETA2**t)) + _ADAM_EPS)), m, v
+
+    for epoch in range(first, last):
+        draws = [drawn(seed, epoch) for seed in seeds]
+        same = len(seeds) == 1
+        order = np.stack([draws[k][0] for k in ([0] if same else turn)])  # one order where all nets have the same
+        xs, ys = x[order], y[order]
+        cs = codes[np.broadcast_to(order, (nets, n))] if one.embed else None
+        masks = None
+        if drop.any():
+            masks = (np.stack([draws[k][1] for k in ([0] if same else turn)]) >= drop) / (1.0 - drop)
+        for b in range(batches):
+            at = slice(b * size, (b + 1) * size)
+            a, label, rows = xs[:, at], ys[:, at], min(size, n - b * size)
+            if one.embed:
+                places = [cs[:, at, c] + first_bucket for c in range(one.embed)]
+                a = np.concatenate([*[tables[c][0][places[c]] for c in range(one.embed)], np.broadcast_to(a, (nets, *a.shape[1:]))], axis=2)
+            kept = []
+            for i in range(depth + 1):
+                raw, spread = a @ w[f"w{i}"], None
+                if one.batch_norm:
+                    mean = raw.sum(axis=1, keepdims=True) / rows
+                    raw = raw - mean
+                    var = (raw * raw).sum(axis=1, keepdims=True) / rows
+                    spread = np.sqrt(var + _EPS)
+                    raw = raw / spread
+                    for name, value in ((f"mean{i}", mean), (f"var{i}", var)):
+                        state[name][:] = _MOMENTUM * state[name] + (1 - _MOMENTUM) * value[:, 0]
+                    z = raw * w[f"g{i}"][:, None] + w[f"b{i}"][:, None]
+                else:
+                    z = raw + w[f"b{i}"][:, None]
+                mask = None if masks is None or i == depth else masks[:, at, edges[i] : edges[i + 1]]
+                out = None if i == depth else act(z)
+                kept.append((a, raw, spread, z, out, mask))
+                a = out if mask is None else out * mask
+            down = ((ACTIVATIONS["sigmoid"][0](kept[-1][3][:, :, 0]) - label) / rows)[:, :, None]
+            for i in range(depth, -1, -1):
+                a, raw, spread, z, out, mask = kept[i]
+                if i < depth:
+                    down = (down if mask is None else down * mask) * slope_of(z, out)
+                g[f"b{i}"][:] = down.sum(axis=1)
+                if one.batch_norm:
+                    g[f"g{i}"][:] = (down * raw).sum(axis=1)
+                    inner = down * w[f"g{i}"][:, None]
+                    down = (inner - inner.sum(axis=1, keepdims=True) / rows - raw * ((inner * raw).sum(axis=1, keepdims=True) / rows)) / spread
+                g[f"w{i}"][:] = a.transpose(0, 2, 1) @ down
+                if penal:
+                    g[f"w{i}"][:] += l1 * np.sign(w[f"w{i}"]) + 2 * l2 * w[f"w{i}"]
+                if i or one.embed:
+                    down = down @ w[f"w{i}"].transpose(0, 2, 1)
+            t += 1
+            for c in range(one.embed):  # embeddings move only where the batch has rows
+                part = down[:, :, c * one.embed_dim : (c + 1) * one.embed_dim]
+                cell = places[c][:, :, None] * one.embed_dim + np.arange(one.embed_dim)
+                slopes = np.bincount(cell.ravel(), part.ravel(), nets * one.buckets * one.embed_dim).reshape(-1, one.embed_dim)
+                hit = np.flatnonzero(np.bincount(places[c].ravel(), minlength=nets * one.buckets))
+                net_of = hit // one.buckets
+                if adam:
+                    found = moved(*[v[hit] for v in tables[c]], slopes[hit], t[net_of], rate[net_of])
+                    for kept_, value in zip(tables[c], found):
+                        kept_[hit] = value
+                else:
+                    tables[c][0][hit] -= rate[net_of] * slopes[hit]
+            if adam:
+                flat[:], means, squares = moved(flat, means, squares, slope, t, rate)
+            else:
+                flat -= rate * slope
+    state["t"][:] = t
+    for prefix, values in (("", flat), ("m_", means), ("v_", squares)):
+        if values is not None:
+            for name, value in own(values).items():
+                state[prefix + name][:] = value
+    for c, found in tables.items():
+        for prefix, value in zip(("", "m_", "v_"), found):
+            state[f"{prefix}e{c}"][:] = value.reshape(nets, *one.shapes[f"e{c}"])
+    return whole
+
+
 @dataclass(frozen=True)
 class NetModel:
     spec: NetSpec
@@ -277,6 +405,20 @@ def pack_shards(rows: DataFrame, key: str, label: str, n_rows: int, copies: int,
     return packed.repartitionByRange(shards * copies, "place"), shards
 
 
+def stacks(open_: dict[int, tuple[Run, np.ndarray]], copies: int, copy: int) -> list[tuple[int | None, list[tuple[int, Run, np.ndarray]]]]:
+    """The nets that a copy of a shard trains: as many as the other copies do, in stacks of one kind that leave out the same fold."""
+    order: dict = {}
+    for i, (one, vector) in sorted(open_.items()):
+        order.setdefault((one.spec.kind, one.without_fold), []).append((i, one, vector))
+    out, j = [], 0
+    for (_, without_fold), nets in order.items():
+        own = [net for k, net in enumerate(nets, j) if k * copies // len(open_) == copy]
+        j += len(nets)
+        if own:
+            out.append((without_fold, own))
+    return out
+
+
 def train_runs(packed: DataFrame, copies: int, runs: Sequence[Run], sync: int = SYNC_EPOCHS) -> list[list[NetModel]]:
     """For every run the nets after each of its epochs. ``packed`` should be held: each job reads it."""
     states = [r.spec.start() for r in runs]
@@ -292,19 +434,21 @@ def train_runs(packed: DataFrame, copies: int, runs: Sequence[Run], sync: int =
                 for r in batch.itertuples():
                     y, h, fold = np.frombuffer(r.y), np.frombuffer(r.h, np.int64).view(np.uint64), np.frombuffer(r.fold, np.int32)
                     x, codes = np.frombuffer(r.x).reshape(r.n, -1), np.frombuffer(r.codes, np.int32).reshape(r.n, -1)
-                    for j, (i, (one, vector)) in enumerate(sorted(sent.value.items())):
-                        seen = np.flatnonzero(fold != one.without_fold) if one.without_fold is not None else np.arange(r.n)
-                        if j % copies != r.place % copies or not len(seen):
+                    for without_fold, own in stacks(sent.value, copies, r.place % copies):
+                        seen = np.flatnonzero(fold != without_fold) if without_fold is not None else np.arange(r.n)
+                        if not len(seen):
                             continue
-                        out = one.spec.train(vector, x[seen], codes[seen], y[seen], h[seen], first, last)
-                        weight = np.full(len(out), float(len(seen)))
-                        for c in range(one.spec.embed):  # buckets without rows are not sent
-                            often = np.repeat(np.bincount(codes[seen, c], minlength=one.spec.buckets).astype(float), one.spec.embed_dim)
-                            for name in (f"e{c}", f"m_e{c}", f"v_e{c}"):
-                                if name in one.spec.places:
-                                    weight[one.spec.places[name]] = often
-                        some = np.flatnonzero(weight)
-                        yield pd.DataFrame({"run": i, "at": some, "value": out[some] * weight[some], "weight": weight[some]})
+                        specs = [one.spec for _, one, _ in own]
+                        outs = train_stack(specs, [vector for _, _, vector in own], x[seen], codes[seen], y[seen], h[seen], first, last)
+                        for (i, one, _), out in zip(own, outs):
+                            weight = np.full(len(out), float(len(seen)))
+                            for c in range(one.spec.embed):  # buckets without rows are not sent
+                                often = np.repeat(np.bincount(codes[seen, c], minlength=one.spec.buckets).astype(float), one.spec.embed_dim)
+                                for name in (f"e{c}", f"m_e{c}", f"v_e{c}"):
+                                    if name in one.spec.places:
+                                        weight[one.spec.places[name]] = often
+                            some = np.flatnonzero(weight)
+                            yield pd.DataFrame({"run": i, "at": some, "value": out[some] * weight[some], "weight": weight[some]})
 
         parts = packed.mapInPandas(run, "run int, at int, value double, weight double")
         exact = F.sum(F.col("value").cast("decimal(38,20)")).cast("double")
