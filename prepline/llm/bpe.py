@@ -32,8 +32,9 @@ from prepline.llm.text import blocks, mix64, whole
 LONGEST = 256
 _BUCKETS = (2, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, LONGEST)
 _NONE = np.int32(2**31 - 1)
-_CELLS = 4_000_000  # of one matrix
-_KNOWN = 400_000  # pieces remembered between blocks
+_CELLS = 500_000  # of one matrix; each takes some sixty bytes while pairs are looked up
+_KNOWN = 100_000  # pieces remembered between blocks
+BLOCK = 1_000_000  # characters cut into pieces at once
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -223,7 +224,7 @@ def encode_documents(docs: DataFrame, encoder: Encoder, doc_id: str = "doc_id",
     sent = docs.sparkSession.sparkContext.broadcast(encoder)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for block in blocks(batches, "__text"):
+        for block in blocks(batches, "__text", BLOCK):
             ids = sent.value.encode(block["__text"].tolist())
             yield pd.DataFrame({"__id": block["__id"], "ids": [np.frombuffer(i, "<u4").astype(np.int32) for i in ids]})
 
@@ -251,7 +252,7 @@ def round_trip_digests(docs: DataFrame, encoder: Encoder, doc_id: str = "doc_id"
     sent = docs.sparkSession.sparkContext.broadcast(encoder)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for block in blocks(batches, "__text"):
+        for block in blocks(batches, "__text", BLOCK):
             ids = sent.value.encode(block["__text"].tolist())
             yield pd.DataFrame({
                 "__id": block["__id"], "n_tokens": [len(i) // 4 for i in ids],
