@@ -8,7 +8,7 @@ from prepline.plans.queries import QUERIES
 FOLDER = "/root/testdata/sf0.01"
 
 
-@pytest.mark.parametrize("name", ["levels_roundtrip", "replacement_test"])
+@pytest.mark.parametrize("name", ["levels_roundtrip", "replacement_test", "replacement_train"])
 def test_long_list_is_shuffled(spark, monkeypatch, name):
     expected = {tuple(r) for r in QUERIES[name](spark, FOLDER).collect()}
     monkeypatch.setattr(levels, "BROADCAST_LEVELS", 100)
