@@ -241,7 +241,7 @@ def train_stack(specs: Sequence[NetSpec], vectors: Sequence[np.ndarray], x: np.n
                 first: int, last: int) -> np.ndarray:
     """The states of nets of one kind after the epochs from ``first`` up to, not with, ``last`` over one shard.
 
-    A step is taken by all nets at once, in arrays with a net in front; what a net does depends on no other.
+    A step is taken by all nets at once, in arrays with a net in front and the rows last; what a net does depends on no other.
     """
     one, nets, n = specs[0].kind, len(specs), len(y)
     size, batches, depth = one.batch_size, -(-n // one.batch_size), len(one.layer_units)
@@ -249,107 +249,135 @@ def train_stack(specs: Sequence[NetSpec], vectors: Sequence[np.ndarray], x: np.n
     whole = np.stack(vectors)
     state = {name: whole[:, p].reshape(nets, *one.shapes[name]) for name, p in one.places.items()}
     dense, adam = [name for name in one.trained if name[0] != "e"], one.optimizer == "adam"
-    ends = np.cumsum([0, *[int(np.prod(one.shapes[name])) for name in dense]])
-    gather = lambda prefix: np.concatenate([state[prefix + name].reshape(nets, -1) for name in dense], axis=1)
-    flat, slope = gather(""), np.zeros((nets, ends[-1]))
-    means, squares = (gather("m_"), gather("v_")) if adam else (None, None)
-    own = lambda a: {name: a[:, low:high].reshape(nets, *one.shapes[name]) for name, low, high in zip(dense, ends, ends[1:])}
-    w, g = own(flat), own(slope)
-    tables = {c: [state[f"{p}e{c}"].reshape(-1, one.embed_dim).copy() for p in (("", "m_", "v_") if adam else ("",))] for c in range(one.embed)}
+    running = [name for name in state if name.startswith(("mean", "var"))]
+
+    def flat_of(names: Sequence[str], prefix: str = "") -> np.ndarray:
+        return np.concatenate([state[prefix + name].reshape(nets, -1) for name in names], axis=1)
+
+    def parts_of(flat: np.ndarray, names: Sequence[str]) -> dict[str, np.ndarray]:
+        ends = np.cumsum([0, *[int(np.prod(one.shapes[name])) for name in names]])
+        return {name: flat[:, low:high].reshape(nets, *one.shapes[name]) for name, low, high in zip(names, ends, ends[1:])}
+
+    flat = flat_of(dense)
+    slope = np.zeros_like(flat)
+    means, squares = (flat_of(dense, "m_"), flat_of(dense, "v_")) if adam else (None, None)
+    w, g = parts_of(flat, dense), parts_of(slope, dense)
+    if running:
+        pace = flat_of(running)
+        met = np.zeros_like(pace)  # the batch's own means and variances
+        stats = parts_of(met, running)
     column = lambda name: np.array([[getattr(s, name)] for s in specs])
     rate, l1, l2, drop, t = column("learning_rate"), column("l1")[:, None], column("l2")[:, None], column("dropout")[:, None], state["t"].copy()
-    penal, first_bucket = bool(l1.any() or l2.any()), (np.arange(nets) * one.buckets)[:, None]
+    penal = bool(l1.any() or l2.any())
     seeds = sorted({s.seed for s in specs})
     turn = np.array([seeds.index(s.seed) for s in specs])
     units = [(i, j) for i, m in enumerate(one.layer_units) for j in range(m)]
     edges = np.cumsum([0, *one.layer_units])
+    # the buckets that the shard holds, of all columns one after the other, net by net, as one table
+    lead, dim = one.embed * one.embed_dim, one.embed_dim
+    held_by = [np.unique(codes[:, c], return_inverse=True) for c in range(one.embed)]
+    from_ = np.cumsum([0, *[len(found) for found, _ in held_by]])
+    own_buckets = int(from_[-1])
+    cells = np.stack([inverse + low for (_, inverse), low in zip(held_by, from_)]) * dim if one.embed else None
+    kinds = ("", "m_", "v_") if adam else ("",)
+    tables = [np.concatenate([state[f"{k}e{c}"][:, found] for c, (found, _) in enumerate(held_by)], axis=1).reshape(-1, dim) for k in kinds] if one.embed else []
+    first_cell, within = (np.arange(nets) * own_buckets * dim)[:, None, None], np.arange(dim)[:, None]
 
     def drawn(seed: int, epoch: int) -> tuple[np.ndarray, np.ndarray | None]:
-        """Rows in the order of the epoch, and a number in [0, 1) for each of them and each unit."""
+        """Rows in the order of the epoch, and a number in [0, 1) for each unit and each of them."""
         order = np.argsort(uniforms(keys, seed, epoch), kind="stable")
         if not drop.any():
             return order, None
-        layer, unit = (np.array([u[k] for u in units])[None, :] for k in (0, 1))
-        steps = salted(seed, (epoch * batches + np.arange(batches))[:, None], layer, unit)
-        return order, (mixed(keys[order][:, None] ^ steps[np.arange(n) // size]) >> np.uint64(11)).astype(float) / 2.0**53
+        layer, unit = (np.array([u[k] for u in units])[:, None] for k in (0, 1))
+        steps = salted(seed, (epoch * batches + np.arange(batches))[None, :], layer, unit)
+        return order, (mixed(keys[order] ^ np.repeat(steps, size, axis=1)[:, :n]) >> np.uint64(11)).astype(float) / 2.0**53
 
     def moved(value: np.ndarray, m: np.ndarray, v: np.ndarray, slopes: np.ndarray, t: np.ndarray, rate: np.ndarray) -> tuple[np.ndarray, ...]:
         m, v = _BETA1 * m + (1 - _BETA1) * slopes, _BETA2 * v + (1 - _BETA2) * slopes * slopes
         return value - rate * ((m / (1 - _BETA1**t)) / (np.sqrt(v / (1 - _BETA2**t)) + _ADAM_EPS)), m, v
 
+    along, labels = np.ascontiguousarray(x.T), y  # rows come last: what is done to a unit runs along them
     for epoch in range(first, last):
         draws = [drawn(seed, epoch) for seed in seeds]
-        same = len(seeds) == 1
-        order = np.stack([draws[k][0] for k in ([0] if same else turn)])  # one order where all nets have the same
-        xs, ys = x[order], y[order]
-        cs = codes[np.broadcast_to(order, (nets, n))] if one.embed else None
+        shown = [0] if len(seeds) == 1 else turn  # one order where all nets have the same
+        xs, ys = np.stack([along[:, draws[k][0]] for k in shown]), np.stack([labels[draws[k][0]] for k in shown])
+        cs = np.stack([cells[:, draws[k][0]] for k in turn]) + first_cell if one.embed else None
         masks = None
         if drop.any():
-            masks = (np.stack([draws[k][1] for k in ([0] if same else turn)]) >= drop) / (1.0 - drop)
+            masks = (np.stack([draws[k][1] for k in shown]) >= drop) / (1.0 - drop)
         for b in range(batches):
             at = slice(b * size, (b + 1) * size)
-            a, label, rows = xs[:, at], ys[:, at], min(size, n - b * size)
+            a, label, rows = xs[:, :, at], ys[:, None, at], min(size, n - b * size)
             if one.embed:
-                places = [cs[:, at, c] + first_bucket for c in range(one.embed)]
-                a = np.concatenate([*[tables[c][0][places[c]] for c in range(one.embed)], np.broadcast_to(a, (nets, *a.shape[1:]))], axis=2)
+                places = cs[:, :, at]
+                spots, numbers = places[:, :, None] + within, a  # net, column, component, row
+                a = np.empty((nets, one.sizes[0], rows))
+                a[:, :lead] = tables[0].take(spots).reshape(nets, lead, rows)
+                a[:, lead:] = numbers
             kept = []
             for i in range(depth + 1):
-                raw, spread = a @ w[f"w{i}"], None
+                raw, spread = w[f"w{i}"].transpose(0, 2, 1) @ a, None
                 if one.batch_norm:
-                    mean = raw.sum(axis=1, keepdims=True) / rows
-                    raw = raw - mean
-                    var = (raw * raw).sum(axis=1, keepdims=True) / rows
+                    mean = np.add.reduce(raw, axis=2, keepdims=True) / rows
+                    raw -= mean
+                    var = np.add.reduce(raw * raw, axis=2, keepdims=True) / rows
                     spread = np.sqrt(var + _EPS)
-                    raw = raw / spread
-                    for name, value in ((f"mean{i}", mean), (f"var{i}", var)):
-                        state[name][:] = _MOMENTUM * state[name] + (1 - _MOMENTUM) * value[:, 0]
-                    z = raw * w[f"g{i}"][:, None] + w[f"b{i}"][:, None]
+                    raw /= spread
+                    stats[f"mean{i}"][:], stats[f"var{i}"][:] = mean[:, :, 0], var[:, :, 0]
+                    z = raw * w[f"g{i}"][:, :, None]
+                    z += w[f"b{i}"][:, :, None]
                 else:
-                    z = raw + w[f"b{i}"][:, None]
-                mask = None if masks is None or i == depth else masks[:, at, edges[i] : edges[i + 1]]
+                    z = raw + w[f"b{i}"][:, :, None]
+                mask = None if masks is None or i == depth else masks[:, edges[i] : edges[i + 1], at]
                 out = None if i == depth else act(z)
                 kept.append((a, raw, spread, z, out, mask))
                 a = out if mask is None else out * mask
-            down = ((ACTIVATIONS["sigmoid"][0](kept[-1][3][:, :, 0]) - label) / rows)[:, :, None]
+            down = (ACTIVATIONS["sigmoid"][0](kept[-1][3]) - label) / rows
             for i in range(depth, -1, -1):
                 a, raw, spread, z, out, mask = kept[i]
                 if i < depth:
                     down = (down if mask is None else down * mask) * slope_of(z, out)
-                g[f"b{i}"][:] = down.sum(axis=1)
+                shift = np.add.reduce(down, axis=2, keepdims=True)
+                g[f"b{i}"][:] = shift[:, :, 0]
                 if one.batch_norm:
-                    g[f"g{i}"][:] = (down * raw).sum(axis=1)
-                    inner = down * w[f"g{i}"][:, None]
-                    down = (inner - inner.sum(axis=1, keepdims=True) / rows - raw * ((inner * raw).sum(axis=1, keepdims=True) / rows)) / spread
-                g[f"w{i}"][:] = a.transpose(0, 2, 1) @ down
+                    turned = np.add.reduce(down * raw, axis=2, keepdims=True)
+                    g[f"g{i}"][:] = turned[:, :, 0]
+                    down = down - shift / rows  # the mean and the spread of the batch move with the weights too
+                    down -= raw * (turned / rows)
+                    down *= w[f"g{i}"][:, :, None] / spread
+                g[f"w{i}"][:] = a @ down.transpose(0, 2, 1)
                 if penal:
                     g[f"w{i}"][:] += l1 * np.sign(w[f"w{i}"]) + 2 * l2 * w[f"w{i}"]
-                if i or one.embed:
-                    down = down @ w[f"w{i}"].transpose(0, 2, 1)
+                if i:
+                    down = w[f"w{i}"] @ down
+                elif one.embed:
+                    down = w["w0"][:, :lead] @ down
             t += 1
-            for c in range(one.embed):  # embeddings move only where the batch has rows
-                part = down[:, :, c * one.embed_dim : (c + 1) * one.embed_dim]
-                cell = places[c][:, :, None] * one.embed_dim + np.arange(one.embed_dim)
-                slopes = np.bincount(cell.ravel(), part.ravel(), nets * one.buckets * one.embed_dim).reshape(-1, one.embed_dim)
-                hit = np.flatnonzero(np.bincount(places[c].ravel(), minlength=nets * one.buckets))
-                net_of = hit // one.buckets
+            if one.embed:  # embeddings move only where the batch has rows
+                slopes = np.bincount(spots.ravel(), down.ravel(), nets * own_buckets * dim).reshape(-1, dim)
+                hit = np.flatnonzero(np.bincount(places.ravel(), minlength=nets * own_buckets * dim)[::dim])
+                net_of = hit // own_buckets
                 if adam:
-                    found = moved(*[v[hit] for v in tables[c]], slopes[hit], t[net_of], rate[net_of])
-                    for kept_, value in zip(tables[c], found):
+                    found = moved(*[v.take(hit, axis=0) for v in tables], slopes.take(hit, axis=0), t[net_of], rate[net_of])
+                    for kept_, value in zip(tables, found):
                         kept_[hit] = value
                 else:
-                    tables[c][0][hit] -= rate[net_of] * slopes[hit]
+                    tables[0][hit] -= rate[net_of] * slopes[hit]
+            if running:
+                pace = _MOMENTUM * pace + (1 - _MOMENTUM) * met
             if adam:
                 flat[:], means, squares = moved(flat, means, squares, slope, t, rate)
             else:
                 flat -= rate * slope
     state["t"][:] = t
-    for prefix, values in (("", flat), ("m_", means), ("v_", squares)):
+    for prefix, values, names in (("", flat, dense), ("m_", means, dense), ("v_", squares, dense), ("", pace if running else None, running)):
         if values is not None:
-            for name, value in own(values).items():
+            for name, value in parts_of(values, names).items():
                 state[prefix + name][:] = value
-    for c, found in tables.items():
-        for prefix, value in zip(("", "m_", "v_"), found):
-            state[f"{prefix}e{c}"][:] = value.reshape(nets, *one.shapes[f"e{c}"])
+    for k, table in zip(kinds, tables):
+        table = table.reshape(nets, own_buckets, dim)
+        for c, (found, _) in enumerate(held_by):
+            state[f"{k}e{c}"][:, found] = table[:, from_[c] : from_[c + 1]]
     return whole
 
 
