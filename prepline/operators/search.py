@@ -144,16 +144,15 @@ def logit_search(train: DataFrame, test: DataFrame, key: str, label: str = "labe
     model_metric(metric)
     cs, width, scans = log_grid(*c_grid), _width(train), None
     arrays = [label, vector_to_array("features").alias("__x")]
-    with held(train.select(*arrays) if width <= WIDEST else train.select(label, "features")) as rows, \
-            held(test.select(key, *arrays, "features")) as valid:
+    with held(train.select(*arrays) if width <= WIDEST else train.select(label, "features")) as rows:
         if width <= WIDEST:
             path = fit_path(rows, label, "__x", cs, width, max_iter)
             models, scans = path.models, path.scans
-            wide, names = score_path(valid, "__x", models, [key, label])
+            wide, names = score_path(test.select(key, *arrays), "__x", models, [key, label])  # read once, for the scores are held
         else:  # curvatures would be too large to gather
             n_rows = rows.count()
             models = _fit_all(lambda c: logit_model(c, n_rows, max_iter).setLabelCol(label).fit(rows), cs, parallelism)
-            wide, names = _score_all(valid, models, [key, label])
+            wide, names = _score_all(test.select(key, label, "features"), models, [key, label])
         with held(wide) as measured:  # else every pass would apply all models again
             scores = _measure(measured, names, label, key, metric, depth)
             at = _first_best(scores)

@@ -12,7 +12,7 @@ import uuid
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.functions import vector_to_array
@@ -32,6 +32,7 @@ from prepline.operators.fit_state import FitState, StateBook, close_ranks, measu
 from prepline.operators.impute import ImputeModel, fit_impute
 from prepline.operators.levels import ReplaceModel, fit_group_rare, fit_replace, level_set, new_levels, rare_levels
 from prepline.operators.lift import cum_lift, gain_curve, gain_grid, gain_midpoints, hits_at_depth, lift_value
+from prepline.operators.logit_path import chances, design
 from prepline.operators.profile import distinct_levels, level_profile, missing_profile, modes, one_row_per_column
 from prepline.operators.net import NetModel
 from prepline.operators.quantiles import KNOTS, quantiles, quantiles_approx
@@ -887,17 +888,21 @@ def logit_validation(spark, folder):
 def _slopes(train: DataFrame, models, cs) -> list[float]:
     """For each fit the largest derivative of the mean loss plus the ridge penalty, in units of its column, whose mean size divides it."""
     weights = np.array([[*m.coefficients, m.intercept] for m in models])
+    width = weights.shape[1]
 
     def run(batches):
+        total = 0.0
         for batch in batches:
-            x = np.column_stack([np.stack(batch["x"].to_list()), np.ones(len(batch))])
-            e = 1.0 / (1.0 + np.exp(-(x @ weights.T))) - batch["label"].to_numpy()[:, None]
-            yield pd.DataFrame({"n": [len(x)], "size": [np.abs(x).sum(axis=0)], "slope": [(e.T @ x).ravel()]})
-
-    rows = train.select("label", vector_to_array("features").alias("x"))
-    parts = rows.mapInPandas(run, "n bigint, size array<double>, slope array<double>")
-    add = lambda c: parts.select(F.posexplode(c).alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v")).orderBy("i").toPandas()["v"].to_numpy()
-    n, size, slope = parts.agg(F.sum("n")).first()[0], add("size"), add("slope").reshape(weights.shape)
+            x = design(batch.column(1), width - 1)
+            e = chances(x, weights) - batch.column(0).to_numpy(zero_copy_only=False)[:, None]
+            total = total + np.concatenate([[len(x)], np.abs(x).sum(axis=0), (e.T @ x).ravel()])
+        if np.ndim(total):
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["place", "value"])
+
+    rows = train.select(F.col("label").cast("double"), vector_to_array("features"))
+    found = rows.mapInArrow(run, "place bigint, value double").groupBy("place").agg(F.sum("value").alias("value")).toPandas()
+    sums = found.sort_values("place")["value"].to_numpy()  # one pass; rows, sizes, slopes
+    n, size, slope = sums[0], sums[1 : width + 1], sums[width + 1 :].reshape(weights.shape)
     penalty = np.column_stack([weights[:, :-1], np.zeros(len(weights))]) / (np.array(cs)[:, None] * n)
     return np.abs((slope / n + penalty) / (1.0 + size / n)).max(axis=1).tolist()
 
@@ -963,8 +968,8 @@ def _net_forward(model, features: str = "features", codes: str = "codes") -> Col
 def _net_rows(found, test: DataFrame, least_score: float) -> DataFrame:
     """Every row predicted: the probability against a forward pass of the best net, its class, and that the best net has learnt."""
     best = found.models[found.best()]
-    both = found.predictions.join(test.drop("label"), KEY)
-    return both.select(KEY, (F.abs(F.col("p1") - _net_forward(best)) < 1e-9).alias("p1_ok"),
+    both = found.predictions.join(test.select(KEY, _net_forward(best).alias("expected")), KEY)  # rows move without their vectors
+    return both.select(KEY, (F.abs(F.col("p1") - F.col("expected")) < 1e-9).alias("p1_ok"),
                        (F.col("predicted") == (F.col("p1") > 0.5).cast("int")).alias("label_ok"), F.lit(found.scores[found.best()] > least_score).alias("learns"))
 
 
@@ -1113,8 +1118,8 @@ def logit_arm(spark, folder):
     flat = _slopes(train, [found.model], [found.best_c])[0] < 1e-3
     weights = F.lit([float(w) for w in found.model.coefficients])
     margin = F.aggregate(F.zip_with(vector_to_array("features"), weights, lambda a, b: a * b), F.lit(float(found.model.intercept)), lambda s, v: s + v)
-    rows = found.predictions.join(test.select(KEY, "features"), KEY)
-    return rows.select(KEY, (F.abs(F.col("p1") - 1 / (1 + F.exp(-margin))) < 1e-9).alias("p1_ok"),
+    rows = found.predictions.join(test.select(KEY, (1 / (1 + F.exp(-margin))).alias("expected")), KEY)  # rows move without their vectors
+    return rows.select(KEY, (F.abs(F.col("p1") - F.col("expected")) < 1e-9).alias("p1_ok"),
                        (F.col("predicted") == (1 - F.col("p1") < found.threshold).cast("int")).alias("label_ok"), F.lit(flat).alias("flat"))
 
 
