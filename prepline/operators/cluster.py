@@ -9,12 +9,11 @@ another cluster follow from the entries between the two.
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,19 +22,36 @@ from prepline.operators.profile import one_row_per_column
 
 METHODS = ("VariationProportion", "MaxEigenvalue")
 _DIGITS = 10  # loadings that agree this far count as equal
+_CONSTANT = 1e-12  # a variance up to this is that of a constant column
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
-    """Pearson correlations from one pass; only sums of products leave the tasks.
+    """Pearson correlations from a pass for the means and one for the products of deviations; only sums leave the tasks.
 
-    A constant column correlates with nothing.
+    A constant column correlates with nothing. Missing values raise an error.
     """
     columns = list(columns)
-    safe = [f"f{i}" for i in range(len(columns))]
+    safe, width = [f"f{i}" for i in range(len(columns))], len(columns)
     wide = df.select(*[F.col(f"`{c}`").cast("double").alias(s) for c, s in zip(columns, safe)])
-    vectors = VectorAssembler(inputCols=safe, outputCol="v", handleInvalid="error").transform(wide).select("v")
-    found = Correlation.corr(vectors, "v").first()[0].toArray()
-    found = np.nan_to_num(found, nan=0.0)
+    n, present, means = wide.agg(F.count(F.lit(1)), F.array(*[F.count(F.nanvl(s, F.lit(None).cast("double"))) for s in safe]),
+                                 F.array(*[F.avg(s) for s in safe])).first()
+    if min(present, default=n) < n:
+        raise ValueError("missing values cannot be correlated")
+    if n < 2:
+        raise ValueError("correlations need two rows")
+    centre = np.array(means)[:, None]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((width, width))
+        for batch in batches:
+            x = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]) - centre
+            total += x @ x.T
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(width * width)), pa.array(total.ravel())], ["place", "value"])
+
+    sums = wide.mapInArrow(run, "place bigint, value double").groupBy("place").agg(F.sum("value").alias("value")).toPandas()
+    found = sums.sort_values("place")["value"].to_numpy().reshape(width, width) / (n - 1)
+    spread = np.sqrt(np.where(np.diag(found) > _CONSTANT, np.diag(found), np.nan))
+    found = np.nan_to_num(found / spread[:, None] / spread, nan=0.0)
     np.fill_diagonal(found, 1.0)
     return found
 

@@ -77,12 +77,15 @@ class Tree:
 
 def descend(columns: np.ndarray, cut: np.ndarray, left: np.ndarray, right: np.ndarray, cells: np.ndarray) -> np.ndarray:
     """The node without children that each row ends in."""
-    at, every = np.zeros(len(cells), np.int64), np.arange(len(cells))
+    at, flat, width = np.zeros(len(cells), np.int64), cells.ravel(), cells.shape[1]
     inside = columns >= 0
-    while (moving := inside[at]).any():
-        rows, node = every[moving], at[moving]
-        goes_left = cells[rows, columns[node]] <= cut[node]
-        at[rows] = np.where(goes_left, left[node], right[node])
+    rows = np.arange(len(cells)) if len(inside) and inside[0] else np.zeros(0, np.int64)
+    while len(rows):
+        node = at.take(rows)
+        goes_left = flat.take(rows * width + columns.take(node)) <= cut.take(node)
+        node = np.where(goes_left, left.take(node), right.take(node))
+        at[rows] = node
+        rows = rows[inside.take(node)]
     return at
 
 
@@ -128,6 +131,21 @@ class Forest:
         return cls(tuple(s["names"]), tuple(map(tuple, s["cuts"])), trees, tuple(s["weights"]), s["bootstrap"], s["seed"])
 
 
+def _binary(cells: np.ndarray) -> pa.Array:
+    """The cells of each row as one value, without a Python object a row."""
+    n, width = cells.shape
+    ends = np.arange(n + 1, dtype=np.int32) * np.int32(width)
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(cells))])
+
+
+def _cells(column: pa.Array, width: int) -> np.ndarray:
+    """The cells of each row, a row each, as ``_binary`` packed them."""
+    ends = np.frombuffer(column.buffers()[1], np.int64 if pa.types.is_large_binary(column.type) else np.int32)
+    low, high = ends[column.offset], ends[column.offset + len(column)]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+    return data[low:high].reshape(len(column), width)
+
+
 def placed(df: DataFrame, names: Sequence[str], cuts: Sequence[Sequence[float]], label: str, key: str, keep_key: bool = False) -> DataFrame:
     """``h, y, cells``: hash of the key, class, and the cell of each column in a byte; and the key itself where it is wanted."""
     edges, more = [np.array(c) for c in cuts], ["__key"] if keep_key else []
@@ -137,7 +155,7 @@ def placed(df: DataFrame, names: Sequence[str], cuts: Sequence[Sequence[float]],
             columns = [np.searchsorted(e, batch.column(2 + i).to_numpy(zero_copy_only=False).astype(float)) for i, e in enumerate(edges)]
             cells = np.stack(columns, axis=1).astype(np.uint8) if columns else np.zeros((batch.num_rows, 0), np.uint8)
             kept = [batch.column(c) for c in more]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([c.tobytes() for c in cells], pa.binary()), *kept], ["h", "y", "cells", *more])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _binary(cells), *kept], ["h", "y", "cells", *more])
 
     rows = df.filter(F.col(label).isNotNull()).select(
         F.xxhash64(F.col(key)).alias("h"), (F.col(label) == 1).cast("int").alias("y"), *[F.col(f"`{n}`").cast("double").alias(f"c{i}") for i, n in enumerate(names)],
@@ -151,7 +169,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.
 
     def out():
         table = pa.Table.from_batches(held_)
-        cells = np.frombuffer(b"".join(table.column("cells").to_pylist()), np.uint8).reshape(table.num_rows, width)
+        cells = np.concatenate([_cells(part, width) for part in table.column("cells").chunks])
         return table.column("h").to_numpy().view(np.uint64), table.column("y").to_numpy(), cells
 
     for batch in batches:
@@ -269,6 +287,19 @@ def drawn_columns(width: int, some: int, seed: int, tree: int, path: str) -> lis
     return sorted(np.random.default_rng(list(digest[:16])).permutation(width)[:some].tolist())
 
 
+def _by_code(codes: np.ndarray, often: np.ndarray, hits: np.ndarray, size: int) -> tuple[np.ndarray, ...]:
+    """The codes below ``size`` that occur, from small to large, and for each the sums of the two counts."""
+    where, code = codes, None
+    if size > len(codes):  # few rows for that many codes
+        code, where = np.unique(codes, return_inverse=True)
+        size = len(code)
+    n, n1 = (np.bincount(where, v, size).astype(np.int64) for v in (often, hits))
+    if code is None:
+        code = np.flatnonzero(n)
+        n, n1 = n[code], n1[code]
+    return code, n, n1
+
+
 def best_splits(rows: DataFrame, trees: dict[int, Growing], wanted: dict[int, list[int]], width: int, some: int, weights: tuple[float, float],
                 least: int, bootstrap: bool, seed: int) -> dict[tuple[int, int], tuple[int, int, float, tuple[int, int]]]:
     """For each wanted node the column, cell and gain of its best split, and the rows of each class that go left."""
@@ -280,21 +311,22 @@ def best_splits(rows: DataFrame, trees: dict[int, Growing], wanted: dict[int, li
         for h, y, cells in _blocks(batches, width):
             for t, (arrays, nodes, columns) in sent.value.items():
                 often = multiplicities(h, t, seed) if bootstrap else np.ones(len(h), np.int64)
-                at = descend(*arrays, cells)
+                drawn = np.flatnonzero(often)
                 place = np.full(max(len(arrays[0]), 1), -1)
                 place[nodes] = np.arange(len(nodes))
-                slot = place[at]
-                allowed = np.zeros((len(nodes), width), bool)
+                slot = place[descend(*arrays, cells[drawn])]
+                inside = slot >= 0
+                slot, drawn = slot[inside], drawn[inside]
+                often, hits, own_cells = often[drawn], often[drawn] * y[drawn], cells[drawn]
+                allowed = np.zeros((width, len(nodes)), bool)
                 for i, c in enumerate(columns):
-                    allowed[i, c] = True
-                use = (slot >= 0) & (often > 0)
+                    allowed[c, i] = True
                 for c in range(width):
-                    own = np.flatnonzero(use & allowed[slot, c])
+                    own = np.flatnonzero(allowed[c].take(slot))
                     if not len(own):
                         continue
-                    code, where = np.unique(slot[own] * MOST_BINS + cells[own, c], return_inverse=True)
-                    n1 = np.bincount(where, often[own] * y[own], len(code)).astype(np.int64)
-                    n0 = np.bincount(where, often[own], len(code)).astype(np.int64) - n1
+                    code, n, n1 = _by_code(slot[own] * MOST_BINS + own_cells[own, c], often[own], hits[own], len(nodes) * MOST_BINS)
+                    n0 = n - n1
                     yield pa.RecordBatch.from_arrays([pa.array(v) for v in (
                         np.full(len(code), t), nodes[code // MOST_BINS], np.full(len(code), c), code % MOST_BINS, n0, n1)], ["t", "node", "c", "cell", "n0", "n1"])
 
@@ -411,7 +443,7 @@ def leaf_rows(df: DataFrame, forest: Forest, label: str, key: str) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            cells = np.frombuffer(b"".join(batch.column("cells").to_pylist()), np.uint8).reshape(batch.num_rows, len(sent.value.names))
+            cells = _cells(batch.column("cells"), len(sent.value.names))
             h = batch.column("h").to_numpy().view(np.uint64)
             for tree in sent.value.trees:
                 often = multiplicities(h, tree.number, sent.value.seed) if sent.value.bootstrap else np.ones(len(h), np.int64)
