@@ -95,8 +95,16 @@ def _stored_obs(spark: SparkSession, folder: str) -> DataFrame:
     return order_obs(spark, folder).persist(StorageLevel.MEMORY_AND_DISK)
 
 
-def _halves(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    return train_test_split(_stored_obs(spark, folder), KEY)
+def _dealt(rows: DataFrame, folder: str) -> DataFrame:
+    """The same rows; dealt to all cores by key where the orders come in fewer pieces, for searches that read them many times."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    pieces = rows.sparkSession.read.parquet(f"{folder}/orders.parquet").rdd.getNumPartitions()
+    return rows if pieces >= cores else rows.repartition(cores, KEY).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _halves(spark: SparkSession, folder: str, dealt: bool = False) -> tuple[DataFrame, DataFrame]:
+    rows = _stored_obs(spark, folder)
+    return train_test_split(_dealt(rows, folder) if dealt else rows, KEY)
 
 
 def _screened(rows: DataFrame) -> Catalog:
@@ -862,9 +870,9 @@ def param_grid_cross(spark, folder):
     return rows.select("epochs", "batch_size", (batches * F.col("epochs")).alias("steps"))
 
 
-def _vectors(spark, folder, scale: str | None = "Range") -> tuple[DataFrame, DataFrame]:
+def _vectors(spark, folder, scale: str | None = "Range", dealt: bool = False) -> tuple[DataFrame, DataFrame]:
     """Train and test vectors of the imputed order table."""
-    train, test = _halves(spark, folder)
+    train, test = _halves(spark, folder, dealt)
     catalog = _screened(train)
     model = fit_impute(train, catalog, KEY)
     catalog = model.catalog(catalog)
@@ -983,20 +991,20 @@ def _cv_rows(spark, found, least_score: float) -> DataFrame:
 @query
 def mlp_cv(spark, folder):
     """Random settings over four folds, nets with dropout and batch normalisation."""
-    train, _ = _vectors(spark, folder)
+    train, _ = _vectors(spark, folder, dealt=True)
     return _cv_rows(spark, search.net_cv(train, KEY), 1.5)
 
 
 @query
 def mlp_validation(spark, folder):
-    train, test = _vectors(spark, folder)
+    train, test = _vectors(spark, folder, dealt=True)
     return _net_rows(search.net_validation(train, test, KEY), test, 1.5)
 
 
 @query
 def mlp_tries(spark, folder):
     """Nets that learn an embedding of each hashed category, measured after every hundred epochs of five starts."""
-    train, test = _halves(spark, folder)
+    train, test = _halves(spark, folder, dealt=True)
     catalog = _screened(train)
     model = fit_impute(train, catalog, KEY)
     scales = fit_prep(model.transform(train), model.catalog(catalog), input_scale="Range")
