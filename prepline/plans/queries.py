@@ -1037,8 +1037,9 @@ def hash_bucket_md5(spark, folder):
 # --- the whole preparation ------------------------------------------------------------
 
 
-def _marked_halves(spark, folder) -> tuple[DataFrame, DataFrame]:
-    return train_test_split(marked_obs(spark, folder).persist(StorageLevel.MEMORY_AND_DISK), KEY)
+def _marked_halves(spark, folder, dealt: bool = False) -> tuple[DataFrame, DataFrame]:
+    rows = marked_obs(spark, folder).persist(StorageLevel.MEMORY_AND_DISK)
+    return train_test_split(_dealt(rows, folder) if dealt else rows, KEY)
 
 
 def _fit_marked(train: DataFrame) -> Preparation:
@@ -1046,9 +1047,9 @@ def _fit_marked(train: DataFrame) -> Preparation:
     return fit_preparation(train, marked_catalog(), KEY, forest_limit=1e-6)
 
 
-def _prepared(spark, folder) -> tuple[Preparation, DataFrame, DataFrame]:
+def _prepared(spark, folder, dealt: bool = False) -> tuple[Preparation, DataFrame, DataFrame]:
     """The whole preparation of a table with a column that the forest must reject and one that the clusters must."""
-    train, test = _marked_halves(spark, folder)
+    train, test = _marked_halves(spark, folder, dealt)
     return _fit_marked(train), train, test
 
 
@@ -1111,8 +1112,8 @@ def model_stability(spark, folder):
     return spark.createDataFrame(facts, "period_dt date, depth double, hits_ok boolean")
 
 
-def _arm(spark, folder, scale: str | None) -> tuple[DataFrame, DataFrame]:
-    prep, train, test = _prepared(spark, folder)
+def _arm(spark, folder, scale: str | None, dealt: bool = False) -> tuple[DataFrame, DataFrame]:
+    prep, train, test = _prepared(spark, folder, dealt)
     catalog = prep.catalog
     fitted = fit_prep(prep.transform(train), catalog, input_scale=scale)
     return fitted.features(prep.transform(train), [KEY]), fitted.features(prep.transform(test), [KEY])
@@ -1141,7 +1142,7 @@ VALIDATION_SPACE = {"learning_rate": tuple(round(v, 6) for v in log_grid(-4, -1,
 @query
 def nn_arm_cv(spark, folder):
     """The cross validation of the net arm over the flow's space."""
-    train, _ = _arm(spark, folder, "Range")
+    train, _ = _arm(spark, folder, "Range", dealt=True)
     return _cv_rows(spark, search.net_cv(train, KEY, metric="cumulative lift", depth=0.15, space=CV_SPACE), 0.2)
 
 

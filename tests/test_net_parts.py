@@ -81,11 +81,12 @@ def test_shards_are_dealt_in_whole_rounds_of_tasks(spark, monkeypatch):
     assert sorted(packs[0]) == sorted((k + 1) * 30 // tasks - k * 30 // tasks for k in range(tasks)) and len(packs[1]) == 30
 
 
-def test_searches_read_their_rows_with_all_cores(spark, folder):
+@pytest.mark.parametrize("halves", ["_halves", "_marked_halves"])
+def test_searches_read_their_rows_with_all_cores(spark, folder, halves):
     """A table of one small file is dealt to all cores, with the same rows."""
     from prepline.plans import queries
 
-    plain, dealt = queries._halves(spark, folder), queries._halves(spark, folder, dealt=True)
+    plain, dealt = getattr(queries, halves)(spark, folder), getattr(queries, halves)(spark, folder, dealt=True)
     for a, b in zip(plain, dealt):
         assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
         assert b.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
