@@ -57,6 +57,16 @@ def test_one_net_on_eight_shards_costs_less_than_one_by_one():
     assert together < 0.75 * single
 
 
+def test_folds_cost_less_together_than_one_by_one():
+    data, specs = shard(8192, 3, 10), [NetSpec(10, dropout=0.3 + 0.1 * (i % 3), learning_rate=0.001 * (i + 1)) for i in range(10)]
+    rows = [np.flatnonzero(np.arange(8192) % 4 != fold) for fold in range(4)]
+    starts = [s.start() for s in specs]
+    together = seconds(lambda: list(train_parts([Part(specs, starts, *data, r) for r in rows], 0, 1)))
+    single = seconds(lambda: [list(train_parts([Part(specs, starts, *data, r)], 0, 1)) for r in rows])
+    print("ratio", together / single)
+    assert together < 0.9 * single
+
+
 @pytest.mark.parametrize(("embed", "dropout", "nets", "most"), [(2, 0.0, 5, 1.0), (0, 0.4, 20, 0.92)])
 def test_a_stack_costs_less_than_one_plain_net(embed, dropout, nets, most):
     x, codes, y, keys = shard(8192, 3, 10, embed)
