@@ -1049,7 +1049,7 @@ def _fit_marked(train: DataFrame) -> Preparation:
 
 def _prepared(spark, folder, dealt: bool = False) -> tuple[Preparation, DataFrame, DataFrame]:
     """The whole preparation of a table with a column that the forest must reject and one that the clusters must."""
-    train, test = _marked_halves(spark, folder, dealt)
+    train, test = _marked_halves(spark, folder, dealt=True) if dealt else _marked_halves(spark, folder)
     return _fit_marked(train), train, test
 
 
